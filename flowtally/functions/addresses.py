@@ -1,4 +1,9 @@
-"""IPv4 expressions. Everything stays inside whole-stage code generation."""
+"""IPv4 expressions.
+
+An address test is one anchored pattern over the text, so a filter stays one small
+expression however many networks it names, and stays inside whole-stage code
+generation. The number of an address is only needed where addresses are joined.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +15,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowtally.functions.networks import Network, ipv4_only, parse_networks
-from flowtally.functions.text import clean
+from flowtally.functions.text import WHITESPACE, filled
 
-OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-IPV4 = rf"\A{OCTET}(\.{OCTET}){{3}}\z"
+OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IPV4 = rf"\A{OCTET}(?:\.{OCTET}){{3}}\z"
 
 # Blocks that are not globally reachable, and the addresses in them that are.
 PRIVATE_NETWORKS = [
@@ -37,6 +42,19 @@ PRIVATE_EXCEPTIONS = ["192.0.0.9/32", "192.0.0.10/32"]
 OTHER_LABEL = "other"
 
 
+def network_pattern(network: Network) -> str:
+    """Exactly the well-formed addresses of an IPv4 network: octets the prefix fixes are
+    literal, the one it cuts is a choice, the others are free."""
+    octets = []
+    for shift in (24, 16, 8, 0):
+        low, high = network.low >> shift & 255, network.high >> shift & 255
+        if (low, high) == (0, 255):
+            octets.append(OCTET)
+        else:
+            octets.append("(?:" + "|".join(map(str, range(low, high + 1))) + ")")
+    return r"\.".join(octets)
+
+
 def is_ipv4(text: Column) -> Column:
     """Four decimal octets without leading zeros, spaces or a trailing newline."""
     return F.coalesce(text.rlike(IPV4), F.lit(False))
@@ -49,10 +67,12 @@ def ipv4_number(text: Column) -> Column:
     return F.when(is_ipv4(text), number)
 
 
-def in_networks(number: Column, networks: Sequence[Network]) -> Column:
-    """Address inside any network; for the short lists of a configuration."""
-    tests = [number.between(net.low, net.high) for net in ipv4_only(networks)]
-    return F.coalesce(reduce(or_, tests, F.lit(False)), F.lit(False))
+def in_networks(text: Column, networks: Sequence[Network]) -> Column:
+    """A well-formed address inside any network; for the lists of a configuration."""
+    patterns = [network_pattern(net) for net in ipv4_only(networks)]
+    if not patterns:
+        return F.lit(False)
+    return F.coalesce(text.rlike(rf"\A(?:{'|'.join(patterns)})\z"), F.lit(False))
 
 
 def starts_in_networks(text: Column, networks: Sequence[Network]) -> Column:
@@ -61,16 +81,18 @@ def starts_in_networks(text: Column, networks: Sequence[Network]) -> Column:
     return reduce(or_, [text.startswith(prefix) for prefix in prefixes], F.lit(False))
 
 
-def is_private(number: Column) -> Column:
-    return in_networks(number, parse_networks(PRIVATE_NETWORKS)) & ~in_networks(
-        number, parse_networks(PRIVATE_EXCEPTIONS)
+def is_private(text: Column) -> Column:
+    """An address that is not globally reachable; False for anything else."""
+    return in_networks(text, parse_networks(PRIVATE_NETWORKS)) & ~in_networks(
+        text, parse_networks(PRIVATE_EXCEPTIONS)
     )
 
 
 def subnet_label(text: Column, networks: Sequence[Network]) -> Column:
-    """Label of the first listed network holding the address, else ``other``."""
-    number = ipv4_number(clean(text))
+    """Label of the first listed network holding the address, else ``other``. White
+    space around the address does not count."""
     label = F.lit(OTHER_LABEL)
     for net in reversed(ipv4_only(networks)):
-        label = F.when(number.between(net.low, net.high), net.label).otherwise(label)
+        inside = filled(text).rlike(rf"\A[{WHITESPACE}]*{network_pattern(net)}[{WHITESPACE}]*\z")
+        label = F.when(inside, net.label).otherwise(label)
     return label

@@ -10,53 +10,58 @@ from pyspark.sql import functions as F
 from flowtally.functions.clock import instant
 from flowtally.functions.text import clean
 
-# The accepted spellings. ISO-8601 in extended and in basic form, any
-# separator before the time, offset optional.
-EXTENDED_DATE = r"(\d{4})-(\d{2})-(\d{2})"
-BASIC_DATE = r"(\d{4})(\d{2})(\d{2})"
-CLOCK = r"(\d{2})(?:(:?)(\d{2})(?:\5(\d{2})(?:[.,](\d+))?)?)?"
-OFFSET = r"([+-])(\d{2})(?::?(\d{2})(?::?(\d{2})(?:\.\d+)?)?)?"
-ISO_DATES = [rf"(?s)\A{date}(?:.{CLOCK}(?:{OFFSET})?)?\z" for date in (EXTENDED_DATE, BASIC_DATE)]
-MONTH_DAY = r"(1[0-2]|0[1-9]|[1-9]){0}(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])"
-DAY_PREFIXES = [rf"\A(\d{{4}}){sep}{MONTH_DAY.format(sep)}\z" for sep in ("-", r"\.", "")]
+# The accepted spellings. ISO-8601 in extended or basic form with any
+# separator before the time and an optional offset, or a bare day.
+CLOCK = r"\d{2}(?:(:?)\d{2}(?:\3\d{2}(?:[.,]\d+)?)?)?"
+OFFSET = r"[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?"
+ISO_DATE = rf"(?s)\A(\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}})(?:.({CLOCK})({OFFSET})?)?\z"
+DAY = r"\A(\d{4})([-.]?)(1[0-2]|0[1-9]|[1-9])\2(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])\z"
 
 MAX_LIFETIME_DAYS = 366
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    found = F.trim(F.regexp_extract(text, pattern, group))
-    return F.coalesce(found.try_cast("int"), F.lit(0))
+def _number(text: Column, start: int, length: int) -> Column:
+    return F.substring(text, start, length).try_cast("int")
 
 
-def _iso(text: Column, pattern: str) -> Column:
-    year, month, day, hour, minute, second = (_part(text, pattern, i) for i in (1, 2, 3, 4, 6, 7))
-    micros = F.rpad(F.substring(F.regexp_extract(text, pattern, 8), 1, 6), 6, "0").cast("int")
-    offset = (_part(text, pattern, 10) * 60 + _part(text, pattern, 11)) * 60 + _part(text, pattern, 12)
-    offset = F.when(F.regexp_extract(text, pattern, 9) == "-", -offset).otherwise(offset)
-    whole = F.try_make_timestamp(year, month, day, hour, minute, second.cast("decimal(16,6)"))
-    valid = text.rlike(pattern) & (year > 0) & (second < 60) & (F.abs(offset) < 86_400)
-    return F.when(valid, F.timestamp_micros(F.unix_micros(whole) + micros - offset.cast("bigint") * 1_000_000))
+def _clock_digits(text: Column) -> Column:
+    """``10:11:12`` or ``1011`` as six digits."""
+    return F.rpad(F.translate(F.split_part(text, F.lit("."), F.lit(1)), ":+-", ""), 6, "0")
 
 
-def _day(text: Column, pattern: str) -> Column:
-    year, month, day = (_part(text, pattern, i) for i in range(1, 4))
-    zero = F.lit(0)
-    return F.when(
-        text.rlike(pattern) & (year > 0),
-        F.try_make_timestamp(year, month, day, zero, zero, zero.cast("decimal(16,6)")),
+def _moment(text: Column) -> Column:
+    """ISO-8601, without an offset in UTC."""
+    day = F.translate(F.regexp_extract(text, ISO_DATE, 1), "-", "")
+    clock = F.translate(F.regexp_extract(text, ISO_DATE, 2), ",", ".")
+    shift = F.regexp_extract(text, ISO_DATE, 4)
+    hms, offset = _clock_digits(clock), _clock_digits(shift)
+    seconds = (_number(offset, 1, 2) * 60 + _number(offset, 3, 2)) * 60 + _number(offset, 5, 2)
+    behind = F.when(shift.startswith("-"), -seconds).otherwise(seconds)
+    micros = F.rpad(F.substring(F.split_part(clock, F.lit("."), F.lit(2)), 1, 6), 6, "0").try_cast("int")
+    whole = F.try_make_timestamp(
+        _number(day, 1, 4),
+        _number(day, 5, 2),
+        _number(day, 7, 2),
+        _number(hms, 1, 2),
+        _number(hms, 3, 2),
+        _number(hms, 5, 2).cast("decimal(16,6)"),
     )
+    valid = (_number(hms, 5, 2) < 60) & (seconds < 86_400) & (_number(day, 1, 4) > 0)
+    return F.when(valid, F.timestamp_micros(F.unix_micros(whole) + micros - behind.cast("bigint") * 1_000_000))
+
+
+def _day(text: Column) -> Column:
+    year, month, day = (F.trim(F.regexp_extract(text, DAY, group)).try_cast("int") for group in (1, 3, 4))
+    zero = F.lit(0)
+    whole = F.try_make_timestamp(year, month, day, zero, zero, zero.cast("decimal(16,6)"))
+    return F.when(year > 0, whole)
 
 
 def parse_date(value: Column) -> Column:
     """ISO-8601 (without offset: UTC), else a date in the first ten characters as
     ``Y-m-d``, ``Y.m.d`` or ``Ymd``, else NULL."""
     text = clean(value)
-    iso = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    head = F.substring(text, 1, 10)
-    return F.coalesce(
-        *[_iso(iso, pattern) for pattern in ISO_DATES],
-        *[_day(head, pattern) for pattern in DAY_PREFIXES],
-    )
+    return F.coalesce(_moment(F.replace(text, F.lit("Z"), F.lit("+00:00"))), _day(F.substring(text, 1, 10)))
 
 
 def cache_expiry(expires: Column, now: datetime) -> Column:

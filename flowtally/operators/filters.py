@@ -16,7 +16,6 @@ from pyspark.sql.types import ArrayType
 
 from flowtally.functions.addresses import (
     in_networks,
-    ipv4_number,
     is_ipv4,
     is_private,
     starts_in_networks,
@@ -55,7 +54,7 @@ def both_ipv4(source: str = "SrcIP", destination: str = "DstIP") -> Column:
 
 
 def public_destination(destination: str = "DstIP") -> Column:
-    return ~is_private(ipv4_number(F.col(destination)))
+    return ~is_private(F.col(destination))
 
 
 def source_prefilter(
@@ -76,7 +75,7 @@ def source_match(
     With one of the two given only that one counts; with none there is no filter."""
     return _combine(
         F.col(source).isin(list(allowlist)) if allowlist else None,
-        in_networks(ipv4_number(F.col(source)), networks) if networks else None,
+        in_networks(F.col(source), networks) if networks else None,
         mode,
     )
 

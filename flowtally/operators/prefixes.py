@@ -11,28 +11,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtally.functions.addresses import ipv4_number
+from flowtally.functions.addresses import OCTET, ipv4_number, is_ipv4
 from flowtally.functions.text import clean
 
 SHORTEST = 16
+PREFIX = rf"\A{OCTET}(?:\.{OCTET}){{3}}(?:/(?:3[0-2]|[12]?[0-9]))?\z"
 
 
 def parse_prefixes(frame: DataFrame, network: str = "network") -> DataFrame:
     """Add ``low``, ``length`` and ``size`` of IPv4 networks; other rows are dropped."""
     text = clean(F.col(network))
-    length = F.when(text.contains("/"), F.split_part(text, F.lit("/"), F.lit(2)).try_cast("int")).otherwise(32)
+    length = F.coalesce(F.split_part(text, F.lit("/"), F.lit(2)).try_cast("int"), F.lit(32))
+    size = prefix_size(F.col("length"))
+    number = ipv4_number(F.split_part(text, F.lit("/"), F.lit(1)))
     return (
-        frame.withColumn("_ip", ipv4_number(F.split_part(text, F.lit("/"), F.lit(1))))
-        .withColumn("length", length)
-        .where(F.col("_ip").isNotNull() & F.col("length").between(0, 32))
-        .withColumn("size", _size(F.col("length")))
-        .withColumn("low", F.col("_ip") - F.col("_ip") % F.col("size"))
+        frame.where(text.rlike(PREFIX))
+        .withColumns({"length": length, "_ip": number})
+        .withColumns({"size": size, "low": F.col("_ip") - F.col("_ip") % size})
         .drop("_ip")
     )
 
 
-def _size(length: Column) -> Column:
-    return F.pow(F.lit(2.0), F.lit(32) - length).cast("bigint")
+def prefix_size(length: Column) -> Column:
+    """Number of addresses under a prefix."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - length)
 
 
 def match_prefixes(keys: DataFrame, prefixes: DataFrame, rank: Column, value: Column) -> DataFrame:
@@ -54,11 +56,11 @@ def match_prefixes(keys: DataFrame, prefixes: DataFrame, rank: Column, value: Co
         .agg(F.min("best").alias("best"))
     )
     lengths = prefixes.agg(F.collect_set(F.greatest(F.col("length"), F.lit(SHORTEST)))).scalar()
+    address = clean(F.col("key"))
     probes = (
-        keys.select("key", ipv4_number(clean(F.col("key"))).alias("ip"))
-        .where(F.col("ip").isNotNull())
-        .select("key", "ip", F.explode(lengths).alias("length"))
-        .select("key", "length", (F.col("ip") - F.col("ip") % _size(F.col("length"))).alias("low"))
+        keys.where(is_ipv4(address))
+        .select("key", ipv4_number(address).alias("ip"), F.explode(lengths).alias("length"))
+        .select("key", "length", (F.col("ip") - F.col("ip") % prefix_size(F.col("length"))).alias("low"))
     )
     return (
         probes.join(table, ["length", "low"])

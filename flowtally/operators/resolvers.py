@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,54 +66,36 @@ def one_response(table: DataFrame, key: str = "key", body: str = "json", at: str
 def ask(frame: DataFrame, table: DataFrame, extract: Step, key: Column | None = None) -> DataFrame:
     """Left join the responses for the wanted rows and extract their answers."""
     question = F.col("key") if key is None else key
-    joined = frame.withColumn("_question", question).join(
-        one_response(table), (F.col("_question") == F.col("_asked")) & F.col("wanted"), "left"
-    )
-    return extract(joined).drop("_question", "_asked", "response")
+    joined = frame.join(one_response(table), (question == F.col("_asked")) & F.col("wanted"), "left")
+    return extract(joined).drop("_asked", "response")
 
 
 def first_filled(frame: DataFrame, tiers: Sequence[Step]) -> DataFrame:
     """Ask tier after tier for the keys without any answer so far. An answer counts as
     a whole: fields of different tiers are never mixed."""
-    result = silent(frame)
+    whole = F.col("_whole")
+    state = frame.withColumns({"_asked_first": F.col("wanted"), "_whole": no_answer()})
     for tier in tiers:
-        open_keys = (
-            result.withColumn("_so_far", F.col("answer"))
-            .withColumn("_wanted", F.col("wanted"))
-            .withColumn("wanted", F.col("wanted") & is_empty(F.col("answer")))
-            .drop("answer")
-        )
-        result = (
-            tier(open_keys)
-            .withColumn("answer", F.when(F.col("wanted"), F.coalesce("answer", "_so_far")).otherwise(F.col("_so_far")))
-            .withColumn("wanted", F.col("_wanted"))
-            .drop("_so_far", "_wanted")
-        )
-    return result
+        asked = tier(state.withColumn("wanted", F.col("_asked_first") & is_empty(whole)))
+        state = asked.withColumn("_whole", F.coalesce("answer", whole)).drop("answer")
+    return state.withColumn("wanted", F.col("_asked_first")).withColumnRenamed("_whole", "answer").drop("_asked_first")
 
 
 def chain(frame: DataFrame, steps: Sequence[Step]) -> DataFrame:
     """Merge providers field by field, earlier ones first. A key with all four columns
     filled is not asked further, and only asked providers can give the expiry hint."""
-    have = [F.col("_have")[name] for name in RESOLVE_COLUMNS]
-    state = frame.withColumn("_all", F.col("wanted")).withColumn("_have", no_answer())
+    merged = F.col("_merged")
+    state = frame.withColumns({"_asked_all": F.col("wanted"), "_merged": no_answer()})
+    complete = reduce(and_, [filled(merged[name]) != "" for name in RESOLVE_COLUMNS])
     for step in steps:
-        complete = F.lit(True)
-        for field in have:
-            complete = complete & (filled(field) != "")
-        asked = step(state.withColumn("wanted", F.col("_all") & ~complete))
-        merged = F.struct(
-            *[
-                F.coalesce(blank_to_null(F.col("_have")[name]), F.col("answer")[name]).alias(name)
-                for name in ANSWER_FIELDS
-            ]
-        )
-        state = asked.withColumn("_have", merged).drop("answer")
-    return state.withColumn("wanted", F.col("_all")).withColumnRenamed("_have", "answer").drop("_all")
+        asked = step(state.withColumn("wanted", F.col("_asked_all") & ~complete))
+        fields = [F.coalesce(blank_to_null(merged[name]), F.col("answer")[name]).alias(name) for name in ANSWER_FIELDS]
+        state = asked.withColumn("_merged", F.struct(*fields)).drop("answer")
+    return state.withColumn("wanted", F.col("_asked_all")).withColumnRenamed("_merged", "answer").drop("_asked_all")
 
 
 def from_results(function: Callable[[DataFrame], DataFrame]) -> Step:
-    """Step of a user function that maps a DataFrame of keys to one row per key with
+    """Step of a function that maps a DataFrame of keys to at most one row per key with
     any of the answer fields. Row-wise Python belongs into a ``mapInPandas`` there."""
 
     def step(frame: DataFrame) -> DataFrame:
@@ -119,9 +103,8 @@ def from_results(function: Callable[[DataFrame], DataFrame]) -> Step:
         fields = [
             (filled(F.col(name)) if name in found.columns else F.lit("")).alias(name) for name in ANSWER_FIELDS
         ]
-        answers = found.groupBy(F.col("key").alias("_asked")).agg(F.max(F.struct(*fields)).alias("answer"))
-        joined = frame.join(answers, (F.col("key") == F.col("_asked")) & F.col("wanted"), "left")
-        return joined.drop("_asked")
+        answers = found.select(F.col("key").alias("_asked"), F.struct(*fields).alias("answer"))
+        return frame.join(answers, (F.col("key") == F.col("_asked")) & F.col("wanted"), "left").drop("_asked")
 
     return step
 
@@ -168,10 +151,8 @@ def whois_step(primary: DataFrame | None, domains: DataFrame | None = None) -> S
 def ask_domains(frame: DataFrame, domains: DataFrame) -> DataFrame:
     """Keys outside the zones keep their own text as question, so that they stay spread
     over the tasks, but are not wanted."""
-    asked = (
-        frame.withColumn("_domain", domain_query(F.col("key")))
-        .withColumn("_wished", F.col("wanted"))
-        .withColumn("wanted", F.col("wanted") & F.col("_domain").isNotNull())
+    asked = frame.withColumns({"_domain": domain_query(F.col("key")), "_wished": F.col("wanted")}).withColumn(
+        "wanted", F.col("wanted") & F.col("_domain").isNotNull()
     )
     found = ask(asked, domains, domain_answers, F.coalesce("_domain", "key"))
     return found.withColumn("wanted", F.col("_wished")).drop("_domain", "_wished")

@@ -38,7 +38,7 @@ from flowtally.operators.trim import trim
 from flowtally.plans.pipeline import plan
 from flowtally.plans.settings import Settings
 from flowtally.session import configure, shared_folder, stage
-from flowtally.sources.registry import SOURCES, register_source
+from flowtally.sources.registry import register_source
 from flowtally.streaming.counts import partial_counts, read_counts, trimmed
 from workload.views import NOW, VIEWS, view
 
@@ -118,7 +118,7 @@ def valid_ipv4(spark, sf_dir):
 @query
 def public_dst(spark, sf_dir):
     logs = view(spark, sf_dir, "connections").where(filters.both_ipv4())
-    return logs.select("event_id", "DstIP", is_private(ipv4_number(F.col("DstIP"))).alias("private"))
+    return logs.select("event_id", "DstIP", is_private(F.col("DstIP")).alias("private"))
 
 
 @query
@@ -128,7 +128,7 @@ def src_allowlist(spark, sf_dir):
 
 @query
 def src_cidr(spark, sf_dir):
-    inside = in_networks(ipv4_number(F.col("SrcIP")), NETWORKS)
+    inside = in_networks(F.col("SrcIP"), NETWORKS)
     return view(spark, sf_dir, "connections").where(inside).select("event_id", "SrcIP")
 
 
@@ -147,7 +147,7 @@ def src_match_and(spark, sf_dir):
 @query
 def prefix_prefilter(spark, sf_dir):
     coarse = starts_in_networks(F.col("SrcIP"), NETWORKS[:1])
-    exact = in_networks(ipv4_number(F.col("SrcIP")), NETWORKS[:1])
+    exact = in_networks(F.col("SrcIP"), NETWORKS[:1])
     logs = view(spark, sf_dir, "connections")
     return logs.groupBy("SrcIP").agg(F.count_if(coarse).alias("coarse"), F.count_if(coarse & exact).alias("exact"))
 
@@ -522,9 +522,7 @@ def stream_home(spark: SparkSession) -> str:
 
 
 def pipeline_settings(spark, sf_dir, **more) -> Settings:
-    if "connections" not in SOURCES:
-        register_source("connections")(lambda spark, rules: collect(spark.table("connections"), rules))
-    view(spark, sf_dir, "connections")
+    register_source("connections")(lambda spark, rules: collect(view(spark, sf_dir, "connections"), rules))
     return Settings(source="connections", now=NOW, **more)
 
 

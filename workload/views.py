@@ -11,6 +11,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowtally.session import stage
+
 NOW = datetime(2024, 1, 31)
 
 
@@ -177,22 +179,38 @@ SELECT event_id, CASE event_id % 9
 FROM events"""
 
 
+def sources(name: str) -> list[str]:
+    return list(dict.fromkeys(re.findall(r"(?:FROM|JOIN) (\w+)", VIEWS.get(name, ""))))
+
+
 def needed(*names: str) -> list[str]:
     """The tables and views behind the names, each after what it is made from."""
     found: list[str] = []
     for name in names:
-        text = VIEWS.get(name, "")
-        sources = dict.fromkeys(re.findall(r"(?:FROM|JOIN) (\w+)", text))
-        found += [one for one in [*needed(*sources), name] if one not in found]
+        found += [one for one in [*needed(*sources(name)), name] if one not in found]
     return found
 
 
+# Views that stand for stored tables: they are written once per session and folder.
+STORED = [name for name in VIEWS if name.endswith("_raw")] + ["geo_blocks", "resolve_cache", "hosts", "owners"]
+
+_loaded: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view over the tables in ``sf_dir``."""
-    for one in needed(name):
-        frame = spark.sql(VIEWS[one]) if one in VIEWS else spark.read.parquet(f"{sf_dir}/{one}.parquet")
-        frame.createOrReplaceTempView(one)
-    return spark.table(name)
+    """A given table, or a view over the tables in ``sf_dir``."""
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _loaded:
+        if name not in VIEWS:
+            _loaded[place] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            for source in sources(name):
+                view(spark, sf_dir, source)
+            for source in sources(name):
+                view(spark, sf_dir, source).createOrReplaceTempView(source)
+            frame = spark.sql(VIEWS[name])
+            _loaded[place] = stage(frame, name) if name in STORED else frame
+    return _loaded[place]
 
 
 def ctes(*names: str) -> str:
