@@ -339,6 +339,14 @@ def cascade(keys: str) -> str:
       LEFT JOIN aggregator a USING (key) LEFT JOIN bootstrap b USING (key)"""
 
 
+ORACLES["whois_cascade"] = over(
+    ["domains", "hosts", "whois_raw", "domain_raw"],
+    f"""SELECT k.key, {pick(['w', 'd'])} FROM (SELECT domain AS key FROM domains UNION ALL SELECT key FROM hosts) k
+      LEFT JOIN whois w USING (key) LEFT JOIN domain_found d ON d.key = rtrim(lower(trim(k.key)), '.')""",
+    WHOIS,
+    FIELDS,
+    DOMAIN,
+)
 ORACLES["rdap_cascade"] = over(["hosts", *CASCADE_VIEWS], cascade("hosts"), *CASCADE_CTES)
 ORACLES["cache_write"] = over(
     ["hosts", *CASCADE_VIEWS],
