@@ -247,10 +247,10 @@ def run_pipeline(
         part = planned.split
         labelled = with_label(rows, parse_networks(settings.cidrs))
         sliced = with_slice(labelled, settings.now, part.start, part.end, part.time_unit)
-        write_split(sliced.observe(seen, F.count(F.lit(1)).alias("rows")), part.out_dir)
+        write_split(sliced, part.out_dir, seen=seen)
     elif output is None:
         raise ValueError("Nowhere to write: give output, or out_dir in an aggregate step")
     else:
         rows = ordered(rows) if "count" in rows.columns else rows
-        write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows")), output)
+        write_csv(rows, output, seen=seen)
     return seen.get["rows"]

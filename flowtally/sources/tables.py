@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -79,12 +79,23 @@ def _as_text(frame: DataFrame) -> DataFrame:
     return frame.select([F.col(name).cast("string").alias(name) for name in frame.columns]).fillna("")
 
 
-def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A directory of CSV parts, each with a header, in the frame's order."""
-    _as_text(frame).write.mode(mode).options(**WRITE_OPTIONS).csv(path)
+def _write(frame: DataFrame, path: str, mode: str, seen: Observation | None, parts: list[str]) -> None:
+    """Counting comes after any sort: the sort's own sampling pass would count twice."""
+    if seen is not None:
+        frame = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = _as_text(frame).write.mode(mode).options(**WRITE_OPTIONS)
+    (writer.partitionBy(*parts) if parts else writer).csv(path)
 
 
-def write_split(labelled: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists", seen: Observation | None = None) -> None:
+    """A directory of CSV parts, each with a header, in the frame's order. ``seen`` gets
+    the number of rows."""
+    _write(frame, path, mode, seen, [])
+
+
+def write_split(
+    labelled: DataFrame, path: str, mode: str = "errorifexists", seen: Observation | None = None
+) -> None:
     """One directory ``slice=<name>`` per subnet. Rows are range-partitioned by slice and
     result order, so a large subnet is written by many tasks, in order; the input
     partition breaks ties between equal rows."""
@@ -92,4 +103,4 @@ def write_split(labelled: DataFrame, path: str, mode: str = "errorifexists") ->
     order += [F.col(name) for name in present(labelled.columns, ORDER_COLUMNS)]
     numbered = labelled.withColumn("_part", F.spark_partition_id())
     placed = numbered.orderBy("slice", *order, "_part").drop("_part", "subnet")
-    _as_text(placed).write.mode(mode).partitionBy("slice").options(**WRITE_OPTIONS).csv(path)
+    _write(placed, path, mode, seen, ["slice"])
