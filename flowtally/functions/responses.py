@@ -56,10 +56,14 @@ def object_contacts(objects: Column) -> Column:
 
 def vcard_name(vcard: Column) -> Column:
     """Value of the first ``fn`` property of ``["vcard", [[name, params, type, value], …]]``."""
-    card = json_array(vcard)
-    properties = F.transform(json_array(F.get(card, F.lit(1))), json_array)
+    listed = F.get_json_object(vcard, "$[1]")
+    # One parse where every property is a list; property by property where one is not.
+    properties = F.coalesce(
+        F.from_json(listed, "array<array<string>>"), F.transform(json_array(listed), json_array)
+    )
     named = F.filter(properties, lambda p: (F.size(p) >= 4) & (F.get(p, F.lit(0)) == "fn"))
-    return F.when(F.size(card) == 2, clean(F.get(F.get(named, F.lit(0)), F.lit(3)))).otherwise(F.lit(""))
+    pair = listed.startswith("[") & F.get_json_object(vcard, "$[2]").isNull()
+    return F.when(pair, clean(F.get(F.get(named, F.lit(0)), F.lit(3)))).otherwise(F.lit(""))
 
 
 def entity_contacts(entities: Column) -> Column:
@@ -68,15 +72,21 @@ def entity_contacts(entities: Column) -> Column:
     Each round puts the children of every entity right behind it. A text cannot nest
     deeper than it has ``entities`` keys, so that many rounds open every level.
     """
+    shape = "struct<vcardArray:string,entities:string>"
 
     def opened(text: Column) -> Column:
-        items = F.filter(json_array(text), lambda item: F.ltrim(item).startswith("{"))
-        return F.transform(
-            F.coalesce(items, F.array().cast("array<string>")),
-            lambda item: F.struct(
-                vcard_name(F.get_json_object(item, "$.vcardArray")).alias("name"),
-                F.get_json_object(item, "$.entities").alias("inside"),
+        # One parse where every entity is an object; entity by entity where one is not.
+        items = F.coalesce(
+            F.from_json(F.when(F.ltrim(text).startswith("["), text), f"array<{shape}>"),
+            F.transform(
+                F.filter(json_array(text), lambda item: F.ltrim(item).startswith("{")),
+                lambda item: F.from_json(item, shape),
             ),
+            F.array().cast(f"array<{shape}>"),
+        )
+        return F.transform(
+            items,
+            lambda item: F.struct(vcard_name(item["vcardArray"]).alias("name"), item["entities"].alias("inside")),
         )
 
     def expand(found: Column, _round: Column) -> Column:

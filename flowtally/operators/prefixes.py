@@ -1,9 +1,10 @@
 """Match addresses against many network prefixes without comparing pairs.
 
-A prefix of length L is the number ``ip - ip % 2^(32-L)``, so matching is an equi-join
-on (length, that number) for the few lengths in use. Prefixes shorter than /16 are
-opened into their /16 parts first: over distinct addresses no join key then has more
-than 65,536 rows, however wide the prefix.
+Prefixes are gathered per /16 (lengths 16 to 23) and per /24 (lengths 24 to 32), and
+an address is joined to the one gathering of each kind that can hold it. Shorter
+prefixes are opened into their /16 parts first. A gathering then has at most 511
+prefixes and a join key at most 65,536 distinct addresses, however wide or dense the
+prefixes are.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from flowtally.functions.addresses import OCTET, ipv4_number, is_ipv4
 from flowtally.functions.text import clean
 
-SHORTEST = 16
+WIDE, NARROW = 16, 24
 PREFIX = rf"\A{OCTET}(?:\.{OCTET}){{3}}(?:/(?:3[0-2]|[12]?[0-9]))?\z"
 
 
@@ -41,30 +42,39 @@ def match_prefixes(keys: DataFrame, prefixes: DataFrame, rank: Column, value: Co
     """``(key, value)`` of the lowest-ranked prefix holding each key; unmatched keys are
     left out. ``keys`` has distinct ``key`` texts, ``prefixes`` comes from
     ``parse_prefixes``."""
-    widest = 1 << (32 - SHORTEST)
-    parts = F.when(
-        F.col("length") < SHORTEST,
-        F.sequence(F.col("low"), F.col("low") + F.col("size") - widest, F.lit(widest).cast("bigint")),
-    ).otherwise(F.array("low"))
+    part = 1 << (32 - WIDE)
+    parts = F.sequence(F.col("low"), F.col("low") + F.col("size") - part, F.lit(part).cast("bigint"))
     table = (
         prefixes.select(
-            F.greatest(F.col("length"), F.lit(SHORTEST)).alias("length"),
-            F.explode(parts).alias("low"),
+            F.greatest(F.col("length"), F.lit(WIDE)).alias("length"),
+            F.explode(F.when(F.col("length") < WIDE, parts).otherwise(F.array("low"))).alias("low"),
             F.struct(rank.alias("rank"), value.alias("value")).alias("best"),
         )
         .groupBy("length", "low")
         .agg(F.min("best").alias("best"))
     )
-    lengths = prefixes.agg(F.collect_set(F.greatest(F.col("length"), F.lit(SHORTEST)))).scalar()
     address = clean(F.col("key"))
-    probes = (
-        keys.where(is_ipv4(address))
-        .select("key", ipv4_number(address).alias("ip"), F.explode(lengths).alias("length"))
-        .select("key", "length", (F.col("ip") - F.col("ip") % prefix_size(F.col("length"))).alias("low"))
-    )
+    found = keys.where(is_ipv4(address)).select("key", ipv4_number(address).alias("ip"))
+    for name, bits, lengths in (
+        ("wide", WIDE, F.col("length") < NARROW),
+        ("narrow", NARROW, F.col("length") >= NARROW),
+    ):
+        gathered = _gather(table.where(lengths), bits).withColumnRenamed("held", name)
+        found = found.withColumn("bucket", F.shiftright("ip", 32 - bits)).join(gathered, "bucket", "left")
+    best = F.least(_first_holding("wide"), _first_holding("narrow"))
     return (
-        probes.join(table, ["length", "low"])
-        .groupBy("key")
-        .agg(F.min("best").alias("best"))
-        .select("key", F.col("best.value").alias("value"))
+        found.withColumn("best", best).where(F.col("best").isNotNull()).select("key", F.col("best.value").alias("value"))
     )
+
+
+def _gather(table: DataFrame, bits: int) -> DataFrame:
+    """The prefixes inside each block of ``bits`` bits, best ones first."""
+    high = F.col("low") + prefix_size(F.col("length")) - 1
+    return table.groupBy(F.shiftright("low", 32 - bits).alias("bucket")).agg(
+        F.sort_array(F.collect_list(F.struct("best", "low", high.alias("high")))).alias("held")
+    )
+
+
+def _first_holding(name: str) -> Column:
+    held = F.filter(name, lambda one: (F.col("ip") >= one["low"]) & (F.col("ip") <= one["high"]))
+    return F.get(held, F.lit(0))["best"]

@@ -191,7 +191,8 @@ def needed(*names: str) -> list[str]:
     return found
 
 
-# Views that stand for stored tables: they are written once per session and folder.
+# Views that stand for stored tables: they are written once per session and folder, as
+# several files.
 STORED = [name for name in VIEWS if name.endswith("_raw")] + ["geo_blocks", "resolve_cache", "hosts", "owners"]
 
 _loaded: dict[tuple[str, str, str], DataFrame] = {}
@@ -209,7 +210,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             for source in sources(name):
                 view(spark, sf_dir, source).createOrReplaceTempView(source)
             frame = spark.sql(VIEWS[name])
-            _loaded[place] = stage(frame, name) if name in STORED else frame
+            parts = spark.sparkContext.defaultParallelism
+            _loaded[place] = stage(frame.repartition(parts), name) if name in STORED else frame
     return _loaded[place]
 
 
