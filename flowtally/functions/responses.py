@@ -20,15 +20,9 @@ def no_answer() -> Column:
     return F.lit(None).cast(ANSWER_TYPE)
 
 
-def is_empty(value: Column) -> Column:
-    """No answer, or one with nothing in any field (the expiry hint counts too)."""
-    return F.concat(*[filled(value[name]) for name in ANSWER_FIELDS]) == ""
-
-
 def json_object(text: Column) -> Column:
-    """The text where it is a JSON object that holds something."""
-    bare = strip(text)
-    return F.when(bare.startswith("{") & ~bare.isin(*EMPTY_JSON), bare)
+    """The text where it looks like a JSON object."""
+    return F.when(text.rlike(r"\A\s*\{"), text)
 
 
 def json_fields(text: Column, *names: str) -> Column:
@@ -56,14 +50,18 @@ def object_contacts(objects: Column) -> Column:
 
 def vcard_name(vcard: Column) -> Column:
     """Value of the first ``fn`` property of ``["vcard", [[name, params, type, value], …]]``."""
-    listed = F.get_json_object(vcard, "$[1]")
-    # One parse where every property is a list; property by property where one is not.
-    properties = F.coalesce(
-        F.from_json(listed, "array<array<string>>"), F.transform(json_array(listed), json_array)
-    )
-    named = F.filter(properties, lambda p: (F.size(p) >= 4) & (F.get(p, F.lit(0)) == "fn"))
-    pair = listed.startswith("[") & F.get_json_object(vcard, "$[2]").isNull()
-    return F.when(pair, clean(F.get(F.get(named, F.lit(0)), F.lit(3)))).otherwise(F.lit(""))
+
+    def name(card: Column) -> Column:
+        listed = F.get(card, F.lit(1))
+        # One parse where every property is a list; property by property where one is not.
+        properties = F.coalesce(
+            F.from_json(listed, "array<array<string>>"), F.transform(json_array(listed), json_array)
+        )
+        named = F.filter(properties, lambda p: (F.size(p) >= 4) & (F.get(p, F.lit(0)) == "fn"))
+        value = clean(F.get(F.get(named, F.lit(0)), F.lit(3)))
+        return F.when((F.size(card) == 2) & listed.startswith("["), value).otherwise(F.lit(""))
+
+    return F.get(F.transform(F.array(json_array(vcard)), name), F.lit(0))
 
 
 def entity_contacts(entities: Column) -> Column:

@@ -41,9 +41,9 @@ def select_rows(logs: DataFrame, rules: CollectRules) -> DataFrame:
         rows = rows.where(filters.in_stream(logs, rules.stream_id))
     rows = rows.where(filters.exists("SrcIP", "DstIP"))
     source = (rules.allowlist, rules.networks, rules.match_mode)
-    prefilter, match = filters.source_prefilter(*source), filters.source_match(*source)
-    if prefilter is not None:
-        rows = rows.where(prefilter).where(match)
+    hint, match = filters.source_hint(*source), filters.source_match(*source)
+    if match is not None:
+        rows = rows.where(hint).where(match)
     return rows.where(filters.both_ipv4()).where(filters.public_destination())
 
 

@@ -60,7 +60,8 @@ def public_destination(destination: str = "DstIP") -> Column:
 def source_prefilter(
     allowlist: Sequence[str], networks: Sequence[Network], mode: str = "or", source: str = "SrcIP"
 ) -> Column | None:
-    """What the scan can check of the source filter: it never rejects a match."""
+    """The source filter as a log store answers it: the list exactly, each network only
+    by its octets. It never rejects a match."""
     return _combine(
         F.col(source).isin(list(allowlist)) if allowlist else None,
         starts_in_networks(F.col(source), networks) if networks else None,
@@ -68,6 +69,21 @@ def source_prefilter(
     )
 
 
+def source_hint(
+    allowlist: Sequence[str], networks: Sequence[Network], mode: str = "or", source: str = "SrcIP"
+) -> Column | None:
+    """Implied by ``source_match`` and made of prefix tests alone, so that it reaches the
+    scan. Were the list tested exactly here too, the optimizer would factor it out of
+    both filters and push neither."""
+    blocks = dict.fromkeys(text.rpartition(".")[0] + "." if "." in text else text for text in allowlist)
+    listed = [F.col(source).startswith(block) for block in blocks]
+    return _combine(
+        reduce(lambda left, right: left | right, listed) if listed else None,
+        starts_in_networks(F.col(source), networks) if networks else None,
+        mode,
+    )
+
+
 def source_match(
     allowlist: Sequence[str], networks: Sequence[Network], mode: str = "or", source: str = "SrcIP"
 ) -> Column | None:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtally.functions.addresses import OCTET, ipv4_number, is_ipv4
+from flowtally.functions.addresses import OCTET, ipv4_number
 from flowtally.functions.text import clean
 
 WIDE, NARROW = 16, 24
@@ -38,10 +38,12 @@ def prefix_size(length: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - length)
 
 
-def match_prefixes(keys: DataFrame, prefixes: DataFrame, rank: Column, value: Column) -> DataFrame:
-    """``(key, value)`` of the lowest-ranked prefix holding each key; unmatched keys are
-    left out. ``keys`` has distinct ``key`` texts, ``prefixes`` comes from
-    ``parse_prefixes``."""
+def with_best_prefix(
+    keys: DataFrame, prefixes: DataFrame, rank: Column, value: Column, output: str = "value"
+) -> DataFrame:
+    """Add the value of the lowest-ranked prefix holding each ``key``, NULL where there
+    is none. All rows and columns are kept; the work is bounded as described above when
+    the keys are distinct. ``prefixes`` comes from ``parse_prefixes``."""
     part = 1 << (32 - WIDE)
     parts = F.sequence(F.col("low"), F.col("low") + F.col("size") - part, F.lit(part).cast("bigint"))
     table = (
@@ -53,28 +55,24 @@ def match_prefixes(keys: DataFrame, prefixes: DataFrame, rank: Column, value: Co
         .groupBy("length", "low")
         .agg(F.min("best").alias("best"))
     )
-    address = clean(F.col("key"))
-    found = keys.where(is_ipv4(address)).select("key", ipv4_number(address).alias("ip"))
-    for name, bits, lengths in (
-        ("wide", WIDE, F.col("length") < NARROW),
-        ("narrow", NARROW, F.col("length") >= NARROW),
-    ):
-        gathered = _gather(table.where(lengths), bits).withColumnRenamed("held", name)
-        found = found.withColumn("bucket", F.shiftright("ip", 32 - bits)).join(gathered, "bucket", "left")
-    best = F.least(_first_holding("wide"), _first_holding("narrow"))
-    return (
-        found.withColumn("best", best).where(F.col("best").isNotNull()).select("key", F.col("best.value").alias("value"))
-    )
+    found = keys.withColumn("_ip", ipv4_number(clean(F.col("key"))))
+    for bits, lengths in ((WIDE, F.col("length") < NARROW), (NARROW, F.col("length") >= NARROW)):
+        gathered = _gather(table.where(lengths), bits).withColumnRenamed("held", f"_held{bits}")
+        # Keys that are no address get a block of their own below zero, which holds nothing.
+        block = F.coalesce(F.shiftright("_ip", 32 - bits), -1 - F.abs(F.hash("key")).cast("bigint"))
+        found = found.withColumn("_block", block).join(gathered, "_block", "left")
+    best = F.least(_first_holding(f"_held{WIDE}"), _first_holding(f"_held{NARROW}"))
+    return found.withColumn(output, best["value"]).drop("_ip", "_block", f"_held{WIDE}", f"_held{NARROW}")
 
 
 def _gather(table: DataFrame, bits: int) -> DataFrame:
     """The prefixes inside each block of ``bits`` bits, best ones first."""
     high = F.col("low") + prefix_size(F.col("length")) - 1
-    return table.groupBy(F.shiftright("low", 32 - bits).alias("bucket")).agg(
+    return table.groupBy(F.shiftright("low", 32 - bits).alias("_block")).agg(
         F.sort_array(F.collect_list(F.struct("best", "low", high.alias("high")))).alias("held")
     )
 
 
 def _first_holding(name: str) -> Column:
-    held = F.filter(name, lambda one: (F.col("ip") >= one["low"]) & (F.col("ip") <= one["high"]))
+    held = F.filter(name, lambda one: (F.col("_ip") >= one["low"]) & (F.col("_ip") <= one["high"]))
     return F.get(held, F.lit(0))["best"]

@@ -56,14 +56,18 @@ def resolve_keys(
 
 
 def look_up(keys: DataFrame, resolver: Resolver, cache: DataFrame | None, now: datetime | None) -> DataFrame:
-    """Answers of all keys, cached ones first; ``cached`` tells which."""
+    """Answers of all keys; only those without a live cache entry are asked for, and
+    ``cached`` tells which had one. The keys go through as one chain of joins."""
     if cache is None:
         return resolver.answers(keys).withColumn("cached", F.lit(False))
-    hits = caching.cache_hits(keys, cache, resolver.name, now).select(
-        *keys.columns, *RESOLVE_COLUMNS, F.lit("").alias("expires"), F.lit(True).alias("cached")
+    known = keys.join(caching.live_entries(cache, resolver.name, now), "key", "left")
+    asked = resolver.step(known.withColumn("wanted", F.col("cached").isNull()))
+    return asked.selectExpr(
+        *keys.columns,
+        *[f"coalesce(cached.{name}, answer.{name}, '') AS {name}" for name in RESOLVE_COLUMNS],
+        "coalesce(answer.expires, '') AS expires",
+        "cached IS NOT NULL AS cached",
     )
-    misses = caching.cache_misses(keys, cache, resolver.name, now)
-    return hits.unionByName(resolver.answers(misses).withColumn("cached", F.lit(False)))
 
 
 def join_back(

@@ -13,14 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtally.functions.responses import domain_query, is_empty, no_answer
-from flowtally.functions.text import blank_to_null, clean, filled
+from flowtally.functions.responses import answer, domain_query, no_answer
+from flowtally.functions.text import clean, filled
 from flowtally.operators.answers import (
     aggregator_answers,
     domain_answers,
@@ -28,8 +26,9 @@ from flowtally.operators.answers import (
     service_answers,
     whois_answers,
 )
-from flowtally.operators.prefixes import match_prefixes, parse_prefixes
+from flowtally.operators.prefixes import parse_prefixes, with_best_prefix
 from flowtally.schema import ANSWER_FIELDS, RESOLVE_COLUMNS
+from flowtally.session import stage
 
 Step = Callable[[DataFrame], DataFrame]
 Tables = Mapping[str, DataFrame]
@@ -43,8 +42,8 @@ class Resolver:
     def answers(self, keys: DataFrame) -> DataFrame:
         """Ask for every key: ``keys`` plus the answer fields as text columns."""
         asked = self.step(keys.withColumn("wanted", F.lit(True)))
-        return asked.select(
-            *keys.columns, *[filled(F.col("answer")[name]).alias(name) for name in ANSWER_FIELDS]
+        return asked.selectExpr(
+            *keys.columns, *[f"coalesce(answer.{name}, '') AS {name}" for name in ANSWER_FIELDS]
         )
 
 
@@ -73,32 +72,37 @@ def ask(frame: DataFrame, table: DataFrame, extract: Step, key: Column | None =
 def first_filled(frame: DataFrame, tiers: Sequence[Step]) -> DataFrame:
     """Ask tier after tier for the keys without any answer so far. An answer counts as
     a whole: fields of different tiers are never mixed."""
-    whole = F.col("_whole")
+    texts = ", ".join(f"_whole.{name}" for name in ANSWER_FIELDS)
+    still_open = F.expr(f"_asked_first AND concat_ws('', {texts}) = ''")
     state = frame.withColumns({"_asked_first": F.col("wanted"), "_whole": no_answer()})
     for tier in tiers:
-        asked = tier(state.withColumn("wanted", F.col("_asked_first") & is_empty(whole)))
-        state = asked.withColumn("_whole", F.coalesce("answer", whole)).drop("answer")
+        asked = tier(state.withColumn("wanted", still_open))
+        state = asked.withColumn("_whole", F.coalesce("answer", "_whole")).drop("answer")
     return state.withColumn("wanted", F.col("_asked_first")).withColumnRenamed("_whole", "answer").drop("_asked_first")
 
 
 def chain(frame: DataFrame, steps: Sequence[Step]) -> DataFrame:
     """Merge providers field by field, earlier ones first. A key with all four columns
     filled is not asked further, and only asked providers can give the expiry hint."""
-    merged = F.col("_merged")
+    complete = " AND ".join(f"coalesce(_merged.{name}, '') <> ''" for name in RESOLVE_COLUMNS)
+    fields = ", ".join(
+        f"'{name}', coalesce(nullif(_merged.{name}, ''), answer.{name})" for name in ANSWER_FIELDS
+    )
+    incomplete, merged = F.expr(f"_asked_all AND NOT ({complete})"), F.expr(f"named_struct({fields})")
     state = frame.withColumns({"_asked_all": F.col("wanted"), "_merged": no_answer()})
-    complete = reduce(and_, [filled(merged[name]) != "" for name in RESOLVE_COLUMNS])
     for step in steps:
-        asked = step(state.withColumn("wanted", F.col("_asked_all") & ~complete))
-        fields = [F.coalesce(blank_to_null(merged[name]), F.col("answer")[name]).alias(name) for name in ANSWER_FIELDS]
-        state = asked.withColumn("_merged", F.struct(*fields)).drop("answer")
+        asked = step(state.withColumn("wanted", incomplete))
+        state = asked.withColumn("_merged", merged).drop("answer")
     return state.withColumn("wanted", F.col("_asked_all")).withColumnRenamed("_merged", "answer").drop("_asked_all")
 
 
 def from_results(function: Callable[[DataFrame], DataFrame]) -> Step:
     """Step of a function that maps a DataFrame of keys to at most one row per key with
-    any of the answer fields. Row-wise Python belongs into a ``mapInPandas`` there."""
+    any of the answer fields. Row-wise Python belongs into a ``mapInPandas`` there. The
+    keys so far are staged, because they are read twice: to ask and to join back."""
 
     def step(frame: DataFrame) -> DataFrame:
+        frame = stage(frame, "asked")
         found = function(frame.where("wanted").select("key"))
         fields = [
             (filled(F.col(name)) if name in found.columns else F.lit("")).alias(name) for name in ANSWER_FIELDS
@@ -118,13 +122,14 @@ def geo_step(blocks: DataFrame | None) -> Step:
     if blocks is None:
         return silent
 
-    def locate(keys: DataFrame) -> DataFrame:
-        prefixes = parse_prefixes(blocks)
-        return match_prefixes(keys, prefixes, -F.col("length"), clean(F.col("country"))).select(
-            "key", F.col("value").alias("country")
+    def step(frame: DataFrame) -> DataFrame:
+        located = with_best_prefix(
+            frame, parse_prefixes(blocks), -F.col("length"), clean(F.col("country")), "_country"
         )
+        found = F.when(F.col("wanted") & F.col("_country").isNotNull(), answer(country=F.col("_country")))
+        return located.withColumn("answer", found).drop("_country")
 
-    return from_results(locate)
+    return step
 
 
 def rdap_step(

@@ -13,7 +13,7 @@ from flowtally.functions.clock import slice_name
 from flowtally.functions.networks import Network, ipv4_only
 from flowtally.functions.text import clean
 from flowtally.operators.attach import attach, key_counts
-from flowtally.operators.prefixes import match_prefixes, parse_prefixes
+from flowtally.operators.prefixes import parse_prefixes, with_best_prefix
 
 # Up to this many networks the label is one CASE expression.
 MAX_CASES = 64
@@ -35,9 +35,8 @@ def with_label_from(frame: DataFrame, networks: DataFrame, source: str = "SrcIP"
     source is matched once, then joined back."""
     key = clean(F.col(source))
     counts = key_counts(frame, key)
-    labels = match_prefixes(counts, parse_prefixes(networks), F.col("position"), F.col("label"))
-    lookup = counts.join(labels, "key").withColumnRenamed("value", "subnet")
-    labelled = attach(frame, lookup, F.nullif(key, F.lit("")), counts=counts)
+    labels = with_best_prefix(counts, parse_prefixes(networks), F.col("position"), F.col("label"), "subnet")
+    labelled = attach(frame, labels, F.nullif(key, F.lit("")), counts=counts)
     return labelled.fillna(OTHER_LABEL, ["subnet"])
 
 

@@ -33,6 +33,8 @@ def local_session(cores: str = "*", app: str = "flowtally", partitions: int = 8)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
+    # Recording the Python line of every expression takes longer than making it.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()

@@ -65,7 +65,7 @@ def test_aggregator(frame):
         {"vcardArray": card("VK ADM"), "entities": [{"vcardArray": card("VK NOC")}]}, {"vcardArray": card("VK ADM")}]}
     texts = [{"success": True, "data": data}, {"success": False, "data": data}, {"success": True, "data": {}}, {"success": True}]
     got = ask(frame, answers.aggregator_answers, *map(json.dumps, texts))
-    assert got == [full(country="RU", contacts="VK ADM; VK NOC"), None, None, None]
+    assert got == [full(country="RU", contacts="VK ADM; VK NOC"), None, full(), None]
 
 
 def test_entities_nested_to_any_depth_parents_first(frame):
