@@ -1,7 +1,7 @@
 """Add country, network number, network description and contacts to rows.
 
-Only distinct keys are looked up. The answers are written to a stage table once; the
-join back, the cache update and the counters read that table.
+Only distinct keys are looked up. The keys and their answers are written to a stage
+table each; the join back, the cache update and the counters read the answers there.
 """
 
 from __future__ import annotations
@@ -108,8 +108,8 @@ def resolve(
     it first when it is the result of a shuffle. With a cache, ``now`` is needed."""
     if cache is not None and now is None:
         raise ValueError("A cache needs the time of the run: now")
-    keys = resolve_keys(rows, key_column, skip_already_enriched)
-    answers = stage(look_up(keys, resolver, cache, now), f"answers-{resolver.name}")
+    keys = stage(resolve_keys(rows, key_column, skip_already_enriched), "keys")
+    answers = stage(look_up(keys, resolver.among(keys), cache, now), f"answers-{resolver.name}")
     fresh = None if cache is None else caching.new_entries(answers.where(~F.col("cached")), resolver.name, now)
     back = join_back(rows, answers, key_column, skip_already_enriched, rows_per_task)
     return Resolution(back, answers.select("key", "key_rows", *ANSWER_FIELDS, "cached"), fresh)

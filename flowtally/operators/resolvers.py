@@ -36,8 +36,11 @@ Tables = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Resolver:
+    """A named step. ``rebuild`` makes the same step over the responses of some keys."""
+
     name: str
     step: Step
+    rebuild: Callable[[DataFrame], Step] | None = None
 
     def answers(self, keys: DataFrame) -> DataFrame:
         """Ask for every key: ``keys`` plus the answer fields as text columns."""
@@ -46,6 +49,12 @@ class Resolver:
             *keys.columns, *[f"coalesce(answer.{name}, '') AS {name}" for name in ANSWER_FIELDS]
         )
 
+    def among(self, keys: DataFrame) -> Resolver:
+        """The resolver over only the responses ``keys`` can ask for. Worth it for stored
+        keys: when they are few, the responses of all others are dropped in the scan's
+        own stage, before anything is shuffled."""
+        return self if self.rebuild is None else Resolver(self.name, self.rebuild(keys))
+
 
 # -- building blocks ---------------------------------------------------------------
 
@@ -183,6 +192,15 @@ def service_step(location: DataFrame | None, registration: DataFrame | None) ->
 
 Factory = Callable[..., Step]
 RESOLVERS: dict[str, Factory] = {}
+# Response tables whose ``key`` is the lookup key itself.
+KEYED_TABLES = [
+    "rdap",
+    "rdap_aggregator",
+    "rdap_bootstrap",
+    "whois",
+    "service_location",
+    "service_registration",
+]
 
 
 def register_resolver(name: str) -> Callable[[Factory], Factory]:
@@ -199,7 +217,17 @@ def get_resolver(name: str, tables: Tables | None = None, **options) -> Resolver
     if name not in RESOLVERS:
         known = ", ".join(sorted(RESOLVERS)) or "<none registered>"
         raise ValueError(f"Unknown resolver '{name}'. Available resolvers: {known}")
-    return Resolver(name, RESOLVERS[name](tables or {}, **options))
+    tables, factory = dict(tables or {}), RESOLVERS[name]
+
+    def rebuild(keys: DataFrame) -> Step:
+        asked = keys.select("key")
+        some = {
+            table: rows.join(asked, "key", "left_semi") if table in KEYED_TABLES else rows
+            for table, rows in tables.items()
+        }
+        return factory(some, **options)
+
+    return Resolver(name, factory(tables, **options), rebuild)
 
 
 @register_resolver("geo")
