@@ -26,11 +26,10 @@ def attach(
     rows: DataFrame,
     lookup: DataFrame,
     key: Column,
-    how: str = "left",
     counts: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join ``lookup`` (unique ``key``, its row count ``key_rows``, further columns).
+    """Left join ``lookup`` (unique ``key``, its row count ``key_rows``, further columns).
     ``counts`` may give ``(key, key_rows)`` where that is cheaper to read twice.
 
     ``key`` may be NULL for rows that need no lookup. The copies of a frequent key get
@@ -63,4 +62,4 @@ def attach(
     salted_lookup = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1))
     ).withColumnRenamed("key", "_key")
-    return salted_rows.join(salted_lookup.drop("key_rows"), ["_key", "_salt"], how).drop("_key", "_salt")
+    return salted_rows.join(salted_lookup.drop("key_rows"), ["_key", "_salt"], "left").drop("_key", "_salt")

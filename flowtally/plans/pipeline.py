@@ -21,7 +21,7 @@ from flowtally.operators.split import with_label, with_slice
 from flowtally.operators.trim import trim
 from flowtally.plans.settings import Settings
 from flowtally.schema import DEFAULT_KEY_COLUMN
-from flowtally.session import stage
+from flowtally.session import stage, stage_scope
 from flowtally.sources.registry import get_source
 from flowtally.sources.tables import merge_files, read_csv, write_csv, write_split
 
@@ -237,20 +237,23 @@ def run_pipeline(
     """
     settings = settings or Settings()
     first = parse_steps(declared, overrides)[0][0]
-    frame = None if inputs is None or first == "collect" else read_csv(spark, inputs, multiline=multiline)
-    planned = plan(spark, declared, frame, overrides, settings)
+    with stage_scope(spark):
+        frame = None if inputs is None or first == "collect" else read_csv(spark, inputs, multiline=multiline)
+        planned = plan(spark, declared, frame, overrides, settings)
+        if planned.split is None and output is None:
+            raise ValueError("Nowhere to write: give output, or out_dir in an aggregate step")
+        return _write(planned, output, settings)
+
+
+def _write(planned: Plan, output: str | None, settings: Settings) -> int:
     seen = Observation("written")
-    rows = planned.frame
+    rows, part = planned.frame, planned.split
     if "count" in rows.columns:
         rows = rows.withColumn("count", F.col("count").try_cast("bigint"))
-    if planned.split is not None:
-        part = planned.split
+    if part is not None:
         labelled = with_label(rows, parse_networks(settings.cidrs))
         sliced = with_slice(labelled, settings.now, part.start, part.end, part.time_unit)
         write_split(sliced, part.out_dir, seen=seen)
-    elif output is None:
-        raise ValueError("Nowhere to write: give output, or out_dir in an aggregate step")
     else:
-        rows = ordered(rows) if "count" in rows.columns else rows
-        write_csv(rows, output, seen=seen)
+        write_csv(ordered(rows) if "count" in rows.columns else rows, output, seen=seen)
     return seen.get["rows"]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +52,16 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="flowtally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="flowtally-")
+
+
+# Paths of the stage tables made in each open scope.
+_scopes: list[list[str]] = []
 
 
 def stage(frame: DataFrame, name: str) -> DataFrame:
@@ -63,4 +73,19 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/flowtally-{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the stage tables made inside when leaving; results must be written by then."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, made):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

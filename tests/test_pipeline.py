@@ -126,3 +126,12 @@ def test_cache_of_a_run(spark, raw, tmp_path):
     run_pipeline(spark, ["aggregate", "resolve"], str(tmp_path / "b"), raw, overrides={"cache": False}, settings=settings)
     assert written(spark, tmp_path / "a") == written(spark, tmp_path / "b")
     assert len(list((tmp_path / "cache").iterdir())) == 1
+
+
+def test_stage_tables_of_a_run_are_removed(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setattr("flowtally.session.shared_folder", lambda spark: str(tmp_path / "shared"))
+    settings = Settings(resolver="same", now=NOW)
+    assert run_pipeline(spark, ["aggregate", "resolve"], str(tmp_path / "a"), raw, settings=settings) == 2
+    assert list((tmp_path / "shared").iterdir()) == []
+    assert plan(spark, ["resolve"], read_csv(spark, raw), settings=settings).frame.count() == 4
+    assert len(list((tmp_path / "shared").iterdir())) == 3

@@ -195,12 +195,12 @@ def needed(*names: str) -> list[str]:
 # several files.
 STORED = [name for name in VIEWS if name.endswith("_raw")] + ["geo_blocks", "resolve_cache", "hosts", "owners"]
 
-_loaded: dict[tuple[str, str, str], DataFrame] = {}
+_loaded: dict[tuple, DataFrame] = {}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, or a view over the tables in ``sf_dir``."""
-    place = (spark.sparkContext.applicationId, sf_dir, name)
+    place = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
     if place not in _loaded:
         if name not in VIEWS:
             _loaded[place] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
