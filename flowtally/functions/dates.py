@@ -11,10 +11,11 @@ from flowtally.functions.clock import instant
 from flowtally.functions.text import clean
 
 # The accepted spellings. ISO-8601 in extended or basic form with any
-# separator before the time and an optional offset, or a bare day.
+# separator before the time and an optional offset, weeks, or a bare day.
 CLOCK = r"\d{2}(?:(:?)\d{2}(?:\3\d{2}(?:[.,]\d+)?)?)?"
 OFFSET = r"[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?"
 ISO_DATE = rf"(?s)\A(\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}})(?:.({CLOCK})({OFFSET})?)?\z"
+WEEK_DATE = r"(?s)\A(\d{4})(-?)W(\d{2})(?:\2(\d))?(?:T(.*))?\z"
 DAY = r"\A(\d{4})([-.]?)(1[0-2]|0[1-9]|[1-9])\2(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])\z"
 
 MAX_LIFETIME_DAYS = 366
@@ -50,6 +51,19 @@ def _moment(text: Column) -> Column:
     return F.when(valid, F.timestamp_micros(F.unix_micros(whole) + micros - behind.cast("bigint") * 1_000_000))
 
 
+def _week_to_day(text: Column) -> Column:
+    """``2025-W01-3T10`` as ``2025-01-01T10``; other texts unchanged."""
+    year, week, day = (F.regexp_extract(text, WEEK_DATE, group).try_cast("int") for group in (1, 3, 4))
+    day = F.coalesce(day, F.lit(1))
+    fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in week 1
+    monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week - 1) * 7)
+    valid = (week >= 1) & day.between(1, 7) & (F.year(F.date_add(monday, 3)) == year)
+    date = F.date_format(F.date_add(monday, day - 1), "yyyy-MM-dd")
+    clock = F.regexp_extract(text, WEEK_DATE, 5)
+    known = F.when(valid, F.concat(date, F.when(clock == "", "").otherwise(F.concat(F.lit("T"), clock))))
+    return F.when(text.rlike(WEEK_DATE), known).otherwise(text)
+
+
 def _day(text: Column) -> Column:
     year, month, day = (F.trim(F.regexp_extract(text, DAY, group)).try_cast("int") for group in (1, 3, 4))
     zero = F.lit(0)
@@ -61,7 +75,8 @@ def parse_date(value: Column) -> Column:
     """ISO-8601 (without offset: UTC), else a date in the first ten characters as
     ``Y-m-d``, ``Y.m.d`` or ``Ymd``, else NULL."""
     text = clean(value)
-    return F.coalesce(_moment(F.replace(text, F.lit("Z"), F.lit("+00:00"))), _day(F.substring(text, 1, 10)))
+    iso = _week_to_day(F.replace(text, F.lit("Z"), F.lit("+00:00")))
+    return F.coalesce(_moment(iso), _day(F.substring(text, 1, 10)))
 
 
 def cache_expiry(expires: Column, now: datetime) -> Column:

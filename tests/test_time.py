@@ -14,6 +14,7 @@ DATES = [
     "2025-01-02T10:11:12.1234567", "2025-01-02T10", "2025-01-02T", "2025-01-02x", "2025.01.03 extra",
     "2025-01-02T10:11:12+25:00", "2025-01-02T10:11:12,5", "2025-01-02T10:1112", "2025", "2025-01", " 2025-01-02\n",
     "0000-01-01", "2025-01-02T10:11:12-00:30", "20250104 foo", "2024-02-29", "2025-01-02T10Z", "2025- 1- 2",
+    "2025-W01-1", "2025W013", "2025-W01", "2025W01", "2020-W53-7", "2021-W53-1", "2025-W00-1", "2025-W01-8", "2025-W10-3T10:11Z",
 ]
 
 
