@@ -109,7 +109,11 @@ def resolve(
     if cache is not None and now is None:
         raise ValueError("A cache needs the time of the run: now")
     keys = stage(resolve_keys(rows, key_column, skip_already_enriched), "keys")
-    answers = stage(look_up(keys, resolver.among(keys), cache, now), f"answers-{resolver.name}")
+    # Extraction costs far more per key than its bytes suggest, so the number of tasks must
+    # not follow from the size of the stage table; the joins on key reuse the partitioning.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = look_up(keys.repartition(tasks, "key"), resolver.among(keys), cache, now)
+    answers = stage(asked, f"answers-{resolver.name}")
     fresh = None if cache is None else caching.new_entries(answers.where(~F.col("cached")), resolver.name, now)
     back = join_back(rows, answers, key_column, skip_already_enriched, rows_per_task)
     return Resolution(back, answers.select("key", "key_rows", *ANSWER_FIELDS, "cached"), fresh)
