@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtally.llm import decontaminate, mixing, sharding, simhash, toxicity
+from flowtally.llm import decontaminate, language, linededup, mixing, quality, quotes, sharding, simhash, suffixdedup, toxicity
 from flowtally.llm.common import table
 
 
@@ -16,6 +16,24 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), "epoch", "block", "slot", "position")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.without_boilerplate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("clean").cast("bigint").alias("n_chars"), F.md5("clean").alias("clean_md5"))
+
+
+def op4_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -35,12 +53,21 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_quality": op2_quality,
+    "op3_linededup": op3_linededup,
+    "op4_suffixdedup": op4_suffixdedup,
+    "op5_language": op5_language,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_quotes": op10_quotes,
 }
 
 
