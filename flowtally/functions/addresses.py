@@ -7,15 +7,14 @@ generation. The number of an address is only needed where addresses are joined.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowtally.functions.networks import Network, ipv4_only, parse_networks
-from flowtally.functions.text import WHITESPACE, filled
+from flowtally.functions.text import clean
 
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"\A{OCTET}(?:\.{OCTET}){{3}}\z"
@@ -76,9 +75,18 @@ def in_networks(text: Column, networks: Sequence[Network]) -> Column:
 
 
 def starts_in_networks(text: Column, networks: Sequence[Network]) -> Column:
-    """Cheap test implied by membership; reaches the scan as StringStartsWith."""
+    """Coarse test implied by membership: the text starts with the octets a network fixes."""
     prefixes = dict.fromkeys(net.octets for net in ipv4_only(networks))
-    return reduce(or_, [text.startswith(prefix) for prefix in prefixes], F.lit(False))
+    if not prefixes:
+        return F.lit(False)
+    choice = "|".join(prefix.replace(".", r"\.") for prefix in prefixes)
+    return F.coalesce(text.rlike(rf"\A(?:{choice})"), F.lit(False))
+
+
+def starts_between(text: Column, prefixes: Sequence[str]) -> Column:
+    """Implied by starting with, or being, one of the prefixes: one range of texts, which
+    reaches the scan whatever their number. A colon sorts behind all that addresses hold."""
+    return (text >= min(prefixes)) & (text < max(prefix + ":" for prefix in prefixes))
 
 
 def is_private(text: Column) -> Column:
@@ -91,8 +99,11 @@ def is_private(text: Column) -> Column:
 def subnet_label(text: Column, networks: Sequence[Network]) -> Column:
     """Label of the first listed network holding the address, else ``other``. White
     space around the address does not count."""
-    label = F.lit(OTHER_LABEL)
-    for net in reversed(ipv4_only(networks)):
-        inside = filled(text).rlike(rf"\A[{WHITESPACE}]*{network_pattern(net)}[{WHITESPACE}]*\z")
-        label = F.when(inside, net.label).otherwise(label)
-    return label
+    listed = [{"low": net.low, "high": net.high, "label": net.label} for net in ipv4_only(networks)]
+    # One constant, so that the expression is as flat for thousands of networks as for one.
+    table = F.from_json(F.lit(json.dumps(listed)), "array<struct<low: bigint, high: bigint, label: string>>")
+    number = F.array(ipv4_number(clean(text)))
+    first = F.transform(
+        number, lambda n: F.get(F.filter(table, lambda net: (n >= net["low"]) & (n <= net["high"])), F.lit(0))["label"]
+    )
+    return F.coalesce(F.get(first, F.lit(0)), F.lit(OTHER_LABEL))

@@ -38,6 +38,22 @@ def json_text(text: Column, path: str) -> Column:
     return F.coalesce(F.get_json_object(text, path), F.lit(""))
 
 
+def json_document(text: Column) -> Column:
+    """The parsed object, which keeps the kinds of its values; NULL where there is none."""
+    return F.try_parse_json(json_object(text))
+
+
+def meant(document: Column, path: str) -> Column:
+    """Text of a value, empty where it is missing or says nothing: ``0``, ``false``, ``null``
+    or something empty. The text ``"0"`` is a value like any other."""
+    value = F.try_variant_get(document, path, "variant")
+    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    text = F.coalesce(F.try_variant_get(document, path, "string"), F.lit(""))
+    zero = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (text.try_cast("double") == 0)
+    nothing = (kind == "VOID") | ((kind == "BOOLEAN") & (text == "false")) | ((kind != "STRING") & text.isin("[]", "{}"))
+    return F.when(nothing | F.coalesce(zero, F.lit(False)), F.lit("")).otherwise(text)
+
+
 # -- registration data (RDAP) ------------------------------------------------------
 
 

@@ -17,9 +17,11 @@ from flowtally.functions.responses import (
     entity_contacts,
     expiration,
     json_array,
+    json_document,
     json_fields,
     json_object,
     json_text,
+    meant,
     object_contacts,
 )
 from flowtally.functions.text import blank_to_null, clean, filled, joined_names, lines, strip
@@ -27,33 +29,32 @@ from flowtally.functions.text import blank_to_null, clean, filled, joined_names,
 
 def rdap_answers(frame: DataFrame, response: str = "response") -> DataFrame:
     """Registration data as an address lookup returns it."""
-    parsed = frame.withColumn(
-        "_data",
-        json_fields(F.col(response), "asn", "asn_description", "asn_country_code", "network", "objects"),
+    parsed = frame.withColumns(
+        {"_data": json_fields(F.col(response), "network", "objects"), "_doc": json_document(F.col(response))}
     )
-    data, network = F.col("_data"), F.col("_data.network")
+    data, network, doc = F.col("_data"), F.col("_data.network"), F.col("_doc")
     found = answer(
         country=F.coalesce(
-            blank_to_null(clean(data["asn_country_code"])),
-            clean(F.get_json_object(network, "$.country")),
+            blank_to_null(clean(meant(doc, "$.asn_country_code"))),
+            clean(meant(doc, "$.network.country")),
         ),
-        asn=clean(data["asn"]),
-        asn_descr=clean(data["asn_description"]),
+        asn=clean(meant(doc, "$.asn")),
+        asn_descr=clean(meant(doc, "$.asn_description")),
         contacts=object_contacts(data["objects"]),
         expires=expiration(F.get_json_object(network, "$.events"), "action", "timestamp"),
     )
-    return parsed.withColumn("answer", F.when(data.isNotNull(), found)).drop("_data")
+    return parsed.withColumn("answer", F.when(data.isNotNull(), found)).drop("_data", "_doc")
 
 
 def aggregator_answers(frame: DataFrame, response: str = "response") -> DataFrame:
     """An aggregator wraps the registry's own object; it never knows the network number."""
     parsed = frame.withColumn("_reply", json_fields(F.col(response), "success", "data")).withColumn(
-        "_data", json_fields(F.col("_reply.data"), "country", "entities", "events")
+        "_data", json_fields(F.col("_reply.data"), "entities", "events")
     )
     data = F.col("_data")
     success = ~filled(F.col("_reply.success")).isin(*EMPTY_JSON)
     found = answer(
-        country=clean(data["country"]),
+        country=clean(meant(json_document(F.col("_reply.data")), "$.country")),
         contacts=entity_contacts(data["entities"]),
         expires=expiration(data["events"], "eventAction", "eventDate"),
     )
@@ -62,31 +63,31 @@ def aggregator_answers(frame: DataFrame, response: str = "response") -> DataFram
 
 def whois_answers(frame: DataFrame, response: str = "response") -> DataFrame:
     parsed = (
-        frame.withColumn("_data", json_fields(F.col(response), "asn", "asn_description", "nets"))
+        frame.withColumns({"_data": json_fields(F.col(response), "nets"), "_doc": json_document(F.col(response))})
         .withColumn("_nets", json_array(F.col("_data.nets")))
         .withColumn(
             "_texts",
             F.transform(
                 F.filter("_nets", lambda net: F.ltrim(net).startswith("{")),
                 lambda net: F.coalesce(
-                    blank_to_null(json_text(net, "$.description")),
-                    json_text(net, "$.name"),
+                    blank_to_null(meant(json_document(net), "$.description")),
+                    meant(json_document(net), "$.name"),
                 ),
             ),
         )
     )
-    data = F.col("_data")
+    data, doc = F.col("_data"), F.col("_doc")
     first_lines = F.transform("_texts", lambda text: strip(F.get(lines(strip(text)), F.lit(0))))
     found = answer(
-        country=clean(F.get_json_object(F.get("_nets", F.lit(0)), "$.country")),
-        asn=clean(data["asn"]),
-        asn_descr=clean(data["asn_description"]),
+        country=clean(meant(json_document(F.get("_nets", F.lit(0))), "$.country")),
+        asn=clean(meant(doc, "$.asn")),
+        asn_descr=clean(meant(doc, "$.asn_description")),
         contacts=filled(joined_names(first_lines)),
     )
     # A name of white space only has no first line; such a response counts as failed.
     broken = F.exists("_texts", lambda text: (text != "") & (strip(text) == ""))
     readable = data.isNotNull() & ~F.coalesce(broken, F.lit(False))
-    return parsed.withColumn("answer", F.when(readable, found)).drop("_data", "_nets", "_texts")
+    return parsed.withColumn("answer", F.when(readable, found)).drop("_data", "_doc", "_nets", "_texts")
 
 
 def domain_answers(frame: DataFrame, response: str = "response") -> DataFrame:
@@ -119,18 +120,11 @@ def service_answers(
 ) -> DataFrame:
     """A lookup service with separate location and registration replies, which fail
     independently of each other."""
-    parsed = frame.withColumn(
-        "_whois",
-        F.from_json(
-            F.get_json_object(registration, "$.ip_whois"),
-            "asn string, asn_description string, objects string",
-        ),
-    )
-    whois = F.col("_whois")
+    parsed = frame.withColumn("_doc", json_document(F.col(registration)))
     found = answer(
-        country=json_text(F.col(location), "$.country.name"),
-        asn=filled(whois["asn"]),
-        asn_descr=filled(whois["asn_description"]),
-        contacts=object_contacts(whois["objects"]),
+        country=meant(json_document(F.col(location)), "$.country.name"),
+        asn=meant(F.col("_doc"), "$.ip_whois.asn"),
+        asn_descr=meant(F.col("_doc"), "$.ip_whois.asn_description"),
+        contacts=object_contacts(F.get_json_object(registration, "$.ip_whois.objects")),
     )
-    return parsed.withColumn("answer", found).drop("_whois")
+    return parsed.withColumn("answer", found).drop("_doc")

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is spread over several tasks.
-ROWS_PER_TASK = 5_000_000
-# Upper bound of the broadcast list of frequent keys. Keys beyond it are joined the
-# plain way, as every other key is.
-MAX_HOT_KEYS = 10_000
 # Rows without a key match nothing, so they may go anywhere.
 KEYLESS_SPREAD = 1 << 16
 
@@ -22,44 +17,17 @@ def key_counts(rows: DataFrame, key: Column, where: Column | None = None) -> Dat
     )
 
 
-def attach(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: Column,
-    counts: DataFrame | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def attach(rows: DataFrame, lookup: DataFrame, key: Column) -> DataFrame:
     """Left join ``lookup`` (unique ``key``, its row count ``key_rows``, further columns).
-    ``counts`` may give ``(key, key_rows)`` where that is cheaper to read twice.
 
-    ``key`` may be NULL for rows that need no lookup. The copies of a frequent key get
-    a salt each, and its lookup row is repeated once per salt; all other keys have the
-    single salt 0. The number of output rows is that of the join without salts.
+    ``key`` may be NULL for rows that need no lookup; they are spread over all tasks. A
+    frequent key is split by the adaptive skew join, which may repeat the lookup's single
+    row: the number of output rows is that of ``rows``.
     """
-    copies = F.ceil(F.col("key_rows") / rows_per_task).cast("int")
-    hot = (
-        (lookup if counts is None else counts)
-        .where(F.col("key_rows") > rows_per_task)
-        .orderBy(F.desc("key_rows"), "key")
-        .limit(MAX_HOT_KEYS)
-        .select(F.col("key").alias("_key"), copies.alias("_copies"))
-    )
     # Fixed for a task's input, so a retried task sends every row to the same place.
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in rows.columns])
-    salted_rows = (
-        rows.withColumn("_key", key)
-        .withColumn("_spread", spread)
-        .join(F.broadcast(hot), "_key", "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_key").isNull(), F.pmod("_spread", F.lit(KEYLESS_SPREAD)))
-            .when(F.col("_copies").isNotNull(), F.pmod("_spread", F.col("_copies").cast("bigint")))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .drop("_spread", "_copies")
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(name) for name in rows.columns]), F.lit(KEYLESS_SPREAD))
+    keyed = rows.withColumn("_key", key).withColumn(
+        "_keyless", F.when(F.col("_key").isNull(), spread + 1).otherwise(F.lit(0).cast("bigint"))
     )
-    salted_lookup = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1))
-    ).withColumnRenamed("key", "_key")
-    return salted_rows.join(salted_lookup.drop("key_rows"), ["_key", "_salt"], "left").drop("_key", "_salt")
+    found = lookup.drop("key_rows").withColumnRenamed("key", "_key").withColumn("_keyless", F.lit(0).cast("bigint"))
+    return keyed.fillna("", ["_key"]).join(found, ["_key", "_keyless"], "left").drop("_key", "_keyless")

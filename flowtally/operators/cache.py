@@ -25,7 +25,7 @@ def live_entries(cache: DataFrame, resolver: str, now: datetime) -> DataFrame:
     return (
         cache.where(F.col("key").startswith(prefix) & (F.col("expires_at") > instant(now)))
         .select(
-            F.substring("key", len(prefix) + 1, 1 << 30).alias("key"),
+            F.expr(f"substring(key, {len(prefix) + 1})").alias("key"),
             F.struct(*RESOLVE_COLUMNS).alias("cached"),
             "expires_at",
         )

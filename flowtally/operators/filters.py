@@ -18,10 +18,12 @@ from flowtally.functions.addresses import (
     in_networks,
     is_ipv4,
     is_private,
+    starts_between,
     starts_in_networks,
 )
 from flowtally.functions.clock import check_range, instant, shift_now
-from flowtally.functions.networks import Network
+from flowtally.functions.networks import Network, ipv4_only
+from flowtally.operators.prefixes import parse_prefixes, with_best_prefix
 from flowtally.schema import STREAM_FIELD
 
 MATCH_MODES = ("or", "and")
@@ -72,16 +74,17 @@ def source_prefilter(
 def source_hint(
     allowlist: Sequence[str], networks: Sequence[Network], mode: str = "or", source: str = "SrcIP"
 ) -> Column | None:
-    """Implied by ``source_match`` and made of prefix tests alone, so that it reaches the
-    scan. Were the list tested exactly here too, the optimizer would factor it out of
-    both filters and push neither."""
-    blocks = dict.fromkeys(text.rpartition(".")[0] + "." if "." in text else text for text in allowlist)
-    listed = [F.col(source).startswith(block) for block in blocks]
-    return _combine(
-        reduce(lambda left, right: left | right, listed) if listed else None,
-        starts_in_networks(F.col(source), networks) if networks else None,
-        mode,
-    )
+    """Implied by ``source_match`` and made of ranges of text alone, so that it reaches the
+    scan and is as small for a long list as for a short one."""
+    prefixes = [net.octets for net in ipv4_only(networks)]
+    if networks and not prefixes:
+        inside = F.lit(False)
+    else:
+        inside = starts_between(F.col(source), prefixes) if prefixes else None
+    listed = starts_between(F.col(source), list(allowlist)) if allowlist else None
+    if mode == "or" and listed is not None and prefixes:
+        return starts_between(F.col(source), [*allowlist, *prefixes])
+    return _combine(listed, inside, mode)
 
 
 def source_match(
@@ -96,6 +99,37 @@ def source_match(
     )
 
 
+def in_source_tables(
+    rows: DataFrame,
+    addresses: DataFrame | None = None,
+    networks: DataFrame | None = None,
+    mode: str = "or",
+    source: str = "SrcIP",
+) -> DataFrame:
+    """Rows whose source matches as in ``source_match``, for lists of any length given as
+    tables: ``(address)`` and ``(network)``. All columns are kept.
+
+    Each distinct source is matched once: by a join with the addresses, and by the prefix
+    join with the networks. ``rows`` is read twice.
+    """
+    if mode not in MATCH_MODES:
+        raise ValueError(f"Unknown match mode '{mode}'. Available: {', '.join(MATCH_MODES)}")
+    if addresses is None and networks is None:
+        return rows
+    found = rows.where(F.col(source).isNotNull()).select(F.col(source).alias("key")).distinct()
+    tests = []
+    if addresses is not None:
+        listed = addresses.select(F.col("address").alias("key"), F.lit(True).alias("_listed")).distinct()
+        found = found.join(listed, "key", "left")
+        tests.append(F.col("_listed").isNotNull())
+    if networks is not None:
+        prefixes = parse_prefixes(networks)
+        found = with_best_prefix(found, prefixes, -F.col("length"), F.lit(True), "_inside")
+        tests.append(F.col("_inside").isNotNull() & is_ipv4(F.col("key")))
+    wanted = tests[0] if len(tests) == 1 else tests[0] & tests[1] if mode == "and" else tests[0] | tests[1]
+    return rows.join(found.where(wanted).select(F.col("key").alias(source)), source, "left_semi").select(*rows.columns)
+
+
 def _combine(listed: Column | None, inside: Column | None, mode: str) -> Column | None:
     if mode not in MATCH_MODES:
         raise ValueError(f"Unknown match mode '{mode}'. Available: {', '.join(MATCH_MODES)}")

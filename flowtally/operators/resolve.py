@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowtally.functions.text import clean, filled
 from flowtally.operators import cache as caching
-from flowtally.operators.attach import ROWS_PER_TASK, attach, key_counts
+from flowtally.operators.attach import attach, key_counts
 from flowtally.operators.resolvers import Resolver
 from flowtally.schema import ANSWER_FIELDS, DEFAULT_KEY_COLUMN, RESOLVE_COLUMNS
 from flowtally.session import stage
@@ -75,7 +75,6 @@ def join_back(
     answers: DataFrame,
     key_column: str = DEFAULT_KEY_COLUMN,
     skip_already_enriched: bool = True,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Overwrite all four columns of every pending row with a key, also with empty
     text; enriched rows and rows without a key stay as they are."""
@@ -84,7 +83,7 @@ def join_back(
     found = answers.select(
         "key", "key_rows", F.lit(True).alias("_found"), *[F.col(name).alias(f"_new_{name}") for name in RESOLVE_COLUMNS]
     )
-    joined = attach(rows, found, key, rows_per_task=rows_per_task)
+    joined = attach(rows, found, key)
     return joined.select(
         [
             F.when(F.col("_found"), filled(F.col(f"_new_{name}"))).otherwise(F.col(name)).alias(name)
@@ -102,7 +101,6 @@ def resolve(
     cache: DataFrame | None = None,
     now: datetime | None = None,
     skip_already_enriched: bool = True,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> Resolution:
     """Enrich ``rows``; their number does not change. ``rows`` is read twice, so stage
     it first when it is the result of a shuffle. With a cache, ``now`` is needed."""
@@ -115,7 +113,7 @@ def resolve(
     asked = look_up(keys.repartition(tasks, "key"), resolver.among(keys), cache, now)
     answers = stage(asked, f"answers-{resolver.name}")
     fresh = None if cache is None else caching.new_entries(answers.where(~F.col("cached")), resolver.name, now)
-    back = join_back(rows, answers, key_column, skip_already_enriched, rows_per_task)
+    back = join_back(rows, answers, key_column, skip_already_enriched)
     return Resolution(back, answers.select("key", "key_rows", *ANSWER_FIELDS, "cached"), fresh)
 
 

@@ -64,10 +64,15 @@ def silent(frame: DataFrame) -> DataFrame:
     return frame.withColumn("answer", no_answer())
 
 
-def one_response(table: DataFrame, key: str = "key", body: str = "json", at: str | None = None) -> DataFrame:
-    """One response per key, the newest if ``at`` names a time column. The grouping
-    leaves the table partitioned by key, which the join on key then uses."""
-    best = F.max(body) if at is None else F.max_by(body, at)
+# Column of a response table that tells when a response was fetched.
+FETCHED = "fetched_at"
+
+
+def one_response(table: DataFrame, key: str = "key", body: str = "json") -> DataFrame:
+    """One response per key: the newest, if the table tells by ``fetched_at``; of equally
+    new ones the greatest text. The grouping leaves the table partitioned by key, which the
+    join on key then uses."""
+    best = F.max(F.struct(FETCHED, body))[body] if FETCHED in table.columns else F.max(body)
     return table.groupBy(F.col(key).alias("_asked")).agg(best.alias("response"))
 
 

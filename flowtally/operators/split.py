@@ -10,33 +10,30 @@ from pyspark.sql import functions as F
 
 from flowtally.functions.addresses import OTHER_LABEL, subnet_label
 from flowtally.functions.clock import slice_name
-from flowtally.functions.networks import Network, ipv4_only
+from flowtally.functions.networks import Network
 from flowtally.functions.text import clean
 from flowtally.operators.attach import attach, key_counts
 from flowtally.operators.prefixes import parse_prefixes, with_best_prefix
 
-# Up to this many networks the label is one CASE expression.
-MAX_CASES = 64
-
 
 def with_label(frame: DataFrame, networks: Sequence[Network], source: str = "SrcIP") -> DataFrame:
-    """Add ``subnet``: the label of the first listed network holding the source."""
+    """Add ``subnet``: the label of the first listed network holding the source.
+
+    Every row looks through the whole list, however long it is; use :func:`with_label_from`
+    where a long list is worth matching each distinct source once."""
     if source not in frame.columns:
         raise ValueError(f"Splitting by subnet needs a '{source}' column")
-    if len(networks) <= MAX_CASES:
-        return frame.withColumn("subnet", subnet_label(F.col(source), networks))
-    listed = [(i, net.text, net.label) for i, net in enumerate(ipv4_only(networks))]
-    table = frame.sparkSession.createDataFrame(listed, "position int, network string, label string")
-    return with_label_from(frame, table, source)
+    return frame.withColumn("subnet", subnet_label(F.col(source), networks))
 
 
 def with_label_from(frame: DataFrame, networks: DataFrame, source: str = "SrcIP") -> DataFrame:
     """The same for a table ``(position, network, label)`` of any size: each distinct
-    source is matched once, then joined back."""
+    source is matched once, then joined back. ``frame`` is read twice, so stage it first
+    when it is expensive; it cannot be a stream."""
     key = clean(F.col(source))
     counts = key_counts(frame, key)
     labels = with_best_prefix(counts, parse_prefixes(networks), F.col("position"), F.col("label"), "subnet")
-    labelled = attach(frame, labels, F.nullif(key, F.lit("")), counts=counts)
+    labelled = attach(frame, labels, F.nullif(key, F.lit("")))
     return labelled.fillna(OTHER_LABEL, ["subnet"])
 
 

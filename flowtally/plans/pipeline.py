@@ -1,187 +1,260 @@
-"""Declared pipelines: a list of steps becomes one lazy DataFrame and one sink."""
+"""Declared pipelines: a list of steps becomes one lazy DataFrame and one sink.
+
+Each kind of step is described once: its options, the columns it gives and what it does.
+Everything that can be refused is refused from these descriptions, before a row is read.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, fields
-from typing import Any, NamedTuple
+from dataclasses import dataclass, field
+from types import MappingProxyType
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowtally.functions.clock import UNIT_SECONDS, check_range
 from flowtally.functions.networks import parse_networks
-from flowtally.operators.aggregate import aggregate, ordered
-from flowtally.operators.cache import upsert
+from flowtally.operators.aggregate import aggregate, group_columns, ordered
 from flowtally.operators.collect import CollectRules
-from flowtally.operators.merge import merge_frames
+from flowtally.operators.merge import MERGE_WAYS
 from flowtally.operators.resolve import resolve
 from flowtally.operators.resolvers import get_resolver
 from flowtally.operators.split import with_label, with_slice
-from flowtally.operators.trim import trim
+from flowtally.operators.trim import kept_columns, trim
 from flowtally.plans.settings import Settings
-from flowtally.schema import DEFAULT_KEY_COLUMN
+from flowtally.schema import COLLECT_COLUMNS, DEFAULT_KEY_COLUMN, RESOLVE_COLUMNS
 from flowtally.session import stage, stage_scope
 from flowtally.sources.registry import get_source
-from flowtally.sources.tables import merge_files, read_csv, write_csv, write_split
+from flowtally.sources.tables import READ_MODES, merge_files, read_csv, write_csv, write_split
 
-# -- parameters --------------------------------------------------------------------
+# -- options -----------------------------------------------------------------------
 
+Reader = Callable[[Any], Any]
 
-@dataclass(frozen=True)
-class CollectParams:
-    source: str | None = None
-    start: int = 1
-    end: int = 0
-    time_unit: str = "h"
 
+def whole(value: Any) -> int | None:
+    if value is None:
+        return None
+    if isinstance(value, bool) or not str(value).lstrip("-").isdigit():
+        raise ValueError(f"{value!r} is no whole number")
+    return int(value)
 
-@dataclass(frozen=True)
-class TrimParams:
-    pass
 
+def number(value: Any) -> int:
+    if value is None:
+        raise ValueError("a whole number is needed")
+    return whole(value)
 
-@dataclass(frozen=True)
-class MergeParams:
-    inputs: Sequence[str] = ()
 
+def optional_text(value: Any) -> str | None:
+    if not isinstance(value, str | None):
+        raise ValueError(f"{value!r} is no text")
+    return value
 
-@dataclass(frozen=True)
-class AggregateParams:
-    min_count: int | None = None
-    out_dir: str | None = None
-    start: int = 1
-    end: int = 0
-    time_unit: str = "h"
 
+def text(value: Any) -> str:
+    if not isinstance(value, str) or not value:
+        raise ValueError("a text is needed")
+    return value
 
-@dataclass(frozen=True)
-class ResolveParams:
-    resolver: str | None = None
-    key_column: str = DEFAULT_KEY_COLUMN
-    workers: int | None = None  # accepted; Spark decides how many tasks look up
-    cache: bool = True
-
-
-def _check(name: str, value: Any) -> Any:
-    """The value in its parameter's type, or ValueError."""
-    if name in ("start", "end", "min_count", "workers") and value is not None:
-        if isinstance(value, bool) or not str(value).lstrip("-").isdigit():
-            raise ValueError(f"{name}: need a whole number, got {value!r}")
-        return int(value)
-    if name == "time_unit" and value not in UNIT_SECONDS:
-        raise ValueError(f"{name}: need one of {', '.join(UNIT_SECONDS)}, got {value!r}")
-    if name == "cache" and not isinstance(value, bool):
-        raise ValueError(f"{name}: need true or false, got {value!r}")
-    if name == "inputs" and (isinstance(value, str) or not all(isinstance(one, str) for one in value)):
-        raise ValueError(f"{name}: need a list of paths, got {value!r}")
-    if name in ("source", "out_dir", "resolver", "key_column") and not isinstance(value, str | None):
-        raise ValueError(f"{name}: need a text, got {value!r}")
+
+def switch(value: Any) -> bool:
+    if not isinstance(value, bool):
+        raise ValueError(f"{value!r} is neither true nor false")
     return value
 
 
-# -- steps -------------------------------------------------------------------------
+def paths(value: Any) -> tuple[str, ...]:
+    if isinstance(value, str) or not isinstance(value, Sequence) or not all(isinstance(one, str) for one in value):
+        raise ValueError(f"a list of paths is needed, not {value!r}")
+    return tuple(value)
+
+
+def choice(*known: str) -> Reader:
+    def read(value: Any) -> str:
+        if value not in known:
+            raise ValueError(f"{value!r} is none of {', '.join(known)}")
+        return value
 
+    return read
+
+
+RANGE = {"start": (number, 1), "end": (number, 0), "time_unit": (choice(*UNIT_SECONDS), "h")}
+
+# -- kinds of steps ----------------------------------------------------------------
+
+Options = Mapping[str, Any]
+Columns = list[str] | None  # None where only reading a file would tell
+
+
+@dataclass(frozen=True)
+class Run:
+    """What steps share; ``fresh`` gathers answers for the cache."""
 
-class Run(NamedTuple):
     spark: SparkSession
     settings: Settings
+    fresh: list[DataFrame] = field(default_factory=list)
+
+
+@dataclass(frozen=True)
+class Kind:
+    """``options`` maps a name to its reader and default. ``columns`` tells the columns
+    after the step, and raises ValueError for what could not run."""
 
+    options: Mapping[str, tuple[Reader, Any]]
+    columns: Callable[[Settings, Columns, Options], Columns]
+    apply: Callable[[Run, Any, Options], DataFrame]
+    starts: bool = False
 
-def _collect(run: Run, frame: DataFrame | None, params: CollectParams) -> DataFrame:
-    settings = run.settings
-    rules = CollectRules(
+
+def _rules(settings: Settings, options: Options) -> CollectRules:
+    check_range(options["start"], options["end"])
+    return CollectRules(
         now=settings.now,
-        start=params.start,
-        end=params.end,
-        unit=params.time_unit,
+        start=options["start"],
+        end=options["end"],
+        unit=options["time_unit"],
         stream_id=settings.stream_id,
         allowlist=settings.allowlist,
         cidrs=settings.cidrs,
         match_mode=settings.match_mode,
     )
-    check_range(params.start, params.end)
-    return get_source(params.source or settings.source)(run.spark, rules)
 
 
-def _merge(run: Run, frame: DataFrame | None, params: MergeParams) -> DataFrame:
-    if not params.inputs:
-        return merge_frames([frame])
-    read = merge_files(run.spark, params.inputs)
-    return merge_frames([frame, read])
+def _source(settings: Settings, options: Options):
+    return get_source(options["source"] or settings.source)
 
 
-def _aggregate(run: Run, frame: DataFrame, params: AggregateParams) -> DataFrame:
-    return aggregate(frame, run.settings.min_count if params.min_count is None else params.min_count)
+def _collect_columns(settings: Settings, before: Columns, options: Options) -> Columns:
+    _source(settings, options)
+    _rules(settings, options)
+    return COLLECT_COLUMNS
 
 
-def _resolve(run: Run, frame: DataFrame, params: ResolveParams) -> DataFrame:
-    settings = run.settings
-    resolver = get_resolver(
-        params.resolver or settings.resolver, settings.tables, **settings.resolver_options
-    )
-    store = settings.cache if params.cache else None
+def _merge_columns(settings: Settings, before: Columns, options: Options) -> Columns:
+    if before is None and not options["inputs"]:
+        raise ValueError("nothing to merge")
+    return None if options["inputs"] else before
+
+
+def _aggregate_columns(settings: Settings, before: Columns, options: Options) -> Columns:
+    return None if before is None else [*group_columns(before), "count"]
+
+
+def _resolver(settings: Settings, options: Options):
+    return get_resolver(options["resolver"] or settings.resolver, settings.tables, **settings.resolver_options)
+
+
+def _resolve_columns(settings: Settings, before: Columns, options: Options) -> Columns:
+    _resolver(settings, options)
+    if before is None:
+        return None
+    if options["key_column"] not in before:
+        raise ValueError(f"no column {options['key_column']!r} to look up; there are {', '.join(before)}")
+    return [*before, *(name for name in RESOLVE_COLUMNS if name not in before)]
+
+
+def _resolve(run: Run, frame: DataFrame, options: Options) -> DataFrame:
+    store = run.settings.cache if options["cache"] else None
     known = None if store is None else store.read()
-    result = resolve(frame, resolver, params.key_column, known, settings.now)
+    found = resolve(frame, _resolver(run.settings, options), options["key_column"], known, run.settings.now)
     if store is not None:
-        store.write(upsert(known, result.fresh, settings.now))
-    return result.rows
+        run.fresh.append(found.fresh)
+    return found.rows
+
+
+KINDS = {
+    "collect": Kind(
+        {"source": (optional_text, None), **RANGE},
+        _collect_columns,
+        lambda run, frame, options: _source(run.settings, options)(run.spark, _rules(run.settings, options)),
+        starts=True,
+    ),
+    "trim": Kind(
+        {},
+        lambda settings, before, options: None if before is None else kept_columns(before),
+        lambda run, frame, options: trim(frame),
+    ),
+    "merge": Kind(
+        {
+            "inputs": (paths, ()),
+            "how": (choice(*MERGE_WAYS), "name"),
+            "multiline": (switch, True),
+            "mode": (choice(*READ_MODES), "PERMISSIVE"),
+        },
+        _merge_columns,
+        lambda run, frame, o: merge_files(run.spark, o["inputs"], o["how"], o["multiline"], o["mode"], frame),
+        starts=True,
+    ),
+    "aggregate": Kind(
+        {"min_count": (whole, None), "out_dir": (optional_text, None), **RANGE},
+        _aggregate_columns,
+        lambda run, frame, o: aggregate(frame, run.settings.min_count if o["min_count"] is None else o["min_count"]),
+    ),
+    "resolve": Kind(
+        {
+            "resolver": (optional_text, None),
+            "key_column": (text, DEFAULT_KEY_COLUMN),
+            "workers": (whole, None),  # accepted; Spark decides how many tasks look up
+            "cache": (switch, True),
+        },
+        _resolve_columns,
+        _resolve,
+    ),
+}
 
+# -- reading a declaration ---------------------------------------------------------
 
-class Step(NamedTuple):
-    params: type
-    apply: Callable[[Run, Any, Any], DataFrame]
-    needs_input: bool
 
+@dataclass(frozen=True)
+class Step:
+    name: str
+    options: Options
 
-STEPS = {
-    "collect": Step(CollectParams, _collect, False),
-    "trim": Step(TrimParams, lambda run, frame, params: trim(frame), True),
-    "merge": Step(MergeParams, _merge, False),
-    "aggregate": Step(AggregateParams, _aggregate, True),
-    "resolve": Step(ResolveParams, _resolve, True),
-}
+    @property
+    def kind(self) -> Kind:
+        return KINDS[self.name]
 
 
-def parse_steps(declared: Any, overrides: Mapping[str, Any] | None = None) -> list[tuple[str, Any]]:
-    """Names with checked parameters. All steps are checked before any of them runs.
-    An override wins in every step that has the parameter."""
-    if not isinstance(declared, list):
-        raise ValueError("A pipeline must be a list of steps")
-    if not declared:
-        raise ValueError("The pipeline is empty")
+def parse_steps(declared: Any, overrides: Mapping[str, Any] | None = None) -> list[Step]:
+    """The steps with all options read, or ValueError. An override holds in every step that
+    has the option."""
+    if not isinstance(declared, list) or not declared:
+        raise ValueError("A pipeline is a list of at least one step")
     return [_parse_step(item, overrides or {}) for item in declared]
 
 
-def _parse_step(item: Any, overrides: Mapping[str, Any]) -> tuple[str, Any]:
-    if isinstance(item, str):
-        name, given = item, {}
-    elif isinstance(item, dict) and len(item) == 1:
-        ((name, given),) = item.items()
-        given = given or {}
-    else:
-        raise ValueError(f"A step is a name or a single mapping 'name: {{params}}', got {item!r}")
-    if name not in STEPS:
-        raise ValueError(f"Unknown pipeline step '{name}'. Available steps: {', '.join(STEPS)}")
+def _parse_step(item: Any, overrides: Mapping[str, Any]) -> Step:
+    pairs = [(item, None)] if isinstance(item, str) else list(item.items()) if isinstance(item, dict) else []
+    if len(pairs) != 1:
+        raise ValueError(f"Not a step: {item!r}. Write its name, or its name with options")
+    ((name, given),) = pairs
+    if name not in KINDS:
+        raise ValueError(f"There is no step {name!r}, only {', '.join(KINDS)}")
+    given = {} if given is None else given
     if not isinstance(given, dict):
-        raise ValueError(f"Parameters of step '{name}' must be a mapping")
-    known = {one.name for one in fields(STEPS[name].params)}
-    unknown = sorted(set(given) - known)
-    if unknown:
-        raise ValueError(f"Unknown parameters of step '{name}': {', '.join(unknown)}")
-    merged = {**given, **{key: value for key, value in overrides.items() if key in known}}
-    try:
-        return name, STEPS[name].params(**{key: _check(key, value) for key, value in merged.items()})
-    except ValueError as error:
-        raise ValueError(f"Invalid parameters of step '{name}': {error}") from None
+        raise ValueError(f"{name}: options are written as 'option: value', not {given!r}")
+    options = KINDS[name].options
+    if strange := [str(key) for key in given if key not in options]:
+        raise ValueError(f"{name}: no option {', '.join(sorted(strange))}; it has {', '.join(options) or 'none'}")
+    read = {}
+    for key, (reader, default) in options.items():
+        value = overrides[key] if key in overrides else given.get(key, default)
+        try:
+            read[key] = reader(value)
+        except ValueError as error:
+            raise ValueError(f"{name}, {key}: {error}") from None
+    return Step(name, MappingProxyType(read))
 
 
 def load_steps(path: str) -> Any:
     """The step list of a YAML file."""
     import yaml
 
-    with open(path, encoding="utf-8") as text:
-        return yaml.safe_load(text)
+    with open(path, encoding="utf-8") as lines:
+        return yaml.safe_load(lines)
 
 
 # -- running -----------------------------------------------------------------------
@@ -189,10 +262,31 @@ def load_steps(path: str) -> Any:
 
 @dataclass(frozen=True)
 class Plan:
-    """The final rows, lazily, and the split an aggregate step asked for, if any."""
+    """The final rows, lazily; the options of the split an aggregate step asked for, if any;
+    whether ``count`` is a count of this run; and answers the cache does not have yet."""
 
     frame: DataFrame
-    split: AggregateParams | None
+    split: Options | None
+    counted: bool
+    fresh: list[DataFrame]
+
+
+def _asked_split(steps: Sequence[Step]) -> Options | None:
+    return next((step.options for step in reversed(steps) if step.options.get("out_dir")), None)
+
+
+def check(steps: Sequence[Step], settings: Settings, columns: Columns, given: bool) -> None:
+    """Refuse what cannot run, without a job. ``given`` tells whether there is an input,
+    ``columns`` its columns as far as known."""
+    if _asked_split(steps) is not None and not parse_networks(settings.cidrs):
+        raise ValueError("A split by subnet needs networks: settings.cidrs is empty")
+    for step in steps:
+        if not given and not step.kind.starts:
+            raise ValueError(f"{step.name}: there is no input")
+        try:
+            columns, given = step.kind.columns(settings, columns, step.options), True
+        except ValueError as error:
+            raise ValueError(f"{step.name}: {error}") from None
 
 
 def plan(
@@ -203,22 +297,20 @@ def plan(
     settings: Settings | None = None,
 ) -> Plan:
     """Fold the steps over ``frame``. A frame that a resolve step follows is staged when
-    an aggregate made it, because resolve reads its rows twice."""
+    an aggregate made it, because resolve reads its rows twice; a resolve step looks its
+    keys up right away, into stage tables. The cache is not touched."""
     settings = settings or Settings()
     steps = parse_steps(declared, overrides)
+    check(steps, settings, None if frame is None else frame.columns, frame is not None)
     run = Run(spark, settings)
-    split = next((params for _, params in reversed(steps) if getattr(params, "out_dir", None)), None)
-    if split is not None and not parse_networks(settings.cidrs):
-        raise ValueError("A split by subnet needs networks: settings.cidrs is empty")
-    counted = False
-    for name, params in steps:
-        if frame is None and STEPS[name].needs_input:
-            raise ValueError(f"Step '{name}' has no input")
-        if name == "resolve" and counted:
+    counted = shuffled = False
+    for step in steps:
+        if step.name == "resolve" and shuffled:
             frame = stage(frame, "counted")
-        frame = STEPS[name].apply(run, frame, params)
-        counted = name == "aggregate" or (counted and name == "trim")
-    return Plan(frame, split)
+        frame = step.kind.apply(run, frame, step.options)
+        shuffled = step.name == "aggregate" or (shuffled and step.name == "trim")
+        counted = step.name == "aggregate" or (counted and step.name in ("trim", "resolve"))
+    return Plan(frame, _asked_split(steps), counted, run.fresh)
 
 
 def run_pipeline(
@@ -233,27 +325,31 @@ def run_pipeline(
     """Run a pipeline from CSV files to CSV files and return the number of rows written.
 
     A requested split is applied to the final rows, so it holds what later steps add;
-    ``output`` is then not used.
+    ``output`` is then not used. New answers reach the cache once the rows are written.
     """
     settings = settings or Settings()
-    first = parse_steps(declared, overrides)[0][0]
+    steps = parse_steps(declared, overrides)
+    if _asked_split(steps) is None and output is None:
+        raise ValueError("Nowhere to write: give output, or out_dir in an aggregate step")
+    reads = inputs is not None and steps[0].name != "collect"
+    check(steps, settings, None, reads)
     with stage_scope(spark):
-        frame = None if inputs is None or first == "collect" else read_csv(spark, inputs, multiline=multiline)
+        frame = read_csv(spark, inputs, multiline=multiline) if reads else None
         planned = plan(spark, declared, frame, overrides, settings)
-        if planned.split is None and output is None:
-            raise ValueError("Nowhere to write: give output, or out_dir in an aggregate step")
-        return _write(planned, output, settings)
+        written = _write(planned, output, settings)
+        for fresh in planned.fresh:
+            settings.cache.append(fresh)
+        return written
 
 
 def _write(planned: Plan, output: str | None, settings: Settings) -> int:
+    """A count made by this run orders the rows; any other ``count`` is text like the rest."""
     seen = Observation("written")
     rows, part = planned.frame, planned.split
-    if "count" in rows.columns:
-        rows = rows.withColumn("count", F.col("count").try_cast("bigint"))
     if part is not None:
         labelled = with_label(rows, parse_networks(settings.cidrs))
-        sliced = with_slice(labelled, settings.now, part.start, part.end, part.time_unit)
-        write_split(sliced, part.out_dir, seen=seen)
+        sliced = with_slice(labelled, settings.now, part["start"], part["end"], part["time_unit"])
+        write_split(sliced, part["out_dir"], seen=seen, by_count=planned.counted)
     else:
-        write_csv(ordered(rows) if "count" in rows.columns else rows, output, seen=seen)
+        write_csv(ordered(rows) if planned.counted else rows, output, seen=seen)
     return seen.get["rows"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -57,7 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="flowtally-")
+    folder = tempfile.mkdtemp(prefix="flowtally-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 # Paths of the stage tables made in each open scope.

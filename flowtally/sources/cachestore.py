@@ -1,16 +1,19 @@
-"""The answer cache as a versioned Parquet table.
+"""The answer cache as a Parquet table that grows by versions.
 
-A version is a directory of its own; it counts once its commit marker is there. The
-table being read is therefore never overwritten, and a lost writer leaves the last
-version in place. One writer at a time is assumed.
+Each run appends its fresh answers as a directory of its own, which counts once its commit
+marker is there; nothing stored is written again, and a lost writer leaves the others in
+place. Readers take the newest entry of a key. ``compact`` makes one version of all on
+request. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
 import logging
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowtally.operators.cache import upsert
 from flowtally.schema import CACHE_SCHEMA
 
 log = logging.getLogger(__name__)
@@ -37,22 +40,30 @@ class CacheStore:
         return sorted(n for n in numbers if self._files.exists(self._path(f"{self.path}/v={n}/{MARKER}")))
 
     def read(self) -> DataFrame:
-        """The newest complete version; a cache that cannot be read is an empty one."""
+        """All complete versions; a cache that cannot be read is an empty one."""
         try:
-            versions = self._versions()
-            if not versions:
+            folders = [f"{self.path}/v={n}" for n in self._versions()]
+            if not folders:
                 return empty_cache(self.spark)
-            return self.spark.read.schema(CACHE_SCHEMA).parquet(f"{self.path}/v={versions[-1]}")
+            return self.spark.read.schema(CACHE_SCHEMA).parquet(*folders)
         except Exception as error:
             log.warning("Answer cache disabled: %s", error)
             return empty_cache(self.spark)
 
-    def write(self, entries: DataFrame, keep: int = 2) -> None:
-        """Publish a new version; the run goes on when that fails."""
+    def append(self, fresh: DataFrame) -> None:
+        """Add entries; the run goes on when that fails."""
         try:
             versions = self._versions()
-            entries.write.mode("overwrite").parquet(f"{self.path}/v={versions[-1] + 1 if versions else 1}")
-            for old in versions[: len(versions) + 1 - keep]:
-                self._files.delete(self._path(f"{self.path}/v={old}"), True)
+            fresh.write.mode("overwrite").parquet(f"{self.path}/v={versions[-1] + 1 if versions else 1}")
         except Exception as error:
             log.warning("Answer cache not written: %s", error)
+
+    def compact(self, now: datetime) -> None:
+        """One version with the newest live entry of each key; the older ones go once it is
+        complete. Readers that began before may fail, so compact between runs."""
+        versions = self._versions()
+        if not versions:
+            return
+        upsert(empty_cache(self.spark), self.read(), now).write.mode("overwrite").parquet(f"{self.path}/v={versions[-1] + 1}")
+        for old in versions:
+            self._files.delete(self._path(f"{self.path}/v={old}"), True)

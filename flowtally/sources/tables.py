@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from flowtally.operators.merge import merge_frames
+from flowtally.operators.merge import MERGE_WAYS, aligned
 from flowtally.schema import ORDER_COLUMNS, present
 
 # ``NA`` and the like are data; only an empty field is missing.
 READ_OPTIONS = {"header": "true", "inferSchema": "false", "escape": '"', "enforceSchema": "true"}
+READ_MODES = ("PERMISSIVE", "FAILFAST")
 WRITE_OPTIONS = {
     "header": "true",
     "escape": '"',
@@ -42,37 +43,62 @@ def read_csv(
     header of the first path.
 
     ``multiline=False`` lets Spark split large files; use it where no quoted field
-    holds a line break. ``mode="FAILFAST"`` refuses rows of the wrong length.
+    holds a line break. A row shorter than the header is filled with empty text; one that
+    holds more fails the read. ``mode="FAILFAST"`` refuses short rows as well.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     names = list(columns) if columns is not None else header(spark, paths[0])
     if not names:
         raise ValueError("The CSV input is empty")
     reader = spark.read.options(**READ_OPTIONS, multiLine=str(multiline).lower(), mode=mode)
-    return reader.schema(text_schema(names)).csv(paths).fillna("")
+    if mode == "FAILFAST":
+        return reader.schema(text_schema(names)).csv(paths).fillna("")
+    # What lies beyond the header is read as one more column, which must stay empty.
+    beyond = "beyond the header"
+    rows = reader.schema(text_schema([*names, beyond])).csv(paths)
+    message = F.lit(f"A CSV row has more than {len(names)} fields")
+    # A condition, because it holds whichever columns are asked for.
+    fits = F.when(F.col(f"`{beyond}`").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.where(fits).drop(beyond).fillna("")
 
 
 def merge_files(
-    spark: SparkSession, paths: Sequence[str], how: str = "name", multiline: bool = True
+    spark: SparkSession,
+    paths: Sequence[str],
+    how: str = "name",
+    multiline: bool = True,
+    mode: str = "PERMISSIVE",
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Concatenate CSV files. ``position`` takes the header of the first file that has
-    one and ignores the others; ``name`` aligns to the columns of the first file that
-    has rows. Files with equal headers are read in one scan."""
-    headers = [(path, header(spark, path)) for path in paths]
-    headers = [(path, names) for path, names in headers if names]
-    if not headers:
-        raise ValueError("No non-empty input to merge")
+    """Concatenate ``before``, if any, and CSV files. ``position`` takes the columns of the
+    first of them that has any and ignores other headers; ``name`` aligns to the columns of
+    the first that has rows. Files with equal headers are read in one scan."""
+    if how not in MERGE_WAYS:
+        raise ValueError(f"Unknown merge '{how}'. Available: {', '.join(MERGE_WAYS)}")
+    headers = [(path, names) for path, names in ((path, header(spark, path)) for path in paths) if names]
     if how == "position":
-        return read_csv(spark, [path for path, _ in headers], headers[0][1], multiline)
-    if how != "name":
-        raise ValueError(f"Unknown merge '{how}'. Available: name, position")
-    leading = next((names for path, names in headers if not read_csv(spark, path, names, multiline).isEmpty()), None)
-    if leading is None:
+        columns = before.columns if before is not None else headers[0][1] if headers else None
+        groups = {(): [path for path, _ in headers]} if headers else {}
+    else:
+        before = None if before is None or before.isEmpty() else before
+        columns = None if before is None else before.columns
+        groups = {}
+        for path, names in headers:
+            if columns is None and read_csv(spark, path, names, multiline, mode).isEmpty():
+                continue
+            columns = names if columns is None else columns
+            groups.setdefault(tuple(names), []).append(path)
+        before = None if before is not None and columns is not before.columns and not groups else before
+    if columns is None:
         raise ValueError("No non-empty input to merge")
-    groups: dict[tuple[str, ...], list[str]] = {tuple(leading): []}
-    for path, names in headers:
-        groups.setdefault(tuple(names), []).append(path)
-    return merge_frames([read_csv(spark, group, names, multiline) for names, group in groups.items()], how="name")
+    parts = [] if before is None else [aligned(before, columns) if how == "name" else before]
+    for names, group in groups.items():
+        read = read_csv(spark, group, list(names) or columns, multiline, mode)
+        parts.append(read if how == "position" else aligned(read, columns))
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.union(part)
+    return merged
 
 
 def _as_text(frame: DataFrame) -> DataFrame:
@@ -94,12 +120,16 @@ def write_csv(frame: DataFrame, path: str, mode: str = "errorifexists", seen: Ob
 
 
 def write_split(
-    labelled: DataFrame, path: str, mode: str = "errorifexists", seen: Observation | None = None
+    labelled: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    seen: Observation | None = None,
+    by_count: bool = True,
 ) -> None:
     """One directory ``slice=<name>`` per subnet. Rows are range-partitioned by slice and
     result order, so a large subnet is written by many tasks, in order; the input
     partition breaks ties between equal rows."""
-    order = [F.desc("count")] if "count" in labelled.columns else []
+    order = [F.desc("count")] if by_count and "count" in labelled.columns else []
     order += [F.col(name) for name in present(labelled.columns, ORDER_COLUMNS)]
     numbered = labelled.withColumn("_part", F.spark_partition_id())
     placed = numbered.orderBy("slice", *order, "_part").drop("_part", "subnet")

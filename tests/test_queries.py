@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import comparable
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +20,7 @@ def database():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
     frame = contract.queries()[name](spark, SF)
     rows = [tuple(row) for row in frame.collect()]

@@ -87,7 +87,7 @@ def test_no_rows_and_no_key_column(frame):
 
 def test_hot_key_with_many_rows(spark):
     rows = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN '8.8.8.8' ELSE '1.1.' || (id % 7) || '.1' END AS DstIP", "id")
-    got = resolve(rows, NAMED, rows_per_task=50).rows
+    got = resolve(rows, NAMED).rows
     assert got.count() == 2000 and got.where("country <> 'Country-' || DstIP").count() == 0
 
 
@@ -99,7 +99,7 @@ def test_answers_are_cached_and_served(spark, frame, tmp_path):
     rows = frame("DstIP", [("1.1.1.1",), ("1.1.1.1",), ("2.2.2.2",), ("9.9.9.9",)])
     fixed = {"1.1.1.1": {"country": "RU", "expires": "2024-02-10"}, "2.2.2.2": {"country": "RU"}, "9.9.9.9": {"expires": "2024-02-10"}}
     first = resolve(rows, Resolver("fix", provider(spark, **fixed)), cache=store.read(), now=NOW)
-    store.write(caching.upsert(store.read(), first.fresh, NOW))
+    store.append(first.fresh)
     stored = {row.key: (row.country, row.contacts, row.expires_at) for row in store.read().collect()}
     assert stored == {
         "fix:v1:1.1.1.1": ("RU", "", datetime(2024, 2, 11)),
@@ -131,14 +131,17 @@ def test_versions_and_broken_caches(spark, tmp_path):
     store = CacheStore(spark, str(tmp_path / "cache"))
     assert store.read().count() == 0
     for n in range(4):
-        store.write(entries(spark, (str(n), "x", NOW)))
-        assert [row.key for row in store.read().collect()] == [str(n)]
+        store.append(entries(spark, (str(n % 3), f"c{n}", NOW + timedelta(days=n))))
+        assert store.read().count() == n + 1
     (tmp_path / "cache" / "v=9").mkdir()
-    assert [row.key for row in store.read().collect()] == ["3"]
-    assert sorted(p.name for p in (tmp_path / "cache").iterdir()) == ["v=3", "v=4", "v=9"]
+    live = {row.key: row.cached.country for row in caching.live_entries(store.read().withColumn("key", F.concat(F.lit("x:v1:"), "key")), "x", NOW).collect()}
+    assert live == {"0": "c3", "1": "c1", "2": "c2"}
+    store.compact(NOW)
+    assert {(row.key, row.country) for row in store.read().collect()} == {("0", "c3"), ("1", "c1"), ("2", "c2")}
+    assert sorted(p.name for p in (tmp_path / "cache").iterdir()) == ["v=5", "v=9"]
     blocked = CacheStore(spark, "/dev/null/nope")
     assert blocked.read().count() == 0
-    blocked.write(entries(spark, ("a", "x", NOW)))
+    blocked.append(entries(spark, ("a", "x", NOW)))
 
 
 def test_counters(spark, frame):
@@ -151,17 +154,17 @@ def test_counters(spark, frame):
 
 
 def test_chain_takes_the_first_filled_field(spark):
-    geo = provider(spark, a={"country": "United States"})
+    geo = provider(spark, a={"country": "Iceland"})
     rdap = provider(
         spark,
-        a={"country": "US", "asn": "8075", "asn_descr": "MSFT", "contacts": "MS"},
-        b={"country": "US", "expires": "2024-03-01"},
+        a={"country": "IS", "asn": "64510", "asn_descr": "GEYSER", "contacts": "Geyser Desk"},
+        b={"country": "FO", "expires": "2024-03-01"},
     )
-    whois = provider(spark, a={"expires": "2030-01-01"}, b={"country": "XX", "asn": "9", "expires": "2031-01-01"}, c={"contacts": "C"})
+    whois = provider(spark, a={"expires": "2030-01-01"}, b={"country": "XX", "asn": "9", "expires": "2031-01-01"}, c={"contacts": "Quay"})
     assert answered(spark, lambda frame: chain(frame, [geo, rdap, whois]), "a", "b", "c", "d") == {
-        "a": ("United States", "8075", "MSFT", "MS", ""),  # complete, so the last one is not asked
-        "b": ("US", "9", "", "", "2024-03-01"),
-        "c": ("", "", "", "C", ""),
+        "a": ("Iceland", "64510", "GEYSER", "Geyser Desk", ""),  # complete, so the last one is not asked
+        "b": ("FO", "9", "", "", "2024-03-01"),
+        "c": ("", "", "", "Quay", ""),
         "d": ("", "", "", "", ""),
     }
 
@@ -193,11 +196,11 @@ def test_registered_cascade_and_switches(spark, frame):
 
 
 def test_domain_tier(spark, frame):
-    tables = {"whois": frame("key, json", [("vk.su", '{"asn":"1"}')]), "domain_whois": frame("key, json", [("vk.ru", "org: VK"), ("vk.su", "org: SU")])}
-    on = answered(spark, get_resolver("whois", tables, domain_whois=True).step, "VK.ru.", "vk.su", "8.8.8.8")
-    assert on == {"VK.ru.": ("", "", "", "VK", ""), "vk.su": ("", "1", "", "", ""), "8.8.8.8": ("", "", "", "", "")}
-    off = answered(spark, get_resolver("whois", tables).step, "VK.ru.")
-    assert off == {"VK.ru.": ("", "", "", "", "")}
+    tables = {"whois": frame("key, json", [("pier.su", '{"asn":"1"}')]), "domain_whois": frame("key, json", [("pier.ru", "org: Pier"), ("pier.su", "org: SU")])}
+    on = answered(spark, get_resolver("whois", tables, domain_whois=True).step, "Pier.ru.", "pier.su", "8.8.8.8")
+    assert on == {"Pier.ru.": ("", "", "", "Pier", ""), "pier.su": ("", "1", "", "", ""), "8.8.8.8": ("", "", "", "", "")}
+    off = answered(spark, get_resolver("whois", tables).step, "Pier.ru.")
+    assert off == {"Pier.ru.": ("", "", "", "", "")}
 
 
 def test_nothing_configured_and_unknown_names(spark):
@@ -213,4 +216,7 @@ def test_repeated_responses_do_not_multiply_rows(spark, frame):
     tables = {"whois": frame("key, json", [("a", '{"asn":"1"}'), ("a", '{"asn":"2"}')])}
     result: Resolution = resolve(frame("DstIP", [("a",), ("a",)]), get_resolver("whois", tables))
     assert [row.asn for row in result.rows.collect()] == ["2", "2"]
+    dated = [("a", '{"asn":"9"}', "2024-01-01"), ("a", '{"asn":"3"}', "2024-02-01"), ("a", '{"asn":"1"}', "2024-02-01")]
+    newest = resolve(frame("DstIP", [("a",)]), get_resolver("whois", {"whois": frame("key, json, fetched_at", dated)}))
+    assert [row.asn for row in newest.rows.collect()] == ["3"]
     assert resolve_keys(frame("DstIP", [("a",), ("a",)])).count() == 1

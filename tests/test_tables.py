@@ -38,10 +38,16 @@ def test_everything_is_text_and_na_is_data(spark, tmp_path):
 
 
 def test_rows_of_wrong_length_can_be_refused(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("a,b\n1,2,3\n", "utf-8")
-    assert rows(read_csv(spark, str(tmp_path / "a.csv"))) == [("1", "2")]
+    (tmp_path / "long.csv").write_text("a,b\n1,2\n1,2,3\n", "utf-8")
+    (tmp_path / "short.csv").write_text("a,b\n1\n", "utf-8")
+    for multiline in (True, False):
+        with pytest.raises(Exception, match="more than 2 fields"):
+            read_csv(spark, str(tmp_path / "long.csv"), multiline=multiline).collect()
+        with pytest.raises(Exception, match="more than 2 fields"):
+            read_csv(spark, str(tmp_path / "long.csv"), multiline=multiline).select("b").collect()
+    assert rows(read_csv(spark, str(tmp_path / "short.csv"))) == [("1", "")]
     with pytest.raises(Exception):
-        read_csv(spark, str(tmp_path / "a.csv"), mode="FAILFAST").collect()
+        read_csv(spark, str(tmp_path / "short.csv"), mode="FAILFAST").collect()
 
 
 def test_written_text_equals_minimal_quoting(spark, tmp_path):
