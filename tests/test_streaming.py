@@ -58,3 +58,11 @@ def test_trimmed_stream(spark, landing, tmp_path):
     got = spark.read.parquet(str(tmp_path / "rows"))
     assert got.columns == ["SrcIP", "DstIP", "DstPort"]
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, trim(batch(spark, folder)).collect()))
+
+
+def test_streams_of_the_queries_come_in_several_batches(spark, tmp_path):
+    from workload.queries import LANDED_FILES, event_stream
+
+    stream = event_stream(spark, str(tmp_path), "/root/testdata/sf0.001", "connections")
+    partial_counts(stream, str(tmp_path / "counts"), str(tmp_path / "state")).awaitTermination()
+    assert len(list((tmp_path / "counts").glob("batch=*"))) == LANDED_FILES // 2

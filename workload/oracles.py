@@ -113,6 +113,20 @@ ORACLES["src_match_or"] = logs(
 ORACLES["src_match_and"] = logs(
     f"SELECT event_id, SrcIP FROM connections WHERE {LISTED} AND {inside('SrcIP', ranges(NETWORKS[:1]))}"
 )
+LARGE = f"""spans AS (SELECT {number("split_part(network, '/', 1)")} AS base,
+    CAST(pow(2, 32 - CAST(split_part(network, '/', 2) AS BIGINT)) AS BIGINT) AS size FROM narrow_networks)"""
+INSIDE = f"""inside AS (SELECT DISTINCT SrcIP FROM (SELECT DISTINCT SrcIP FROM connections)
+    JOIN spans ON {number('SrcIP')} >= base - base % size AND {number('SrcIP')} < base - base % size + size)"""
+ORACLES["src_large_lists"] = over(
+    ["connections", "source_addresses", "narrow_networks"],
+    """SELECT 'or' AS mode, event_id, SrcIP FROM connections
+      WHERE SrcIP IN (SELECT address FROM source_addresses) OR SrcIP IN (SELECT SrcIP FROM inside)
+    UNION ALL SELECT 'and', event_id, SrcIP FROM connections
+      WHERE SrcIP IN (SELECT address FROM source_addresses) AND SrcIP IN (SELECT SrcIP FROM inside)""",
+    LARGE,
+    INSIDE,
+)
+ORACLES["log_store"] = logs(COLLECT)
 ORACLES["prefix_prefilter"] = logs(
     f"""SELECT SrcIP, count(*) FILTER (WHERE SrcIP LIKE '10.2.82.%') AS coarse,
     count(*) FILTER (WHERE {inside('SrcIP', ranges(NETWORKS[:1]))}) AS exact FROM connections GROUP BY SrcIP"""
@@ -171,6 +185,28 @@ ORACLES["merge_by_name"] = logs(
     UNION ALL SELECT DstIP, '', ac_action FROM connections WHERE ac_action = 'allow'"""
 )
 
+MERGED_PARTS = {
+    "a": ["SrcIP", "DstIP", "ac_action"],
+    "b": ["DstIP", "SrcIP", "url_domain"],
+    "c": ["ac_action", "DstPort", "SrcIP"],
+}
+
+
+def merged_part(number: int, names: list[str]) -> str:
+    columns = ", ".join(f"coalesce({name}, '') AS {new}" for name, new in zip(names, MERGED_PARTS["a"], strict=True))
+    return f"SELECT {columns} FROM connections WHERE event_id % 3 = {number}"
+
+
+BY_NAME = [["SrcIP", "DstIP", "ac_action"], ["SrcIP", "DstIP", "NULL"], ["SrcIP", "NULL", "ac_action"]]
+ORACLES["pipeline_merged"] = logs(
+    " UNION ALL ".join(
+        f"SELECT '{how}' AS how, SrcIP, DstIP, ac_action, count(*) AS count FROM ("
+        + " UNION ALL ".join(merged_part(number, names) for number, names in enumerate(parts))
+        + ") GROUP BY ALL"
+        for how, parts in (("name", BY_NAME), ("position", list(MERGED_PARTS.values())))
+    )
+)
+
 # -- time --------------------------------------------------------------------------
 
 ORACLES["time_expr"] = """SELECT event_id,
@@ -210,8 +246,16 @@ def readable(source: str) -> str:
     return f"(SELECT key, CASE WHEN json_valid(json) THEN CAST(json AS JSON) END AS j FROM {source})"
 
 
+def meant(path: str, source: str = "j") -> str:
+    """Text of a value that is not zero, false or null; the text '0' is one."""
+    value = f"json_extract_string({source}, '{path}')"
+    nothing = f"""json_type({source}, '{path}') = 'BOOLEAN' AND {value} = 'false'
+      OR json_type({source}, '{path}') IN ('BIGINT', 'UBIGINT', 'DOUBLE') AND TRY_CAST({value} AS DOUBLE) = 0"""
+    return f"CASE WHEN {nothing} THEN '' ELSE coalesce({value}, '') END"
+
+
 def text_at(path: str, source: str = "j") -> str:
-    return f"trim(coalesce(json_extract_string({source}, '{path}'), ''))"
+    return f"trim({meant(path, source)})"
 
 
 def object_names(root: str, source: str = "j") -> str:
@@ -256,8 +300,8 @@ AGGREGATOR = f"""aggregator AS (SELECT key, CASE WHEN ok THEN {text_at('$.data.c
   '' AS asn, '' AS asn_descr, CASE WHEN ok THEN {ordered_names('names')} ELSE '' END AS contacts,
   CASE WHEN ok THEN {event_date('$.data.events', 'eventAction', 'eventDate')} ELSE '' END AS expires
   FROM (SELECT *, json_extract_string(j, '$.success') = 'true' AS ok FROM {readable('rdap_aggregator_raw')}) LEFT JOIN walk USING (key))"""
-NET_LINES = """list_transform(json_extract(j, '$.nets[*]'), lambda n: trim(split_part(trim(coalesce(
-  nullif(json_extract_string(n, '$.description'), ''), json_extract_string(n, '$.name'), '')), chr(10), 1)))"""
+NET_LINES = f"""list_transform(json_extract(j, '$.nets[*]'), lambda n: trim(split_part(trim(coalesce(
+  nullif({meant('$.description', 'n')}, ''), {meant('$.name', 'n')})), chr(10), 1)))"""
 WHOIS = f"""whois AS (SELECT key, {text_at('$.nets[0].country')} AS country, {text_at('$.asn')} AS asn,
   {text_at('$.asn_description')} AS asn_descr, {ordered_names(NET_LINES)} AS contacts, '' AS expires
   FROM {readable('whois_raw')})"""
@@ -270,7 +314,8 @@ ORACLES["rdap_expires"] = over(["rdap_raw"], "SELECT key, expires FROM rdap", RD
 ORACLES["rdapss_extract"] = over(["rdap_aggregator_raw"], "SELECT * FROM aggregator", WALK, AGGREGATOR)
 ORACLES["vcard_fn"] = over(
     ["rdap_aggregator_raw"],
-    f"SELECT key, {card_name(chr(39).join(['json_extract(j, ', '$.data.entities[0]', ')']))} AS name FROM {readable('rdap_aggregator_raw')}",
+    f"""SELECT key, CAST(i AS INTEGER) AS place, {card_name("json_extract(j, '$.data.entities[' || i || ']')")} AS name
+    FROM {readable('rdap_aggregator_raw')}, generate_series(0, CAST(json_array_length(j, '$.data.entities') AS BIGINT) - 1) AS s(i)""",
 )
 ORACLES["rdap_entities"] = over(
     ["rdap_aggregator_raw"], f"SELECT key, {ordered_names('names')} AS contacts FROM walk", WALK
@@ -283,6 +328,13 @@ ORACLES["tci_domain_keys"] = over(
     ["domains"],
     "SELECT custkey, regexp_matches(rtrim(lower(trim(domain)), '.'), '[.](ru|su|рф|дети|tatar|xn--p1ai|xn--d1acj3b)$') AS served FROM domains",
 )
+# After the digits punycode writes the same letters, whatever the digits are.
+ENDINGS = [f"магазин{'1' * n}".encode("idna").decode().removeprefix("xn--" + "1" * n) for n in range(1, 13)]
+ORACLES["domain_ascii"] = over(
+    ["domains"],
+    f"""SELECT custkey, domain, CASE WHEN domain LIKE 'магазин%' THEN 'xn--' || custkey
+      || [{listed(ENDINGS)}][length(CAST(custkey AS VARCHAR))] || '.xn--p1ai' ELSE lower(trim(domain)) END AS query FROM domains""",
+)
 TEXT_LINES = """list_filter(list_transform(string_split_regex(json, '\\r\\n|\\n'), lambda l: trim(l)),
   lambda l: l NOT LIKE '[%]%' AND NOT starts_with(l, '%') AND contains(l, ':'))"""
 FIELDS = f"""fields AS (SELECT key, list_filter(list_transform({TEXT_LINES}, lambda l: {{
@@ -304,8 +356,8 @@ ORACLES["tci_extract"] = over(["domain_raw"], "SELECT * FROM domain_found", FIEL
 ORACLES["service_extract"] = over(
     ["hosts", "service_location_raw", "service_registration_raw"],
     f"""SELECT h.key, coalesce(json_extract_string(l.j, '$.country.name'), '') AS country,
-      coalesce(json_extract_string(r.j, '$.ip_whois.asn'), '') AS asn,
-      coalesce(json_extract_string(r.j, '$.ip_whois.asn_description'), '') AS asn_descr,
+      {meant('$.ip_whois.asn', 'r.j')} AS asn,
+      {meant('$.ip_whois.asn_description', 'r.j')} AS asn_descr,
       {object_names('$.ip_whois.objects', 'r.j')} AS contacts
     FROM hosts h LEFT JOIN {readable('service_location_raw')} l USING (key)
       LEFT JOIN {readable('service_registration_raw')} r USING (key)""",

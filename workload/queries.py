@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from flowtally.functions.responses import (
     domain_query,
     entity_contacts,
     expiration,
+    json_array,
     object_contacts,
     vcard_name,
 )
@@ -38,7 +40,9 @@ from flowtally.operators.trim import trim
 from flowtally.plans.pipeline import plan
 from flowtally.plans.settings import Settings
 from flowtally.session import configure, shared_folder, stage
+from flowtally.sources.logstore import LogStore
 from flowtally.sources.registry import register_source
+from flowtally.sources.tables import write_csv
 from flowtally.streaming.counts import partial_counts, read_counts, trimmed
 from workload.views import NOW, VIEWS, view
 
@@ -144,6 +148,24 @@ def src_match_and(spark, sf_dir):
     return view(spark, sf_dir, "connections").where(match).select("event_id", "SrcIP")
 
 
+@query
+def src_large_lists(spark, sf_dir):
+    logs = view(spark, sf_dir, "connections").select("event_id", "SrcIP")
+    lists = view(spark, sf_dir, "source_addresses"), view(spark, sf_dir, "narrow_networks")
+    either, both = (filters.in_source_tables(logs, *lists, mode=mode) for mode in ("or", "and"))
+    named = [frame.select(F.lit(mode).alias("mode"), "event_id", "SrcIP") for mode, frame in (("or", either), ("and", both))]
+    return named[0].unionAll(named[1])
+
+
+@query
+def log_store(spark, sf_dir):
+    """Collect from landed logs, partitioned by day."""
+    home = f"{shared_folder(spark)}/flowtally-logs-{uuid4().hex}"
+    landed = view(spark, sf_dir, "connections").withColumn("day", F.to_date("timestamp"))
+    landed.repartition("day").write.partitionBy("day").parquet(home)
+    return LogStore(home, "parquet", date_column="day")(spark, RULES)
+
+
 @query
 def prefix_prefilter(spark, sf_dir):
     coarse = starts_in_networks(F.col("SrcIP"), NETWORKS[:1])
@@ -433,8 +455,9 @@ def rdapss_extract(spark, sf_dir):
 
 @query
 def vcard_fn(spark, sf_dir):
-    card = F.get_json_object("json", "$.data.entities[0].vcardArray")
-    return view(spark, sf_dir, "rdap_aggregator_raw").select("key", vcard_name(card).alias("name"))
+    entities = json_array(F.get_json_object("json", "$.data.entities"))
+    cards = view(spark, sf_dir, "rdap_aggregator_raw").select("key", F.posexplode(entities).alias("place", "entity"))
+    return cards.select("key", "place", vcard_name(F.get_json_object("entity", "$.vcardArray")).alias("name"))
 
 
 @query
@@ -491,30 +514,33 @@ def resolve_default(spark, sf_dir):
 # -- streaming ---------------------------------------------------------------------
 
 
-def event_stream(spark: SparkSession, sf_dir: str, view_name: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1)
-    stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir).createOrReplaceTempView("events")
+LANDED_FILES = 8
+
+
+def event_stream(spark: SparkSession, home: str, sf_dir: str, view_name: str) -> DataFrame:
+    """All events, landed as several files that are read in micro-batches of two."""
+    events = view(spark, sf_dir, "events")
+    events.repartition(LANDED_FILES).write.parquet(f"{home}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2)
+    stream.parquet(f"{home}/events").createOrReplaceTempView("events")
     return spark.sql(VIEWS[view_name])
 
 
 @query
 def stream_aggregate(spark, sf_dir):
     home = stream_home(spark)
-    partial_counts(event_stream(spark, sf_dir, "connections"), f"{home}/counts", f"{home}/state").awaitTermination()
+    partial_counts(event_stream(spark, home, sf_dir, "connections"), f"{home}/counts", f"{home}/state").awaitTermination()
     return read_counts(spark, f"{home}/counts")
 
 
 @query
 def stream_trim(spark, sf_dir):
     home = stream_home(spark)
-    trimmed(event_stream(spark, sf_dir, "connections"), f"{home}/rows", f"{home}/state").awaitTermination()
+    trimmed(event_stream(spark, home, sf_dir, "connections"), f"{home}/rows", f"{home}/state").awaitTermination()
     return spark.read.parquet(f"{home}/rows")
 
 
 def stream_home(spark: SparkSession) -> str:
-    from uuid import uuid4
-
     return f"{shared_folder(spark)}/flowtally-stream-{uuid4().hex}"
 
 
@@ -541,6 +567,22 @@ def pipeline_resolved(spark, sf_dir):
     return ordered(plan(spark, steps, settings=settings).frame)
 
 
+@query
+def pipeline_merged(spark, sf_dir):
+    """Three CSV inputs with different columns, aligned by name and taken by position."""
+    home = f"{shared_folder(spark)}/flowtally-merge-{uuid4().hex}"
+    logs = view(spark, sf_dir, "connections")
+    parts = {"a": ["SrcIP", "DstIP", "ac_action"], "b": ["DstIP", "SrcIP", "url_domain"], "c": ["ac_action", "DstPort", "SrcIP"]}
+    for number, (name, columns) in enumerate(parts.items()):
+        write_csv(logs.where(F.col("event_id") % 3 == number).select(columns), f"{home}/{name}")
+    inputs = [f"{home}/{name}" for name in parts]
+    done = []
+    for how in ("name", "position"):
+        steps = [{"merge": {"inputs": inputs, "how": how, "multiline": False}}, "aggregate"]
+        done.append(plan(spark, steps, settings=Settings(now=NOW)).frame.select(F.lit(how).alias("how"), "*"))
+    return done[0].unionByName(done[1])
+
+
 @query
 def diag_ladder(spark, sf_dir):
     return diagnose.filter_ladder(view(spark, sf_dir, "connections"), RULES)

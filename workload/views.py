@@ -91,6 +91,12 @@ SELECT CAST(s_suppkey AS INT) AS position,
   'net' || CAST(s_suppkey AS STRING) AS label
 FROM supplier"""
 
+# Lists of any length: as many addresses as there are customers, some of them sources.
+VIEWS["source_addresses"] = """
+SELECT '10.2.' || CAST(82 + c_custkey % 5 AS STRING) || '.' || CAST(c_custkey * 48 % 256 AS STRING) AS address FROM customer"""
+VIEWS["narrow_networks"] = """
+SELECT network FROM source_networks WHERE CAST(split_part(network, '/', 2) AS INT) >= 27"""
+
 VIEWS["rdap_raw"] = """
 SELECT key, CASE c_mktsegment
   WHEN 'AUTOMOBILE' THEN '{"asn":"' || CAST(64512 + n_nationkey AS STRING) || '","asn_description":" ' || n_name
@@ -99,15 +105,17 @@ SELECT key, CASE c_mktsegment
     || '{"action":"Expiration","timestamp":"' || CASE WHEN custkey % 2 = 0 THEN '2024-03-01' ELSE '2023-03-01' END
     || '"}]},"objects":{"A":{"contact":{"name":"' || c_name || '"}},"B":{"contact":{"name":" ' || n_name
     || ' NOC "}},"C":{"contact":{"name":"' || c_name || '"}},"D":{"roles":["technical"]},"E":{"contact":{"name":"  "}},"F":"text"}}'
-  WHEN 'BUILDING' THEN '{"asn":' || CAST(64512 + n_nationkey AS STRING) || ',"asn_country_code":"","network":{"country":"'
+  WHEN 'BUILDING' THEN '{"asn":' || CASE WHEN custkey % 3 = 0 THEN '0' ELSE CAST(64512 + n_nationkey AS STRING) END
+    || ',"asn_description":' || CASE custkey % 4 WHEN 0 THEN 'false' WHEN 1 THEN '"0"' ELSE 'null' END
+    || ',"asn_country_code":' || CASE WHEN custkey % 3 = 0 THEN 'false' ELSE '""' END || ',"network":{"country":"'
     || substr(n_name, 1, 2) || '"},"objects":[{"contact":{"name":"' || c_name || '"}},{"contact":{"name":"Abuse"}},"text"]}'
   WHEN 'FURNITURE' THEN '{}'
   ELSE '{"asn":' END AS json
 FROM owners WHERE c_mktsegment <> 'HOUSEHOLD'"""
 
 VIEWS["rdap_aggregator_raw"] = """
-SELECT key, '{"success":' || CASE WHEN c_acctbal > 4000 THEN 'true' ELSE 'false' END || ',"data":{"country":"'
-  || substr(n_name, 1, 2) || '","entities":[{"vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","'
+SELECT key, '{"success":' || CASE WHEN c_acctbal > 4000 THEN 'true' ELSE 'false' END || ',"data":{"country":'
+  || CASE WHEN custkey % 7 = 0 THEN '0' ELSE '"' || substr(n_name, 1, 2) || '"' END || ',"entities":[{"vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","'
   || c_name || '"]]],"entities":[{"vcardArray":["vcard",[["fn",{},"text","' || n_name
   || ' NOC"]]],"entities":[{"vcardArray":["vcard",[["fn",{},"text","Desk ' || CAST(custkey AS STRING)
   || '"]]]}]}]},{"vcardArray":["vcard",[["fn",{},"text","' || c_name
@@ -119,9 +127,10 @@ SELECT key, '{"network":{"country":"BB"},"objects":{"X":{"contact":{"name":"Boot
 FROM owners WHERE c_acctbal > 0"""
 
 VIEWS["whois_raw"] = """
-SELECT key, '{"asn":"' || CAST(65000 + n_nationkey AS STRING) || '","asn_description":"W-' || n_name
-  || '","nets":[{"country":"' || substr(n_name, 1, 2) || '","description":"' || c_name || chr(92) || 'nSecond line"},{"country":"XX","name":"'
-  || c_name || '"},{"description":"","name":"' || n_name || '"}]}' AS json
+SELECT key, '{"asn":' || CASE WHEN custkey % 5 = 0 THEN 'false' ELSE '"' || CAST(65000 + n_nationkey AS STRING) || '"' END
+  || ',"asn_description":"W-' || n_name || '","nets":[{"country":"' || substr(n_name, 1, 2) || '","description":"' || c_name || chr(92) || 'nSecond line"},{"country":"XX","name":"'
+  || c_name || '"},{"description":' || CASE custkey % 3 WHEN 0 THEN '0' WHEN 1 THEN 'false' ELSE '""' END
+  || ',"name":"' || n_name || '"},{"description":null,"name":' || CASE WHEN custkey % 2 = 0 THEN '0' ELSE '"0"' END || '}]}' AS json
 FROM owners WHERE c_acctbal > 1000
 UNION ALL
 SELECT key, '{"asn":"","nets":[]}' FROM owners WHERE c_acctbal <= 1000"""
@@ -152,8 +161,9 @@ SELECT key, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Bad gateway' ELSE '{"coun
 FROM owners"""
 
 VIEWS["service_registration_raw"] = """
-SELECT key, CASE WHEN c_mktsegment = 'BUILDING' THEN '<html>' ELSE '{"ip_whois":{"asn":"AS' || CAST(n_nationkey AS STRING)
-  || '","asn_description":"' || n_name || '","objects":{"A":{"contact":{"name":"' || c_name || '"}},"B":{"contact":{}},"C":{"contact":{"name":"'
+SELECT key, CASE WHEN c_mktsegment = 'BUILDING' THEN '<html>' ELSE '{"ip_whois":{"asn":'
+  || CASE WHEN custkey % 5 = 0 THEN 'false' ELSE '"AS' || CAST(n_nationkey AS STRING) || '"' END
+  || ',"asn_description":' || CASE WHEN custkey % 4 = 0 THEN '0' ELSE '"' || n_name || '"' END || ',"objects":{"A":{"contact":{"name":"' || c_name || '"}},"B":{"contact":{}},"C":{"contact":{"name":"'
   || n_name || '"}}}}}' END AS json
 FROM owners WHERE c_mktsegment <> 'HOUSEHOLD'"""
 
