@@ -21,7 +21,7 @@ CHUNK = 4096
 #: A text is rejected if chunks outside their band hold more than this share of its bytes.
 BAD_SHARE = 0.25
 #: Up to so many bytes: lowest and highest ratio of a sound text. Frames of a few bytes say little.
-BANDS = [(64, 0.0, 9.0), (256, 0.35, 1.20), (1024, 0.30, 0.95), (4096, 0.25, 0.90), (16384, 0.20, 0.85), (None, 0.12, 0.80)]
+BANDS = [(64, 0.0, 9.0), (256, 0.35, 1.20), (1024, 0.30, 0.85), (4096, 0.25, 0.75), (16384, 0.20, 0.72), (None, 0.12, 0.70)]
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 

@@ -1,0 +1,245 @@
+"""Quality, line, language and toxicity operators."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from flowtally.llm import language, linededup, quality, toxicity
+from flowtally.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def documents(spark, rows):
+    """Rows ``(doc_id, text, lang, source)`` beside columns that operators use inside."""
+    listed = [(*row, 1, "x", 0.5) for row in rows]
+    return spark.createDataFrame(listed, "doc_id bigint, text string, lang string, source string, site int, key string, score double")
+
+
+def is_held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+# -- quality -----------------------------------------------------------------------------
+
+
+def expected_measures(text):
+    text = text or ""
+    words = [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for k in range(3)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if re.search("[^\x20\x09-\x0d]", line):
+            repeated += line in seen
+            seen.add(line)
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    data, squeeze = text.encode(), zstandard.ZstdCompressor(level=3).compress
+    verdict = "ok"
+    if data:
+        low, high = quality.band(len(data))
+        ratio = len(squeeze(data)) / len(data)
+        verdict = "repetitive" if ratio < low else "incompressible" if ratio > high else "ok"
+        bad = 0
+        for chunk in (data[i : i + 4096] for i in range(0, len(data), 4096)) if len(data) > 4096 else ():
+            low, high = quality.band(len(chunk))
+            bad += len(chunk) * (not low <= len(squeeze(chunk)) / len(chunk) <= high)
+        verdict = "uneven" if verdict == "ok" and bad > 0.25 * len(data) else verdict
+    return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), repeated, len(covered), failed, not failed and verdict == "ok", verdict)
+
+
+def prose(rng, words):
+    return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 9))) for _ in range(words))
+
+
+def test_quality_measures(spark):
+    rng = random.Random(4)
+    noise = " ".join("".join(chr(rng.randrange(0x30, 0x7B)) for _ in range(60)) for _ in range(90))
+    texts = [
+        None, "", " \n\t", "word", "a b c a b c", "é x y z", "line\nline\n \n \nLine\nline\r", "#a *b $%&|<>",
+        prose(rng, 49), prose(rng, 50), prose(rng, 60) + "\n" + "same old words " * 25, "x " * 200, noise,
+        prose(rng, 3000) + " " + ("tick tock " * 3000), prose(rng, 5000), "\n".join([prose(rng, 9)] * 30),
+    ]
+    rows = [(i, t, None, None) for i, t in enumerate([*texts, texts[-1]])] + [(None, "a", None, None)]
+    got = {r.doc_id: r for r in quality.quality(documents(spark, rows)).collect()}
+    names = [*quality.NAMES[:7], "verdict"]
+    assert {i: tuple(got[i][n] for n in names) for i, *_ in rows} == {i: expected_measures(t) for i, t, *_ in rows}
+    verdicts = {got[i].verdict for i in range(len(texts))}
+    assert verdicts == {"ok", "repetitive", "incompressible", "uneven"} and got[14].kept
+    assert quality.quality(documents(spark, [])).count() == 0
+
+
+def test_quality_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op2_quality"](spark, SF).collect()
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "verdict"]
+    assert len(rows) == len(docs)
+    assert all(tuple(r[n] for n in names) == expected_measures(docs[r.doc_id]) for r in rows)
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    assert all(r.kept or r.base_failed for r in rows if r.doc_id in good)
+
+
+# -- lines -------------------------------------------------------------------------------
+
+
+def expected_clean(rows, sites):
+    def norm(line):
+        return re.sub("[ \t\r]+", " ", line).strip(" ")
+
+    where = defaultdict(set)
+    for _, text, _, source in rows:
+        for line in (text or "").split("\n") if text is not None else ():
+            if len(norm(line).split(" ")) >= 3 and source is not None:
+                where[norm(line)].add(source)
+    out = []
+    for i, text, _, _ in rows:
+        lines = [] if text is None else text.split("\n")
+        kept = [line for line in lines if len(where[norm(line)]) < sites]
+        out.append((i, None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("sites, band", [(3, 0.1), (3, 0.9), (20, 0.1)])
+def test_boilerplate_lines(spark, monkeypatch, sites, band):
+    monkeypatch.setattr(linededup, "BAND", band)
+    rng = random.Random(sites)
+    common = ["All rights are reserved", "all rights are  reserved ", "share this\tpage now", "two words", "subscribe to our letter"]
+    rows = []
+    for i in range(120):
+        lines = [rng.choice(common) if rng.random() < 0.5 else f"own line number {rng.randrange(90)}" for _ in range(rng.randrange(6))]
+        rows.append((i, "\n".join(lines), None, None if i % 11 == 0 else f"s{rng.randrange(24)}"))
+    rows += [(200, None, None, "s1"), (201, "", None, "s1"), (7, "share this page now\n\nx", None, "s2"), (None, "share this page now", None, "s2"), (None, "only here once", None, None)]
+    got = linededup.without_boilerplate(documents(spark, rows), min_sites=sites)
+    assert sorted(((r.doc_id, r.clean, r.n_lines, r.n_removed) for r in got.collect()), key=repr) == expected_clean(rows, sites)
+    assert linededup.without_boilerplate(documents(spark, [])).count() == 0
+
+
+# -- language ----------------------------------------------------------------------------
+
+
+def test_forward_sums_all_cuts():
+    ids = {"▁": 0, "▁a": 1, "b": 2, "ab": 3, "▁ab": 4, "bc": 5, "abc": 6, "a": 7}
+    rng = np.random.default_rng(1)
+    p = rng.random((9, 2))
+
+    def total(text, k):
+        if not text:
+            return 1.0
+        return sum(
+            p[ids.get(text[:n], 8 if n == 1 else -1), k] * total(text[n:], k)
+            for n in range(1, len(text) + 1)
+            if text[:n] in ids or n == 1
+        )
+
+    words = ["abc", "abb", "xbc", "bcb"]
+    lattice = language.Lattice(words, ids)
+    assert np.allclose(lattice.forward(p)[lattice.length], [[total("▁" + w, k) for k in (0, 1)] for w in words])
+    # Expected uses follow from how the sum answers to each piece.
+    counts = rng.random((4, 2))
+    uses = lattice.expected(p, counts)
+    step = 1e-6
+    for piece in range(9):
+        more = p.copy()
+        more[piece] *= 1 + step
+        change = np.log(lattice.forward(more)[lattice.length]) - np.log(lattice.forward(p)[lattice.length])
+        assert np.allclose(uses[piece], (change * counts).sum(0) / step, atol=1e-4)
+
+
+def test_language_cases(spark):
+    rows = [(i, t, lang, None) for i in range(0, 80, 2) for t, lang in [("the sea and the quay", "en")]]
+    rows += [(i, "das Meer und der Kai", "de", None) for i in range(1, 80, 2)]
+    model = language.fit(documents(spark, [*rows, (90, None, "en", None), (91, "x", None, None)]))
+    assert model.languages == ["de", "en"] and np.allclose(model.p.sum(0), 1)
+    asked = [(1, "THE Quay"), (2, "der kai"), (3, None), (4, ""), (5, "12 %% 34"), (6, "q" * 5000), (7, "☃ 漢字"), (None, "and"), (1, "THE Quay")]
+    got = language.predict(documents(spark, [(i, t, None, None) for i, t in asked]), model).collect()
+    assert sorted((r.doc_id or 0, r.lang_pred) for r in got if r.doc_id not in (6, 7)) == [(0, "en"), (1, "en"), (1, "en"), (2, "de"), (3, "und"), (4, "und"), (5, "und")]
+    assert all(r.score == 0 if r.lang_pred == "und" else 0.5 <= r.score <= 1 for r in got)
+    assert all(r.held_out == (r.doc_id is not None and is_held_out(r.doc_id)) for r in got)
+    none = language.fit(documents(spark, [(1, "x", None, None)]))
+    assert [(r.lang_pred, r.score) for r in language.predict(documents(spark, rows[:1]), none).collect()] == [("und", 0.0)]
+    assert language.predict(documents(spark, []), model).count() == 0
+
+
+def test_language_accuracy_on_held_out_documents(spark):
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op5_language"](spark, SF).collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == len(truth) and len(held) > 100
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.98
+
+
+def test_held_out_languages_are_not_learned(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200).select("doc_id", "text", "lang")
+    swapped = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, "zz").otherwise(F.col("lang")))
+    one, two = language.fit(docs), language.fit(swapped)
+    assert one.languages == two.languages and np.allclose(one.p, two.p)
+
+
+# -- toxicity ----------------------------------------------------------------------------
+
+
+def test_features():
+    assert toxicity.features(None).tolist() == toxicity.features(b"").tolist()
+    one = toxicity.features(b"Fool, FOOL fool")
+    assert len(one) == len(set(one.tolist())) and (np.diff(one) > 0).all()
+    assert set(toxicity.features(b"fool").tolist()) <= set(one.tolist())
+    assert toxicity.features(b"a  b\n-c").tolist() == toxicity.features(b"A b c").tolist()
+
+
+def test_long_texts_in_parts(monkeypatch):
+    text = " ".join(f"w{i}" for i in range(3000)).encode()
+    whole = set(toxicity.features(text).tolist())
+    monkeypatch.setattr(toxicity, "PART", 1000)
+    assert whole <= set(toxicity.features(text).tolist())
+
+
+def test_toxicity_cases(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(300):
+        words = prose(rng, 30).split(" ")
+        if i % 3 == 0:
+            words[rng.randrange(30)] = rng.choice(["blockheadery", "nincompoopish"])
+        rows.append((i, " ".join(words), None, None))
+        labels.append((i, int(i % 3 == 0)))
+    labels += [(3, 0), (None, 1), (5, None), (900, 1)]
+    frame = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.fit(documents(spark, rows), frame)
+    more = [(1000, None, None, None), (1001, "", None, None), (None, "what a nincompoopish one", None, None), (0, rows[0][1], None, None)]
+    got = toxicity.scores(documents(spark, rows + more), model).collect()
+    assert len(got) == 304
+    held = [r for r in got if r.held_out and r.doc_id < 300]
+    assert sum((r.score >= 0.3) == (r.doc_id % 3 == 0) for r in held) / len(held) > 0.95
+    by_id = {r.doc_id: r.score for r in got}
+    assert by_id[1000] == by_id[1001] < 0.5 <= by_id[None]
+    kept = toxicity.drop_toxic(documents(spark, rows + more), model)
+    assert kept.columns == documents(spark, []).columns
+    assert kept.count() == sum(r.score < 0.3 for r in got)
+    for only in (0, 1, None):
+        single = toxicity.fit(documents(spark, rows), frame.where(F.lit(False) if only is None else F.col("toxic") == only))
+        assert len(single.buckets) == 0 and toxicity.scores(documents(spark, rows[:1]), single).count() == 1
+    assert toxicity.scores(documents(spark, []), model).count() == 0
+
+
+def test_held_out_labels_are_not_learned(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    known = {r.id for r in toxicity.training_labels(labels).collect()}
+    assert known == {i for i in range(40) if not is_held_out(i)}
+    docs = documents(spark, [(i, "t", None, None) for i in range(40)])
+    assert sorted(map(tuple, toxicity.sample(docs, toxicity.training_labels(labels), per_class=3).groupBy("toxic").count().collect())) == [(0, 3), (1, 3)]
+
+
+def test_toxicity_query(spark):
+    rows = QUERIES["op7_toxicity"](spark, SF).collect()
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
+    # Some forty toxic examples to learn from at this size.
+    assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.88
