@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowtally.llm import decontaminate, language, linededup, mixing, quality, quotes, sharding, simhash, suffixdedup, toxicity
 from flowtally.llm.common import table
+from flowtally.llm.oracles import ORACLES as ORACLES
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,5 +71,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quotes": op10_quotes,
 }
 
-
-ORACLES: dict[str, str] = {}
