@@ -55,20 +55,26 @@ def with_best_prefix(
         .groupBy("length", "low")
         .agg(F.min("best").alias("best"))
     )
-    found = keys.withColumn("_ip", ipv4_number(clean(F.col("key"))))
-    for bits, lengths in ((WIDE, F.col("length") < NARROW), (NARROW, F.col("length") >= NARROW)):
-        gathered = _gather(table.where(lengths), bits).withColumnRenamed("held", f"_held{bits}")
-        # Keys that are no address get a block of their own below zero, which holds nothing.
-        block = F.coalesce(F.shiftright("_ip", 32 - bits), -1 - F.abs(F.hash("key")).cast("bigint"))
-        found = found.withColumn("_block", block).join(gathered, "_block", "left")
-    best = F.least(_first_holding(f"_held{WIDE}"), _first_holding(f"_held{NARROW}"))
-    return found.withColumn(output, best["value"]).drop("_ip", "_block", f"_held{WIDE}", f"_held{NARROW}")
+    # Keys that are no address get a block of their own below zero, which holds nothing.
+    nowhere = -1 - F.abs(F.hash("key")).cast("bigint")
+    found = keys.withColumn("_ip", ipv4_number(clean(F.col("key")))).withColumns(
+        {
+            "_wide": F.coalesce(F.shiftright("_ip", 32 - WIDE), nowhere),
+            "_narrow": F.coalesce(F.shiftright("_ip", 32 - NARROW), nowhere),
+        }
+    )
+    # The /16 leads both joins, so that one shuffle of the keys serves both.
+    wide = _gather(table.where(F.col("length") < NARROW), {"_wide": WIDE}).withColumnRenamed("held", "_held_wide")
+    narrow = _gather(table.where(F.col("length") >= NARROW), {"_wide": WIDE, "_narrow": NARROW})
+    found = found.join(wide, "_wide", "left").join(narrow.withColumnRenamed("held", "_held_narrow"), ["_wide", "_narrow"], "left")
+    best = F.least(_first_holding("_held_wide"), _first_holding("_held_narrow"))
+    return found.withColumn(output, best["value"]).drop("_ip", "_wide", "_narrow", "_held_wide", "_held_narrow")
 
 
-def _gather(table: DataFrame, bits: int) -> DataFrame:
-    """The prefixes inside each block of ``bits`` bits, best ones first."""
+def _gather(table: DataFrame, blocks: dict[str, int]) -> DataFrame:
+    """The prefixes inside each block, best ones first; ``blocks`` names the bits of its keys."""
     high = F.col("low") + prefix_size(F.col("length")) - 1
-    return table.groupBy(F.shiftright("low", 32 - bits).alias("_block")).agg(
+    return table.groupBy(*[F.shiftright("low", 32 - bits).alias(name) for name, bits in blocks.items()]).agg(
         F.sort_array(F.collect_list(F.struct("best", "low", high.alias("high")))).alias("held")
     )
 

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A join on several keys may use rows that are already dealt by some of them.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
