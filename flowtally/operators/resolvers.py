@@ -11,7 +11,7 @@ Raw responses come as tables, however they were fetched. Join conditions hold th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -68,10 +68,20 @@ def silent(frame: DataFrame) -> DataFrame:
 FETCHED = "fetched_at"
 
 
+UNIQUE_COLUMNS = ["_asked", "response"]
+
+
+def declared_unique(table: DataFrame, key: str = "key", body: str = "json") -> DataFrame:
+    """A response table known to hold one row per key: nothing is grouped or sorted."""
+    return table.select(F.col(key).alias("_asked"), F.col(body).alias("response"))
+
+
 def one_response(table: DataFrame, key: str = "key", body: str = "json") -> DataFrame:
     """One response per key: the newest, if the table tells by ``fetched_at``; of equally
     new ones the greatest text. The grouping leaves the table partitioned by key, which the
     join on key then uses."""
+    if table.columns == UNIQUE_COLUMNS:
+        return table
     best = F.max(F.struct(FETCHED, body))[body] if FETCHED in table.columns else F.max(body)
     return table.groupBy(F.col(key).alias("_asked")).agg(best.alias("response"))
 
@@ -218,21 +228,27 @@ def register_resolver(name: str) -> Callable[[Factory], Factory]:
     return register
 
 
-def get_resolver(name: str, tables: Tables | None = None, **options) -> Resolver:
+def get_resolver(name: str, tables: Tables | None = None, unique: Collection[str] = (), **options) -> Resolver:
+    """The resolver over response tables. ``unique`` names those that hold one response per
+    key, for instance because repeats were dropped when they were landed; a repeat in such a
+    table would repeat rows."""
     if name not in RESOLVERS:
         known = ", ".join(sorted(RESOLVERS)) or "<none registered>"
         raise ValueError(f"Unknown resolver '{name}'. Available resolvers: {known}")
     tables, factory = dict(tables or {}), RESOLVERS[name]
 
+    def build(given: Tables) -> Step:
+        return factory({one: declared_unique(rows) if one in unique else rows for one, rows in given.items()}, **options)
+
     def rebuild(keys: DataFrame) -> Step:
         asked = keys.select("key")
         some = {
             table: rows.join(asked, "key", "left_semi") if table in KEYED_TABLES else rows
             for table, rows in tables.items()
         }
-        return factory(some, **options)
+        return build(some)
 
-    return Resolver(name, factory(tables, **options), rebuild)
+    return Resolver(name, build(tables), rebuild)
 
 
 @register_resolver("geo")

@@ -83,6 +83,9 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: view(spark, sf_dir, source) for name, source in names.items()}
 
 
+# The response views hold one row per key.
+UNIQUE = ["rdap", "rdap_aggregator", "rdap_bootstrap", "whois", "service_location", "service_registration"]
+
 # -- scans, filters, projections ---------------------------------------------------
 
 
@@ -408,7 +411,7 @@ QUERIES["resolve_counters"] = QUERIES.pop("counters")
 def resolve_rows(spark, sf_dir):
     rows = view(spark, sf_dir, "half_enriched")
     known = view(spark, sf_dir, "resolve_cache")
-    return resolve(rows, get_resolver("default", tables(spark, sf_dir)), cache=known, now=NOW).rows
+    return resolve(rows, get_resolver("default", tables(spark, sf_dir), UNIQUE), cache=known, now=NOW).rows
 
 
 QUERIES["resolve"] = QUERIES.pop("resolve_rows")
@@ -507,7 +510,7 @@ def service_extract(spark, sf_dir):
 
 @query
 def resolve_default(spark, sf_dir):
-    resolver = get_resolver("default", tables(spark, sf_dir))
+    resolver = get_resolver("default", tables(spark, sf_dir), UNIQUE)
     return look_up(view(spark, sf_dir, "hosts").select("key"), resolver, None, NOW).drop("cached")
 
 
@@ -562,7 +565,7 @@ def pipeline_flagship(spark, sf_dir):
 @query
 def pipeline_resolved(spark, sf_dir):
     responses = tables(spark, sf_dir)
-    settings = pipeline_settings(spark, sf_dir, tables=responses)
+    settings = pipeline_settings(spark, sf_dir, tables=responses, resolver_options={"unique": UNIQUE})
     steps = [{"collect": {"start": 20, "time_unit": "d"}}, "trim", {"aggregate": {"min_count": 2}}, "resolve"]
     return ordered(plan(spark, steps, settings=settings).frame)
 
