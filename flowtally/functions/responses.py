@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowtally.functions.text import clean, filled, joined_names, lines, strip
+from flowtally.functions.text import clean, filled, joined_names, strip
 from flowtally.schema import ANSWER_FIELDS, ANSWER_TYPE
 
 # JSON texts that count as "nothing".

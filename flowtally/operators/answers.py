@@ -19,8 +19,6 @@ from flowtally.functions.responses import (
     json_array,
     json_document,
     json_fields,
-    json_object,
-    json_text,
     meant,
     object_contacts,
 )

@@ -12,7 +12,6 @@ from types import MappingProxyType
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from flowtally.functions.clock import UNIT_SECONDS, check_range
 from flowtally.functions.networks import parse_networks
