@@ -130,20 +130,38 @@ def _logistic(
     Classes weigh as they do among all labelled documents. A coefficient's step comes from
     a bound of its own curvature, so that rare features move as fast as common ones.
     """
-    column = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    value = scale[column]
     share = np.where(y == 1, toxic_share / (y == 1).sum(), (1 - toxic_share) / (y == 0).sum())
-    reach = np.bincount(row, np.abs(value), len(rows)) + 1
-    rate = 1 / (0.25 * np.bincount(column, np.abs(value) * (share * reach)[row], len(scale)) + l2)
-    bias_rate = 1 / (0.25 * (share * reach).sum())
+    # Texts are taken a few at a time, so that nothing but their features is held at once.
+    parts, low = [], 0
+    while low < len(rows):
+        high, size = low + 1, len(rows[low])
+        while high < len(rows) and size + len(rows[high]) <= PART:
+            size, high = size + len(rows[high]), high + 1
+        parts.append((low, high))
+        low = high
+
+    def entries() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for low, high in parts:
+            row = np.repeat(np.arange(high - low, dtype=np.int32), [len(r) for r in rows[low:high]])
+            yield slice(low, high), np.concatenate(rows[low:high]), row
+
+    curve, bias_curve = np.zeros(len(scale)), 0.0
+    for at, column, row in entries():
+        value = np.abs(scale[column])
+        reach = share[at] * (np.bincount(row, value, at.stop - at.start) + 1)
+        curve += np.bincount(column, value * reach[row], len(scale))
+        bias_curve += reach.sum()
+    rate, bias_rate = 1 / (0.25 * curve + l2), 1 / (0.25 * bias_curve)
     w, b = np.zeros(len(scale)), 0.0
     ahead_w, ahead_b, t = w, b, 1.0
     for _ in range(steps):
-        z = np.bincount(row, value * ahead_w[column], len(rows)) + ahead_b
-        slope = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        new_w = ahead_w - rate * (np.bincount(column, value * slope[row], len(scale)) + l2 * ahead_w)
-        new_b = ahead_b - bias_rate * slope.sum()
+        slope_w, slope_b = l2 * ahead_w, 0.0
+        for at, column, row in entries():
+            z = np.bincount(row, (scale * ahead_w)[column], at.stop - at.start) + ahead_b
+            slope = share[at] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at])
+            slope_w = slope_w + np.bincount(column, slope[row], len(scale)) * scale
+            slope_b += slope.sum()
+        new_w, new_b = ahead_w - rate * slope_w, ahead_b - bias_rate * slope_b
         t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
         ahead_w, ahead_b = new_w + (t - 1) / t_next * (new_w - w), new_b + (t - 1) / t_next * (new_b - b)
         w, b, t = new_w, new_b, t_next
