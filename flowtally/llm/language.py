@@ -61,21 +61,85 @@ def words_of(text: str | None) -> list[str]:
     return found
 
 
+def _next_hash(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Hash of a text from that of the text without its last letter."""
+    h = (h + code) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+class Vocabulary:
+    """Piece numbers by hash of the piece: two places for each, so that a look at both tells."""
+
+    BITS = 17
+    PREFIX_BITS = 20
+
+    def __init__(self, listed: Sequence[str]) -> None:
+        self.size = len(listed)
+        self.keys = np.zeros(1 << self.BITS, np.uint64)
+        self.numbers = np.full(1 << self.BITS, -1, np.int32)
+        self.prefixes = np.zeros(1 << self.PREFIX_BITS, bool)
+        owner: dict[int, int] = {}
+        hashes = []
+        for piece in listed:
+            h = np.zeros(1, np.uint64)
+            for code in np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64):
+                h = _next_hash(h, code)
+                self.prefixes[h >> np.uint64(64 - self.PREFIX_BITS)] = True
+            hashes.append(h[0])
+        keys = np.array(hashes, np.uint64)
+        places = np.stack(self._places(keys), 1)
+        for number in range(self.size):
+            place = int(places[number, 0])
+            for _ in range(500):
+                number, owner[place] = owner.get(place, -1), number
+                if number < 0:
+                    break
+                place = int(places[number].sum() - place)  # the other place of the one turned out
+            else:
+                raise ValueError("The vocabulary does not fit its table")
+        for place, number in owner.items():
+            self.keys[place], self.numbers[place] = keys[number], number
+
+    def _places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        shift = np.uint64(64 - self.BITS)
+        first = (h * np.uint64(0xD6E8FEB86659FD93)) >> shift
+        second = (h * np.uint64(0xA0761D6478BD642F)) >> shift
+        # Two different places, whatever the hash.
+        return first.astype(np.int64), np.where(first == second, first ^ np.uint64(1), second).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, -1 where there is none."""
+        first, second = self._places(h)
+        found = np.where(self.keys[second] == h, self.numbers[second], -1)
+        return np.where(self.keys[first] == h, self.numbers[first], found)
+
+    def begins(self, h: np.ndarray) -> np.ndarray:
+        """False where no piece begins like this."""
+        return self.prefixes[h >> np.uint64(64 - self.PREFIX_BITS)]
+
+
 class Lattice:
     """All cuts of many words of one length into pieces."""
 
-    def __init__(self, words: Sequence[str], ids: dict[str, int]) -> None:
+    def __init__(self, words: Sequence[str], vocabulary: Vocabulary) -> None:
         self.n, self.length = len(words), len(words[0]) + 1
         self.arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        unknown, get = len(ids), ids.get
-        marked = [MARK + w for w in words]
+        codes = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le"), np.uint32)
+        codes = codes.reshape(self.n, self.length).T.astype(np.uint64)
         for start in range(self.length):
+            alive, h = np.arange(self.n), np.zeros(self.n, np.uint64)
             for end in range(start + 1, min(self.length, start + LONGEST_PIECE) + 1):
-                default = unknown if end == start + 1 else -1
-                found = np.fromiter((get(w[start:end], default) for w in marked), np.int64, self.n)
-                rows = np.flatnonzero(found >= 0)
-                if len(rows):
-                    self.arcs.append((start, end, rows, found[rows]))
+                h = _next_hash(h, codes[end - 1][alive])
+                found = vocabulary.find(h)
+                if end == start + 1:
+                    found[found < 0] = vocabulary.size  # unknown
+                held = found >= 0
+                if held.any():
+                    self.arcs.append((start, end, alive[held], found[held]))
+                more = vocabulary.begins(h)
+                alive, h = alive[more], h[more]
+                if not len(alive):
+                    break
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """``[place, word, language]``: the sum over cuts up to each place."""
@@ -109,12 +173,11 @@ def by_length(words: Sequence[str]) -> Iterator[list[str]]:
             yield group[low : low + TOGETHER]
 
 
-def _use_batches(vocabulary: list[str], languages: list[str]):
+def _use_batches(ids: Vocabulary, languages: list[str]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {p: i for i, p in enumerate(vocabulary)}
         place = {x: k for k, x in enumerate(languages)}
-        guess = first_guess(len(ids))[:, None]
-        uses = np.zeros((len(ids) + 1, len(languages)))
+        guess = first_guess(ids.size)[:, None]
+        uses = np.zeros((ids.size + 1, len(languages)))
         seen: list[Counter] = [Counter() for _ in languages]
 
         def add() -> None:
@@ -144,7 +207,7 @@ def _use_batches(vocabulary: list[str], languages: list[str]):
 
 @dataclass(frozen=True)
 class Model:
-    vocabulary: list[str]
+    vocabulary: Vocabulary
     languages: list[str]
     p: np.ndarray
     prior: np.ndarray
@@ -159,8 +222,8 @@ def fit(docs: DataFrame, path: str = VOCABULARY) -> Model:
     listed = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(listed) > MAX_LANGUAGES:
         raise ValueError(f"More than {MAX_LANGUAGES} languages")
-    vocabulary, languages = pieces(path), [row.lang for row in listed]
-    guess = first_guess(len(vocabulary))
+    vocabulary, languages = Vocabulary(pieces(path)), [row.lang for row in listed]
+    guess = first_guess(vocabulary.size)
     uses = np.zeros((len(guess), len(languages)))
     if languages:
         rows = train.mapInArrow(_use_batches(vocabulary, languages), "piece int, language int, uses double")
@@ -173,7 +236,7 @@ def fit(docs: DataFrame, path: str = VOCABULARY) -> Model:
 
 def _predict_batches(model: Model):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {p: i for i, p in enumerate(model.vocabulary)}
+        ids = model.vocabulary
         prior = np.log(model.prior)
         known: dict[str, int] = {}
         table = np.zeros((CACHE * 2, len(prior)))

@@ -138,7 +138,7 @@ def test_forward_sums_all_cuts():
         )
 
     words = ["abc", "abb", "xbc", "bcb"]
-    lattice = language.Lattice(words, ids)
+    lattice = language.Lattice(words, language.Vocabulary(list(ids)))
     assert np.allclose(lattice.forward(p)[lattice.length], [[total("▁" + w, k) for k in (0, 1)] for w in words])
     # Expected uses follow from how the sum answers to each piece.
     counts = rng.random((4, 2))
