@@ -99,7 +99,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     """``(row, src, block, epoch, slot, position, length)`` for every place of a document in the mixture.
 
     ``row`` holds all columns of ``docs``, whatever their names. Documents of a source are
-    taken in order of their hashed id; rows with equal ids are ordered by text. ``slot`` is
+    taken in order of their hashed id; rows with equal ids are ordered by a
+    checksum of their text. ``slot`` is
     the place of the block in the schedule and ``position`` that of the document; both grow
     in the order of the mixture, which has ``length`` slots. A missing source is a source of its own. With ``weights``,
     a source without a positive weight has no place. An empty table gives no rows. A weight
@@ -109,9 +110,10 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         source_key().alias("src"),
         spread_key(F.col("doc_id")).alias("spread"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("tie"),
     ).withColumn("bucket", F.substring("spread", 1, 3))
     counts = keyed.groupBy("src").agg(F.count(F.lit(1)).alias("total"))
-    placed = start_positions(keyed, ["src"], "bucket", ["spread", "row.text"], "number")
+    placed = start_positions(keyed, ["src"], "bucket", ["spread", "tie"], "number")
     # One row for each source, MAX_SOURCES at most, with all slots of a round between them.
     plan = F.broadcast(schedule(counts, weights, block, slots))
     return (

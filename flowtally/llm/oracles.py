@@ -15,7 +15,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["op1_mixing"] = f"""
 WITH RECURSIVE keyed AS (SELECT doc_id, text, source, coalesce('=' || source, 'missing') AS src FROM documents),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY src
-    ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), text NULLS FIRST) - 1 AS number FROM keyed),
+    ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), md5(coalesce(text, ''))) - 1 AS number FROM keyed),
 counts AS (SELECT src, count(*) AS total FROM keyed GROUP BY src),
 parts AS (SELECT src, CAST(row_number() OVER (ORDER BY src) AS BIGINT) AS i, (total + {mixing.BLOCK - 1}) // {mixing.BLOCK} AS blocks,
     greatest(CAST(round(pow(total, {mixing.TEMPERATURE}) / sum(pow(total, {mixing.TEMPERATURE})) OVER () * {mixing.SLOTS}) AS BIGINT), 1) AS parts

@@ -48,7 +48,7 @@ def test_positions_within_groups(spark):
 def expected_mixture(rows, weights, block, slots):
     sources = defaultdict(list)
     for doc_id, text, source in rows:
-        sources["missing" if source is None else f"={source}"].append((spread(doc_id), text or "", doc_id))
+        sources["missing" if source is None else f"={source}"].append((spread(doc_id), hashlib.md5((text or "").encode()).hexdigest(), doc_id))
     names = sorted(s for s in sources if s in weights)
     total = sum(weights[s] for s in names)
     parts = [max(1, math.floor(weights[s] / total * slots + 0.5)) for s in names]
