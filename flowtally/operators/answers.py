@@ -66,18 +66,15 @@ def whois_answers(frame: DataFrame, response: str = "response") -> DataFrame:
         .withColumn(
             "_texts",
             F.transform(
-                F.filter("_nets", lambda net: F.ltrim(net).startswith("{")),
-                lambda net: F.coalesce(
-                    blank_to_null(meant(json_document(net), "$.description")),
-                    meant(json_document(net), "$.name"),
-                ),
+                F.transform(F.filter("_nets", lambda net: F.ltrim(net).startswith("{")), json_document),
+                lambda net: F.coalesce(blank_to_null(meant(net, "$.description")), meant(net, "$.name")),
             ),
         )
     )
     data, doc = F.col("_data"), F.col("_doc")
     first_lines = F.transform("_texts", lambda text: strip(F.get(lines(strip(text)), F.lit(0))))
     found = answer(
-        country=clean(meant(json_document(F.get("_nets", F.lit(0))), "$.country")),
+        country=clean(meant(doc, "$.nets[0].country")),
         asn=clean(meant(doc, "$.asn")),
         asn_descr=clean(meant(doc, "$.asn_description")),
         contacts=filled(joined_names(first_lines)),
