@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from flowtally.llm import decontaminate, simhash, suffixdedup
+from flowtally.llm import decontaminate, nearcopies, simhash, suffixdedup
 from flowtally.llm.components import components
 from flowtally.llm.fmindex import FMIndex, suffix_array
 from flowtally.llm.queries import QUERIES
@@ -115,6 +115,42 @@ def test_simhash_query_against_brute_force(spark):
     assert {tuple(r) for r in QUERIES["op8_simhash"](spark, SF).collect()} == expected
 
 
+# -- near copies -------------------------------------------------------------------------
+
+
+def shingles_of(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similarity_of(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("tile", [nearcopies.TILE, 400])
+def test_planted_near_copies_go_and_others_stay(spark, tile):
+    rng = random.Random(6)
+    pool = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(3000)]
+    rows = []
+    for base in range(60):  # copies of falling similarity, from about 0.97 to 0.6
+        words = rng.choices(pool, k=rng.choice([100, 300]))
+        rows.append((10 * base, " ".join(words)))
+        for k in range(1, 6):
+            copy = list(words)
+            for at in rng.sample(range(len(words)), max(1, len(words) * k // 100)):
+                copy[at] = rng.choice(pool)
+            rows.append((10 * base + k, " ".join(copy)))
+    sets = {i: shingles_of(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and similarity_of(sets[a], sets[b]) >= 0.8]
+    planted = [(a, b) for a, b in links if similarity_of(sets[a], sets[b]) <= 0.95]
+    assert len(planted) > 60 and len(links) < sum(1 for a in sets for b in sets if a < b and a // 10 == b // 10)
+    group = groups_of(links)
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(documents(spark, rows), tile=tile).collect()}
+    assert got == {i: group.get(i, i) for i in sets}
+    kept = {r.doc_id for r in simhash.keep_first(documents(spark, rows)).collect()}
+    assert kept == {i for i in sets if group.get(i, i) == i}
+
+
 # -- repeated passages -------------------------------------------------------------------
 
 
