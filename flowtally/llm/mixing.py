@@ -13,8 +13,12 @@ before starts again (its next epoch). Nothing is dropped.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Mapping
+from heapq import heappop, heappush
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +32,11 @@ TEMPERATURE = 0.8
 #: A schedule is one row; with more sources than this, group them first.
 MAX_SOURCES = 2_000
 
+#: Parts of the whole that exact weights are held in: a double has no more digits.
+FINE = 1 << 52
+#: Blocks up to which the exact schedule is sent to all executors, some 60 MB.
+SENT = 1 << 20
+
 ROUND = """
 transform(
   aggregate(
@@ -95,6 +104,15 @@ def schedule(counts: DataFrame, weights: Mapping[str | None, float] | None = Non
     )
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        source_key().alias("src"),
+        spread_key(F.col("doc_id")).alias("spread"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("tie"),
+    ).withColumn("bucket", F.substring("spread", 1, 3))
+
+
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
     """``(row, src, block, epoch, slot, position, length)`` for every place of a document in the mixture.
 
@@ -106,12 +124,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     a source without a positive weight has no place. An empty table gives no rows. A weight
     is rounded to whole parts of about ``slots``, one at least.
     """
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        source_key().alias("src"),
-        spread_key(F.col("doc_id")).alias("spread"),
-        F.md5(F.coalesce("text", F.lit(""))).alias("tie"),
-    ).withColumn("bucket", F.substring("spread", 1, 3))
+    keyed = _keyed(docs)
     counts = keyed.groupBy("src").agg(F.count(F.lit(1)).alias("total"))
     placed = start_positions(keyed, ["src"], "bucket", ["spread", "tie"], "number")
     # One row for each source, MAX_SOURCES at most, with all slots of a round between them.
@@ -129,10 +142,81 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     )
 
 
+def exact_schedule(totals: Mapping[str, int], weights: Mapping[str, float], block: int = BLOCK) -> tuple[list[str], np.ndarray]:
+    """The sources, and the number of the source that each slot of the whole schedule goes to.
+
+    Windows follow the weights themselves, not parts of a round, so that each source stays
+    less than one block off its share to the end. What is held grows with the blocks of the
+    mixture, 4 bytes for each.
+    """
+    names = sorted(s for s in totals if weights.get(s, 0) > 0)
+    total = sum(weights[s] for s in names)
+    parts = [max(1, round(weights[s] / total * FINE)) for s in names]
+    slots, blocks = sum(parts), [-(-totals[s] // block) for s in names]
+    given, open_sources = [0] * len(names), len(names)
+    waiting: list[tuple[int, int]] = [(0, i) for i in range(len(names))]  # by release
+    ready: list[tuple[int, int]] = []  # by deadline
+    out = array("i")
+    t = 0
+    while open_sources:
+        while waiting and waiting[0][0] <= t:
+            i = heappop(waiting)[1]
+            heappush(ready, (-((given[i] + 1) * slots // -parts[i]), i))
+        i = heappop(ready)[1]
+        given[i] += 1
+        open_sources -= given[i] == blocks[i]
+        heappush(waiting, (given[i] * slots // parts[i], i))
+        out.append(i)
+        t += 1
+    return names, np.frombuffer(out, np.int32) if out else np.zeros(0, np.int32)
+
+
+def exact_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """``(row, src, block, epoch, slot, position)`` as ``mix`` gives them, by the exact weights,
+    and the number of slots. The counts of the sources come to the driver, and the schedule
+    is worked out there."""
+    spark = docs.sparkSession
+    keyed = _keyed(docs)
+    counted = keyed.groupBy("src").agg(F.count(F.lit(1)).alias("total")).limit(MAX_SOURCES + 1).collect()
+    totals = {r.src: r.total for r in counted}
+    if weights is not None:
+        given = {"missing" if name is None else f"={name}": float(w) for name, w in weights.items() if w > 0}
+        totals = {s: n for s, n in totals.items() if s in given}
+    else:
+        given = {s: n**TEMPERATURE for s, n in totals.items()}
+    if len(counted) > MAX_SOURCES:
+        raise ValueError(f"More than {MAX_SOURCES} sources")
+    names, order = exact_schedule(totals, given, block)
+    blocks = np.array([-(-totals[s] // block) for s in names], np.int64)
+    # Turns of a source are numbered in order of its slots.
+    slots = np.argsort(order, kind="stable")
+    sizes = np.bincount(order, minlength=len(names)).astype(np.int64)
+    firsts = np.cumsum(sizes) - sizes
+    turns = pa.table({"at": np.arange(len(order), dtype=np.int64), "slot": slots.astype(np.int64)})
+    plan = spark.createDataFrame(
+        list(zip(names, blocks.tolist(), sizes.tolist(), firsts.tolist())), "src string, blocks bigint, turns bigint, first bigint"
+    )
+    listed = spark.createDataFrame(turns)
+    places = (
+        start_positions(keyed, ["src"], "bucket", ["spread", "tie"], "number")
+        .join(F.broadcast(plan), "src")
+        .selectExpr(
+            "row", "src", "number", "first", "blocks", f"number div {block} AS block",
+            f"explode(sequence(0L, (turns - 1 - number div {block}) div blocks)) AS epoch",
+        )
+        .withColumn("at", F.expr("first + epoch * blocks + block"))
+        .join(F.broadcast(listed) if len(order) <= SENT else listed, "at")
+        .withColumn("position", F.expr(f"slot * {block} + number % {block}"))
+        .select("row", "src", "block", "epoch", "slot", "position")
+    )
+    return places, len(order)
+
+
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
-    """The mixture itself: the columns of ``docs``, in parts that follow each other in its order."""
-    places = mix(docs, weights)
+    """The mixture itself: the columns of ``docs``, in parts that follow each other in its order,
+    by the exact weights."""
+    places, length = exact_mix(docs, weights)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Slots are full, so equal runs of slots are parts of equal size.
-    part = F.expr(f"cast(slot * {parts} div length AS int)")
+    part = F.expr(f"cast(slot * {parts} div {max(length, 1)} AS int)")
     return places.repartitionById(parts, part).sortWithinPartitions("position").select("row.*")

@@ -99,6 +99,32 @@ def test_mixing_nothing_and_too_many_sources(spark, monkeypatch):
         mixing.mixed(documents(spark, [(i, "t", f"s{i}") for i in range(3)])).collect()
 
 
+def test_exact_schedule_keeps_each_source_within_a_block():
+    totals = {"=hot": 400_000, **{f"=mid{i}": 2_000 for i in range(5)}, **{f"=small{i}": 20 for i in range(60)}}
+    weights = {s: n**mixing.TEMPERATURE for s, n in totals.items()}
+    names, order = mixing.exact_schedule(totals, weights)
+    total, given = sum(weights.values()), [0] * len(names)
+    for t, i in enumerate(order.tolist(), 1):
+        given[i] += 1
+        if t % 97 == 0 or t == len(order):
+            assert all(abs(g - t * weights[s] / total) < 1 for g, s in zip(given, names))
+    assert all(g * mixing.BLOCK >= totals[s] for g, s in zip(given, names))
+
+
+def test_mixture_follows_the_weights_themselves(spark):
+    # Of 1000 slots, the small sources would get one each: 14 times their share.
+    weights = {"hot": 1.0, **{f"s{i}": 0.00002 for i in range(40)}}
+    docs = documents(spark, [(i, "t", "hot") for i in range(6000)] + [(10_000 + i, "t", f"s{i}") for i in range(40)])
+    places, length = mixing.exact_mix(docs, weights, 1)
+    slots = sorted((r.slot, r.src) for r in places.select("slot", "src").collect())
+    assert [s for s, _ in slots] == list(range(length))
+    total = sum(weights.values())
+    for source, weight in weights.items():
+        assert abs(sum(src == f"={source}" for _, src in slots) - length * weight / total) < 1
+    assert len({src for _, src in slots}) == 41
+    assert mixing.mixed(docs, weights).count() > 6000
+
+
 # -- sharding ----------------------------------------------------------------------------
 
 
