@@ -149,6 +149,23 @@ class Lattice:
             alpha[end, rows] += alpha[start, rows] * p[found]
         return alpha
 
+    def log_total(self, p: np.ndarray) -> np.ndarray:
+        """``[word, language]``: the logarithm of the sum over all cuts. Each place is scaled by
+        its greatest sum so far, so that long runs of rare pieces stay above zero."""
+        alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
+        alpha[0] = 1
+        logs = np.zeros_like(alpha)  # a place holds alpha * exp(logs)
+        arcs: dict[int, list] = defaultdict(list)
+        for start, end, rows, found in self.arcs:
+            arcs[end].append((start, rows, found))
+        for end in range(1, self.length + 1):
+            logs[end] = logs[end - 1]  # the arc of one letter is always there
+            for start, rows, found in arcs[end]:
+                alpha[end, rows] += alpha[start, rows] * p[found] * np.exp(logs[start, rows] - logs[end, rows])
+            logs[end] += np.log(alpha[end])
+            alpha[end] = 1
+        return logs[self.length]
+
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """``[piece, language]``: expected uses in words seen ``counts[word, language]`` times."""
         alpha = self.forward(p)
@@ -248,7 +265,7 @@ def _predict_batches(model: Model):
                 first = len(known)
                 if first + len(group) > len(table):
                     table = np.concatenate([table, np.zeros_like(table)])
-                table[first : first + len(group)] = np.log(lattice.forward(model.p)[lattice.length])
+                table[first : first + len(group)] = lattice.log_total(model.p)
                 known.update(zip(group, range(first, first + len(group))))
 
         for batch in batches:

@@ -151,6 +151,24 @@ def test_forward_sums_all_cuts():
         assert np.allclose(uses[piece], (change * counts).sum(0) / step, atol=1e-4)
 
 
+def test_long_runs_of_unseen_letters_stay_above_zero():
+    vocabulary = language.Vocabulary(["▁", "▁the", "▁sea", "the", "sea"])
+    uses = np.array([[1e10, 1e6], [9e9, 1.0], [9e9, 1.0], [1.0, 1.0], [1.0, 1.0], [0.0, 0.0]])
+    p = uses + language.SMOOTHING * 1e-9
+    model = language.Model(vocabulary, ["en", "xx"], p / p.sum(0), np.array([0.5, 0.5]))
+    run = "漢" * 32
+    lattice = language.Lattice([run], vocabulary)
+    assert np.allclose(lattice.log_total(model.p), np.log(model.p[0]) + 32 * np.log(model.p[5]))
+    lattice = language.Lattice(["these", "theth"], vocabulary)
+    assert np.allclose(lattice.log_total(model.p), np.log(lattice.forward(model.p)[lattice.length]))
+    import pyarrow as pa
+
+    texts = ["the sea " * 60 + run, run]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([False, False]), pa.array(texts)], ["doc_id", "held_out", "text"])
+    (out,) = language._predict_batches(model)(iter([batch]))
+    assert out.column("lang_pred").to_pylist() == ["en", "xx"] and all(0.5 < x <= 1 for x in out.column("score").to_pylist())
+
+
 def test_language_cases(spark):
     rows = [(i, t, lang, None) for i in range(0, 80, 2) for t, lang in [("the sea and the quay", "en")]]
     rows += [(i, "das Meer und der Kai", "de", None) for i in range(1, 80, 2)]
