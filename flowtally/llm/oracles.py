@@ -6,7 +6,7 @@ their queries are tested against brute force instead.
 
 from __future__ import annotations
 
-from flowtally.llm import decontaminate, linededup, mixing, sharding, suffixdedup
+from flowtally.llm import decontaminate, lexical, linededup, mixing, sharding, suffixdedup
 
 ORACLES: dict[str, str] = {}
 
@@ -146,3 +146,22 @@ placed AS (SELECT sized.*, CAST(substr(n.shard, 6) AS INT) AS shard, CAST(substr
   FROM sized JOIN now_shard n USING (key) JOIN more_shard m USING (key))
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY md5(key), text_crc32, size) - 1 AS slot, grown_shard FROM placed"""
+
+# -- ranked lexical search: every document that shares a term with an item is scored -----------------
+
+_TERMS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+ORACLES["op13_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs WHERE len(w) > 0),
+items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark),
+wanted AS (SELECT q, term, count(*) AS repeats FROM (SELECT q, unnest(w) AS term FROM items) GROUP BY q, term),
+postings AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM postings, totals GROUP BY term, n_docs),
+sizes AS (SELECT r, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM docs, totals WHERE len(w) > 0),
+scores AS (SELECT q, r, CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (r) GROUP BY q, r),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM scores JOIN sizes USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked JOIN items USING (q) WHERE rank <= {lexical.TOP}"""
