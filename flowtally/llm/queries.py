@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtally.llm import decontaminate, language, lexical, linededup, mixing, quality, quotes, sharding, simhash, suffixdedup, toxicity, whitening
+from flowtally.llm import decontaminate, language, lexical, linededup, mixing, personal, quality, quotes, sharding, simhash, suffixdedup, toxicity, whitening
 from flowtally.llm.common import table
 from flowtally.llm.oracles import ORACLES as ORACLES
 
@@ -58,6 +58,11 @@ def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.linked(table(spark, sf_dir, "conversations"))
 
 
+def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = personal.fit(personal.examples(spark))
+    return personal.report(personal.find(table(spark, sf_dir, "documents"), model))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_quotes": op10_quotes,
+    "op11_personal": op11_personal,
     "op12_whitening": op12_whitening,
     "op13_search": op13_search,
 }
