@@ -43,15 +43,18 @@ def json_document(text: Column) -> Column:
     return F.try_parse_json(json_object(text))
 
 
-def meant(document: Column, path: str) -> Column:
-    """Text of a value, empty where it is missing or says nothing: ``0``, ``false``, ``null``
-    or something empty. The text ``"0"`` is a value like any other."""
-    value = F.try_variant_get(document, path, "variant")
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-    text = F.coalesce(F.try_variant_get(document, path, "string"), F.lit(""))
-    zero = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (text.try_cast("double") == 0)
-    nothing = (kind == "VOID") | ((kind == "BOOLEAN") & (text == "false")) | ((kind != "STRING") & text.isin("[]", "{}"))
-    return F.when(nothing | F.coalesce(zero, F.lit(False)), F.lit("")).otherwise(text)
+# Texts of JSON values that may say nothing, depending on their kind.
+DOUBTFUL = r"\A(?:-?0+(?:\.0*)?(?:[eE][+-]?[0-9]+)?|false|\[\]|\{\})\z"
+
+
+def says_something(text: Column, document: Column, path: str) -> Column:
+    """``text`` of the value at ``path`` of the JSON text ``document``, empty where it is
+    missing or says nothing: ``0``, ``false``, ``null`` or something empty. The text ``"0"`` is
+    a value like any other, so the kind of a doubtful value is looked up in the document;
+    of all others, which are nearly all, no more is parsed than the text they came from."""
+    text = filled(text)
+    value = F.try_variant_get(json_document(document), path, "variant")
+    return F.when(text.rlike(DOUBTFUL) & (F.coalesce(F.schema_of_variant(value), F.lit("VOID")) != "STRING"), F.lit("")).otherwise(text)
 
 
 # -- registration data (RDAP) ------------------------------------------------------
@@ -80,15 +83,32 @@ def vcard_name(vcard: Column) -> Column:
     return F.get(F.transform(F.array(json_array(vcard)), name), F.lit(0))
 
 
+def nesting(text: Column, keys: Column) -> Column:
+    """How deep objects of a JSON text can lie inside lists at most; ``keys`` bounds it too.
+
+    A list of objects takes two brackets. Strings go first, since they may hold brackets."""
+    brackets = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, sign: Column) -> Column:
+        now = state["now"] + F.when(sign.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    deepest = F.aggregate(F.split(brackets, ""), start, step, lambda state: F.ceil((state["most"] + 1) / 2).cast("int"))
+    return F.when(keys <= 3, keys).otherwise(F.least(keys, deepest))
+
+
 def entity_contacts(entities: Column) -> Column:
     """vCard names of an entity list and of all entities nested in it, parents first.
 
-    Each round puts the children of every entity right behind it. A text cannot nest
-    deeper than it has ``entities`` keys, so that many rounds open every level.
+    A round opens the lists inside the entities found by the round before, and nothing else.
+    There are no more rounds than the text nests deep, because each copies what was found so
+    far. Places in the tree put the names of all rounds in document order.
     """
     shape = "struct<vcardArray:string,entities:string>"
+    named = "struct<place:array<int>,name:string,inside:string>"
 
-    def opened(text: Column) -> Column:
+    def opened(text: Column, above: Column) -> Column:
         # One parse where every entity is an object; entity by entity where one is not.
         items = F.coalesce(
             F.from_json(F.when(F.ltrim(text).startswith("["), text), f"array<{shape}>"),
@@ -100,26 +120,28 @@ def entity_contacts(entities: Column) -> Column:
         )
         return F.transform(
             items,
-            lambda item: F.struct(vcard_name(item["vcardArray"]).alias("name"), item["entities"].alias("inside")),
+            lambda item, i: F.struct(
+                F.concat(above, F.array(i)).alias("place"), vcard_name(item["vcardArray"]).alias("name"), item["entities"].alias("inside")
+            ),
         )
 
-    def expand(found: Column, _round: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                found,
-                lambda one: F.when(one["inside"].isNull(), F.array(one)).otherwise(
-                    F.concat(
-                        F.array(F.struct(one["name"].alias("name"), F.lit(None).cast("string").alias("inside"))),
-                        opened(one["inside"]),
-                    )
-                ),
-            )
-        )
+    def next_round(state: Column, _round: Column) -> Column:
+        open_lists = F.filter(state["found"], lambda one: one["inside"].isNotNull())
+        inner = F.flatten(F.transform(open_lists, lambda one: opened(one["inside"], one["place"])))
+        more = F.struct(F.array_append(state["rounds"], state["found"]).alias("rounds"), inner.alias("found"))
+        return F.when(F.size(state["found"]) == 0, state).otherwise(more)
 
-    depth = F.regexp_count(filled(entities), F.lit('"entities"'))
+    depth = nesting(filled(entities), F.regexp_count(filled(entities), F.lit('"entities"')))
     rounds = F.slice(F.sequence(F.lit(0), depth), F.lit(2), depth)
-    walked = F.aggregate(rounds, opened(entities), expand)
-    return filled(joined_names(walked["name"]))
+    first = F.struct(
+        F.array().cast(f"array<array<{named}>>").alias("rounds"), opened(entities, F.array().cast("array<int>")).cast(f"array<{named}>").alias("found")
+    )
+
+    def in_order(state: Column) -> Column:
+        every = F.array_append(state["rounds"], state["found"])
+        return F.when(F.size(state["rounds"]) == 0, state["found"]).otherwise(F.array_sort(F.flatten(every)))["name"]
+
+    return filled(joined_names(F.aggregate(rounds, first, next_round, in_order)))
 
 
 def expiration(events: Column, action: str, date: str) -> Column:

@@ -7,7 +7,7 @@ Parsed parts are columns of their own, so every response is parsed once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtally.functions.responses import (
@@ -17,42 +17,46 @@ from flowtally.functions.responses import (
     entity_contacts,
     expiration,
     json_array,
-    json_document,
     json_fields,
-    meant,
+    json_object,
     object_contacts,
+    says_something,
 )
 from flowtally.functions.text import blank_to_null, clean, filled, joined_names, lines, strip
 
 
 def rdap_answers(frame: DataFrame, response: str = "response") -> DataFrame:
     """Registration data as an address lookup returns it."""
-    parsed = frame.withColumns(
-        {"_data": json_fields(F.col(response), "network", "objects"), "_doc": json_document(F.col(response))}
-    )
-    data, network, doc = F.col("_data"), F.col("_data.network"), F.col("_doc")
+    parsed = frame.withColumn(
+        "_data", json_fields(F.col(response), "asn", "asn_description", "asn_country_code", "network", "objects")
+    ).withColumn("_network", json_fields(F.col("_data.network"), "country", "events"))
+    data, network = F.col("_data"), F.col("_network")
+
+    def meant(field: str) -> Column:
+        return clean(says_something(data[field], F.col(response), f"$.{field}"))
+
     found = answer(
         country=F.coalesce(
-            blank_to_null(clean(meant(doc, "$.asn_country_code"))),
-            clean(meant(doc, "$.network.country")),
+            blank_to_null(meant("asn_country_code")),
+            clean(says_something(network["country"], data["network"], "$.country")),
         ),
-        asn=clean(meant(doc, "$.asn")),
-        asn_descr=clean(meant(doc, "$.asn_description")),
+        asn=meant("asn"),
+        asn_descr=meant("asn_description"),
         contacts=object_contacts(data["objects"]),
-        expires=expiration(F.get_json_object(network, "$.events"), "action", "timestamp"),
+        expires=expiration(network["events"], "action", "timestamp"),
     )
-    return parsed.withColumn("answer", F.when(data.isNotNull(), found)).drop("_data", "_doc")
+    return parsed.withColumn("answer", F.when(data.isNotNull(), found)).drop("_data", "_network")
 
 
 def aggregator_answers(frame: DataFrame, response: str = "response") -> DataFrame:
     """An aggregator wraps the registry's own object; it never knows the network number."""
     parsed = frame.withColumn("_reply", json_fields(F.col(response), "success", "data")).withColumn(
-        "_data", json_fields(F.col("_reply.data"), "entities", "events")
+        "_data", json_fields(F.col("_reply.data"), "country", "entities", "events")
     )
     data = F.col("_data")
     success = ~filled(F.col("_reply.success")).isin(*EMPTY_JSON)
     found = answer(
-        country=clean(meant(json_document(F.col("_reply.data")), "$.country")),
+        country=clean(says_something(data["country"], F.col("_reply.data"), "$.country")),
         contacts=entity_contacts(data["entities"]),
         expires=expiration(data["events"], "eventAction", "eventDate"),
     )
@@ -60,29 +64,29 @@ def aggregator_answers(frame: DataFrame, response: str = "response") -> DataFram
 
 
 def whois_answers(frame: DataFrame, response: str = "response") -> DataFrame:
+    def name(net: Column) -> Column:
+        fields = json_fields(net, "description", "name")
+        described, named = (says_something(fields[field], net, f"$.{field}") for field in ("description", "name"))
+        return F.coalesce(blank_to_null(described), named)
+
     parsed = (
-        frame.withColumns({"_data": json_fields(F.col(response), "nets"), "_doc": json_document(F.col(response))})
+        frame.withColumn("_data", json_fields(F.col(response), "asn", "asn_description", "nets"))
         .withColumn("_nets", json_array(F.col("_data.nets")))
-        .withColumn(
-            "_texts",
-            F.transform(
-                F.transform(F.filter("_nets", lambda net: F.ltrim(net).startswith("{")), json_document),
-                lambda net: F.coalesce(blank_to_null(meant(net, "$.description")), meant(net, "$.name")),
-            ),
-        )
+        .withColumn("_texts", F.transform(F.filter("_nets", lambda net: F.ltrim(net).startswith("{")), name))
     )
-    data, doc = F.col("_data"), F.col("_doc")
+    data = F.col("_data")
+    first, response_text = F.get("_nets", F.lit(0)), F.col(response)
     first_lines = F.transform("_texts", lambda text: strip(F.get(lines(strip(text)), F.lit(0))))
     found = answer(
-        country=clean(meant(doc, "$.nets[0].country")),
-        asn=clean(meant(doc, "$.asn")),
-        asn_descr=clean(meant(doc, "$.asn_description")),
+        country=clean(says_something(F.get_json_object(json_object(first), "$.country"), first, "$.country")),
+        asn=clean(says_something(data["asn"], response_text, "$.asn")),
+        asn_descr=clean(says_something(data["asn_description"], response_text, "$.asn_description")),
         contacts=filled(joined_names(first_lines)),
     )
     # A name of white space only has no first line; such a response counts as failed.
     broken = F.exists("_texts", lambda text: (text != "") & (strip(text) == ""))
     readable = data.isNotNull() & ~F.coalesce(broken, F.lit(False))
-    return parsed.withColumn("answer", F.when(readable, found)).drop("_data", "_doc", "_nets", "_texts")
+    return parsed.withColumn("answer", F.when(readable, found)).drop("_data", "_nets", "_texts")
 
 
 def domain_answers(frame: DataFrame, response: str = "response") -> DataFrame:
@@ -115,11 +119,15 @@ def service_answers(
 ) -> DataFrame:
     """A lookup service with separate location and registration replies, which fail
     independently of each other."""
-    parsed = frame.withColumn("_doc", json_document(F.col(registration)))
+    registered = json_fields(F.get_json_object(json_object(F.col(registration)), "$.ip_whois"), "asn", "asn_description", "objects")
+    parsed = frame.withColumn("_whois", registered)
+    whois = F.col("_whois")
     found = answer(
-        country=meant(json_document(F.col(location)), "$.country.name"),
-        asn=meant(F.col("_doc"), "$.ip_whois.asn"),
-        asn_descr=meant(F.col("_doc"), "$.ip_whois.asn_description"),
-        contacts=object_contacts(F.get_json_object(registration, "$.ip_whois.objects")),
+        country=says_something(
+            F.get_json_object(json_object(F.col(location)), "$.country.name"), F.col(location), "$.country.name"
+        ),
+        asn=says_something(whois["asn"], F.col(registration), "$.ip_whois.asn"),
+        asn_descr=says_something(whois["asn_description"], F.col(registration), "$.ip_whois.asn_description"),
+        contacts=object_contacts(whois["objects"]),
     )
-    return parsed.withColumn("answer", found).drop("_doc")
+    return parsed.withColumn("answer", found).drop("_whois")
