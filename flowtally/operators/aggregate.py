@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtally.functions.text import filled
+from flowtally.operators.counters import threshold_counters
 from flowtally.schema import GROUP_COLUMNS, ORDER_COLUMNS, present
 
 
@@ -53,10 +54,4 @@ def ordered(counted: DataFrame) -> DataFrame:
 
 def threshold_report(counted: DataFrame, min_count: int) -> DataFrame:
     """Groups kept and dropped by a threshold, and the rows they stand for."""
-    kept = F.col("count") >= min_count
-    return counted.agg(
-        F.count_if(kept).alias("groups_kept"),
-        F.count_if(~kept).alias("groups_dropped"),
-        F.coalesce(F.sum(F.when(kept, F.col("count"))), F.lit(0)).alias("rows_kept"),
-        F.coalesce(F.sum(F.when(~kept, F.col("count"))), F.lit(0)).alias("rows_dropped"),
-    )
+    return counted.agg(*[metric.alias(name) for name, metric in threshold_counters(min_count).items()])

@@ -12,6 +12,8 @@ from flowtally.functions.dates import cache_expiry
 from flowtally.functions.text import filled
 from flowtally.schema import RESOLVE_COLUMNS, RESOLVE_VERSION
 
+CACHED_TYPE = "struct<" + ",".join(f"{name}:string" for name in RESOLVE_COLUMNS) + ">"
+
 
 def namespace(resolver: str) -> str:
     """Resolvers and schema versions never serve each other's answers."""

@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from flowtally.functions.text import clean, filled
 from flowtally.operators import cache as caching
 from flowtally.operators.attach import attach, key_counts
-from flowtally.operators.resolvers import Resolver
+from flowtally.operators.counters import RunCounters
+from flowtally.operators.resolvers import ERROR, Resolver
 from flowtally.schema import ANSWER_FIELDS, DEFAULT_KEY_COLUMN, RESOLVE_COLUMNS
 from flowtally.session import stage
 
 
 @dataclass(frozen=True)
 class Resolution:
-    """``rows`` are the enriched rows, ``answers`` one row per looked-up key with its
-    row count and whether it was cached, ``fresh`` the rows to add to the cache."""
+    """``rows`` are the enriched rows, ``answers`` one row per looked-up key with its row
+    count, whether it was cached and why it failed, ``fresh`` the rows to add to the cache."""
 
     rows: DataFrame
     answers: DataFrame
@@ -57,16 +58,19 @@ def resolve_keys(
 
 def look_up(keys: DataFrame, resolver: Resolver, cache: DataFrame | None, now: datetime | None) -> DataFrame:
     """Answers of all keys; only those without a live cache entry are asked for, and
-    ``cached`` tells which had one. The keys go through as one chain of joins."""
+    ``cached`` tells which had one. A key whose lookup failed has empty fields and the
+    reason in ``error``. The keys go through as one chain of joins."""
     if cache is None:
-        return resolver.answers(keys).withColumn("cached", F.lit(False))
-    known = keys.join(caching.live_entries(cache, resolver.name, now), "key", "left")
+        known = keys.withColumn("cached", F.lit(None).cast(caching.CACHED_TYPE))
+    else:
+        known = keys.join(caching.live_entries(cache, resolver.name, now), "key", "left")
     asked = resolver.step(known.withColumn("wanted", F.col("cached").isNull()))
     return asked.selectExpr(
         *keys.columns,
         *[f"coalesce(cached.{name}, answer.{name}, '') AS {name}" for name in RESOLVE_COLUMNS],
         "coalesce(answer.expires, '') AS expires",
         "cached IS NOT NULL AS cached",
+        f"{ERROR} AS {ERROR}" if ERROR in asked.columns else f"CAST(NULL AS STRING) AS {ERROR}",
     )
 
 
@@ -101,9 +105,11 @@ def resolve(
     cache: DataFrame | None = None,
     now: datetime | None = None,
     skip_already_enriched: bool = True,
+    counters: RunCounters | None = None,
 ) -> Resolution:
     """Enrich ``rows``; their number does not change. ``rows`` is read twice, so stage
-    it first when it is the result of a shuffle. With a cache, ``now`` is needed."""
+    it first when it is the result of a shuffle. With a cache, ``now`` is needed.
+    ``counters`` gets keys, the rows they stand for, hits, misses and failures."""
     if cache is not None and now is None:
         raise ValueError("A cache needs the time of the run: now")
     keys = stage(resolve_keys(rows, key_column, skip_already_enriched), "keys")
@@ -111,10 +117,23 @@ def resolve(
     # not follow from the size of the stage table; the joins on key reuse the partitioning.
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = look_up(keys.repartition(tasks, "key"), resolver.among(keys), cache, now)
+    if counters is not None:
+        asked = counters.watch("resolve", asked, **lookup_counters())
     answers = stage(asked, f"answers-{resolver.name}")
     fresh = None if cache is None else caching.new_entries(answers.where(~F.col("cached")), resolver.name, now)
     back = join_back(rows, answers, key_column, skip_already_enriched)
-    return Resolution(back, answers.select("key", "key_rows", *ANSWER_FIELDS, "cached"), fresh)
+    return Resolution(back, answers.select("key", "key_rows", *ANSWER_FIELDS, "cached", ERROR), fresh)
+
+
+def lookup_counters() -> dict[str, Column]:
+    """What :func:`look_up` found, as aggregates over its rows with ``key_rows``."""
+    return {
+        "keys": F.count(F.lit(1)),
+        "key_rows": F.coalesce(F.sum("key_rows"), F.lit(0)),
+        "hits": F.count_if("cached"),
+        "misses": F.count_if(~F.col("cached")),
+        "failed": F.count(ERROR),
+    }
 
 
 def resolve_counters(

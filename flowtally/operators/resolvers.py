@@ -31,6 +31,8 @@ from flowtally.schema import ANSWER_FIELDS, RESOLVE_COLUMNS
 from flowtally.session import stage
 
 Step = Callable[[DataFrame], DataFrame]
+# Column in which a step that can fail for a key leaves the reason; kept by all steps.
+ERROR = "error"
 Tables = Mapping[str, DataFrame]
 
 
@@ -122,7 +124,7 @@ def chain(frame: DataFrame, steps: Sequence[Step]) -> DataFrame:
 
 def from_results(function: Callable[[DataFrame], DataFrame]) -> Step:
     """Step of a function that maps a DataFrame of keys to at most one row per key with
-    any of the answer fields. Row-wise Python belongs into a ``mapInPandas`` there. The
+    any of the answer fields. For a plain Python function see ``rowfunction``. The
     keys so far are staged, because they are read twice: to ask and to join back."""
 
     def step(frame: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Declared pipelines: a list of steps becomes one lazy DataFrame and one sink.
+"""Declared pipelines: a list of steps becomes one DataFrame and one sink.
 
 Each kind of step is described once: its options, the columns it gives and what it does.
 Everything that can be refused is refused from these descriptions, before a row is read.
@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from flowtally.functions.clock import UNIT_SECONDS, check_range
 from flowtally.functions.networks import parse_networks
-from flowtally.operators.aggregate import aggregate, group_columns, ordered
+from flowtally.operators.aggregate import aggregate, at_least, group_columns, ordered
 from flowtally.operators.collect import CollectRules
+from flowtally.operators.counters import RunCounters, threshold_counters, window_counters
 from flowtally.operators.merge import MERGE_WAYS
 from flowtally.operators.resolve import resolve
 from flowtally.operators.resolvers import get_resolver
@@ -90,10 +91,12 @@ Columns = list[str] | None  # None where only reading a file would tell
 
 @dataclass(frozen=True)
 class Run:
-    """What steps share; ``fresh`` gathers answers for the cache."""
+    """What steps share; ``fresh`` gathers answers for the cache, ``counters`` what the run
+    counts, if it does."""
 
     spark: SparkSession
     settings: Settings
+    counters: RunCounters | None = None
     fresh: list[DataFrame] = field(default_factory=list)
 
 
@@ -143,7 +146,8 @@ def _aggregate_columns(settings: Settings, before: Columns, options: Options) ->
 
 
 def _resolver(settings: Settings, options: Options):
-    return get_resolver(options["resolver"] or settings.resolver, settings.tables, **settings.resolver_options)
+    workers = {} if options["workers"] is None else {"workers": options["workers"]}
+    return get_resolver(options["resolver"] or settings.resolver, settings.tables, **settings.resolver_options, **workers)
 
 
 def _resolve_columns(settings: Settings, before: Columns, options: Options) -> Columns:
@@ -158,17 +162,33 @@ def _resolve_columns(settings: Settings, before: Columns, options: Options) -> C
 def _resolve(run: Run, frame: DataFrame, options: Options) -> DataFrame:
     store = run.settings.cache if options["cache"] else None
     known = None if store is None else store.read()
-    found = resolve(frame, _resolver(run.settings, options), options["key_column"], known, run.settings.now)
+    resolver = _resolver(run.settings, options)
+    found = resolve(frame, resolver, options["key_column"], known, run.settings.now, counters=run.counters)
     if store is not None:
         run.fresh.append(found.fresh)
     return found.rows
 
 
+def _collect(run: Run, frame: Any, options: Options) -> DataFrame:
+    rules = _rules(run.settings, options)
+    rows = _source(run.settings, options)(run.spark, rules)
+    if run.counters is None:
+        return rows
+    return run.counters.watch("collect", rows, **window_counters(rules.now, rules.start, rules.end, rules.unit))
+
+
+def _aggregate(run: Run, frame: DataFrame, options: Options) -> DataFrame:
+    least = run.settings.min_count if options["min_count"] is None else options["min_count"]
+    if run.counters is None:
+        return aggregate(frame, least)
+    return at_least(run.counters.watch("aggregate", aggregate(frame), **threshold_counters(least)), least)
+
+
 KINDS = {
     "collect": Kind(
         {"source": (optional_text, None), **RANGE},
         _collect_columns,
-        lambda run, frame, options: _source(run.settings, options)(run.spark, _rules(run.settings, options)),
+        _collect,
         starts=True,
     ),
     "trim": Kind(
@@ -190,13 +210,13 @@ KINDS = {
     "aggregate": Kind(
         {"min_count": (whole, None), "out_dir": (optional_text, None), **RANGE},
         _aggregate_columns,
-        lambda run, frame, o: aggregate(frame, run.settings.min_count if o["min_count"] is None else o["min_count"]),
+        _aggregate,
     ),
     "resolve": Kind(
         {
             "resolver": (optional_text, None),
             "key_column": (text, DEFAULT_KEY_COLUMN),
-            "workers": (whole, None),  # accepted; Spark decides how many tasks look up
+            "workers": (whole, None),  # threads a task of a row function uses; others ignore it
             "cache": (switch, True),
         },
         _resolve_columns,
@@ -261,7 +281,7 @@ def load_steps(path: str) -> Any:
 
 @dataclass(frozen=True)
 class Plan:
-    """The final rows, lazily; the options of the split an aggregate step asked for, if any;
+    """The final rows: lazy, but for resolve steps, which have looked their keys up; the options of the split an aggregate step asked for, if any;
     whether ``count`` is a count of this run; and answers the cache does not have yet."""
 
     frame: DataFrame
@@ -294,20 +314,28 @@ def plan(
     frame: DataFrame | None = None,
     overrides: Mapping[str, Any] | None = None,
     settings: Settings | None = None,
+    counters: RunCounters | None = None,
+    staged: bool = False,
 ) -> Plan:
     """Fold the steps over ``frame``. A frame that a resolve step follows is staged when
     an aggregate made it, because resolve reads its rows twice; a resolve step looks its
-    keys up right away, into stage tables. The cache is not touched."""
+    keys up right away, into stage tables. The cache is not touched.
+
+    ``counters`` are complete once the frame has been read. ``staged`` stages every
+    aggregate, which a sort of its rows would otherwise work out twice; counters need it."""
     settings = settings or Settings()
     steps = parse_steps(declared, overrides)
     check(steps, settings, None if frame is None else frame.columns, frame is not None)
-    run = Run(spark, settings)
+    run = Run(spark, settings, counters)
+    staged = staged or counters is not None
     counted = shuffled = False
     for step in steps:
         if step.name == "resolve" and shuffled:
             frame = stage(frame, "counted")
         frame = step.kind.apply(run, frame, step.options)
-        shuffled = step.name == "aggregate" or (shuffled and step.name == "trim")
+        if step.name == "aggregate" and staged:
+            frame = stage(frame, "counted")
+        shuffled = not staged and (step.name == "aggregate" or (shuffled and step.name == "trim"))
         counted = step.name == "aggregate" or (counted and step.name in ("trim", "resolve"))
     return Plan(frame, _asked_split(steps), counted, run.fresh)
 
@@ -320,8 +348,10 @@ def run_pipeline(
     overrides: Mapping[str, Any] | None = None,
     settings: Settings | None = None,
     multiline: bool = True,
+    counters: RunCounters | None = None,
 ) -> int:
     """Run a pipeline from CSV files to CSV files and return the number of rows written.
+    ``counters``, if given, then holds what each step counted on the way.
 
     A requested split is applied to the final rows, so it holds what later steps add;
     ``output`` is then not used. New answers reach the cache once the rows are written.
@@ -334,7 +364,7 @@ def run_pipeline(
     check(steps, settings, None, reads)
     with stage_scope(spark):
         frame = read_csv(spark, inputs, multiline=multiline) if reads else None
-        planned = plan(spark, declared, frame, overrides, settings)
+        planned = plan(spark, declared, frame, overrides, settings, counters, staged=True)
         written = _write(planned, output, settings)
         for fresh in planned.fresh:
             settings.cache.append(fresh)

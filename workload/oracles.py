@@ -541,3 +541,38 @@ ORACLES["diag_fields"] = logs(
     + " UNION ALL SELECT 'dst_ip', false, 0"
 )
 ORACLES["diag_newest"] = "SELECT max(ts) AS newest FROM events"
+
+# -- row functions and counters of a run --------------------------------------------------
+
+ORACLES["resolve_function"] = over(
+    ["hosts"],
+    f"""SELECT key, country, asn, asn_descr, '' AS contacts, error,
+      CASE WHEN country <> '' THEN CASE WHEN third % 2 = 1 THEN {NOW} + INTERVAL 16 DAY ELSE TIMESTAMP '2024-02-01' END END AS expires_at
+    FROM (SELECT key, third,
+        CASE WHEN silent THEN '' ELSE 'C' || second END AS country,
+        CASE WHEN silent THEN '' ELSE CAST(second * 256 + third AS VARCHAR) END AS asn,
+        CASE WHEN silent OR last % 32 <> 0 THEN '' ELSE 'net ' || first || '.' || second END AS asn_descr,
+        CASE WHEN last % 48 = 0 THEN 'ConnectionError: no route to ' || key END AS error FROM parts)""",
+    """parts AS (SELECT key, o[1] AS first, o[2] AS second, o[3] AS third, o[4] AS last, o[4] % 48 = 0 OR o[4] % 80 = 16 AS silent
+      FROM (SELECT key, list_transform(string_split(key, '.'), lambda x: CAST(x AS INT)) AS o FROM hosts))""",
+)
+SEEN_ROWS = f"""(SELECT * FROM connections WHERE timestamp >= {NOW} - INTERVAL 20 DAY AND timestamp < {NOW} - INTERVAL 2 DAY
+  AND SrcIP <> '' AND DstIP <> '' AND {PUBLIC})"""
+ORACLES["pipeline_counters"] = over(
+    ["connections", "resolve_cache"],
+    """SELECT 'collect' AS step, 'rows' AS counter, count(*) AS value FROM seen
+    UNION ALL SELECT 'collect', 'window' || k, (SELECT count(*) FROM seen WHERE number = k) FROM range(2, 20) AS r(k)
+    UNION ALL SELECT 'aggregate', 'groups_kept', count(*) FROM groups WHERE n >= 2
+    UNION ALL SELECT 'aggregate', 'groups_dropped', count(*) FROM groups WHERE n < 2
+    UNION ALL SELECT 'aggregate', 'rows_kept', CAST(coalesce(sum(n), 0) AS BIGINT) FROM groups WHERE n >= 2
+    UNION ALL SELECT 'aggregate', 'rows_dropped', CAST(coalesce(sum(n), 0) AS BIGINT) FROM groups WHERE n < 2
+    UNION ALL SELECT 'resolve', 'keys', count(*) FROM asked
+    UNION ALL SELECT 'resolve', 'key_rows', CAST(coalesce(sum(rows), 0) AS BIGINT) FROM asked
+    UNION ALL SELECT 'resolve', 'hits', count(live.key) FROM asked LEFT JOIN live USING (key)
+    UNION ALL SELECT 'resolve', 'misses', count(*) - count(live.key) FROM asked LEFT JOIN live USING (key)
+    UNION ALL SELECT 'resolve', 'failed', 0""",
+    LIVE,
+    f"""seen AS (SELECT *, (date_diff('microsecond', timestamp, {NOW}) - 1) // 86400000000 AS number FROM {SEEN_ROWS})""",
+    f"groups AS (SELECT {', '.join(GROUP)}, count(*) AS n FROM seen GROUP BY ALL)",
+    "asked AS (SELECT DstIP AS key, count(*) AS rows FROM groups WHERE n >= 2 GROUP BY 1)",
+)

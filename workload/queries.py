@@ -25,6 +25,7 @@ from flowtally.functions.text import clean
 from flowtally.operators import answers, cache, diagnose, filters, merge
 from flowtally.operators.aggregate import aggregate, merge_counts, ordered, threshold_report
 from flowtally.operators.collect import CollectRules, collect, collect_sorted
+from flowtally.operators.counters import RunCounters
 from flowtally.operators.resolve import (
     is_pending,
     join_back,
@@ -33,12 +34,14 @@ from flowtally.operators.resolve import (
     resolve_counters,
     resolve_keys,
 )
-from flowtally.operators.resolvers import get_resolver
+from flowtally.operators.resolvers import Resolver, get_resolver
+from flowtally.operators.rowfunction import from_function
 from flowtally.operators.split import split_counts, with_label, with_label_from, with_slice
 from flowtally.operators.trim import trim
 from flowtally.plans.pipeline import plan
 from flowtally.plans.settings import Settings
 from flowtally.session import configure, shared_folder, stage
+from flowtally.sources.cachestore import CacheStore
 from flowtally.sources.logstore import LogStore
 from flowtally.sources.registry import register_source
 from flowtally.sources.tables import write_csv
@@ -424,6 +427,28 @@ def resolve_twice(spark, sf_dir):
     return resolve(stage(once, "once"), resolver).rows
 
 
+@query
+def resolve_function(spark, sf_dir):
+    """All hosts through a row function, and until when each answer is to be cached."""
+
+    def owner_of(key: str) -> dict | None:
+        """A lookup that fails for some addresses, knows nothing of others and little of the rest."""
+        first, second, third, last = map(int, key.split("."))
+        if last % 48 == 0:
+            raise ConnectionError(f"no route to {key}")
+        if last % 80 == 16:
+            return None
+        found = {"country": f"C{second}", "asn": second * 256 + third, "contacts": None, "expires": "2024-02-15" if third % 2 else None}
+        return found if last % 32 else {**found, "asn_descr": f"net {first}.{second}"}
+
+    hosts = view(spark, sf_dir, "hosts").select("key").withColumn("key_rows", F.lit(1))
+    asked = stage(look_up(hosts, Resolver("owner", from_function(owner_of)), None, NOW), "function-answers")
+    fresh = cache.new_entries(asked, "owner", NOW).select(
+        F.expr("substring(key, 10)").alias("key"), F.col("expires_at").cast("timestamp_ntz").alias("expires_at")
+    )
+    return asked.join(fresh, "key", "left").select("key", *ANSWER, "error", "expires_at")
+
+
 # -- providers ---------------------------------------------------------------------
 
 
@@ -510,7 +535,7 @@ def service_extract(spark, sf_dir):
 @query
 def resolve_default(spark, sf_dir):
     resolver = get_resolver("default", tables(spark, sf_dir), UNIQUE)
-    return look_up(view(spark, sf_dir, "hosts").select("key"), resolver, None, NOW).drop("cached")
+    return look_up(view(spark, sf_dir, "hosts").select("key"), resolver, None, NOW).drop("cached", "error")
 
 
 # -- streaming ---------------------------------------------------------------------
@@ -569,6 +594,19 @@ def pipeline_resolved(spark, sf_dir):
     return ordered(plan(spark, steps, settings=settings).frame)
 
 
+@query
+def pipeline_counters(spark, sf_dir):
+    """What the steps of a run counted on the way: one row for each counter."""
+    store = CacheStore(spark, f"{shared_folder(spark)}/flowtally-cache-{uuid4().hex}")
+    store.append(view(spark, sf_dir, "resolve_cache"))
+    settings = pipeline_settings(spark, sf_dir, cache=store, tables=tables(spark, sf_dir), resolver_options={"unique": UNIQUE})
+    steps = [{"collect": {"start": 20, "end": 2, "time_unit": "d"}}, "trim", {"aggregate": {"min_count": 2}}, "resolve"]
+    counters = RunCounters()
+    plan(spark, steps, settings=settings, counters=counters)
+    rows = [(step, name, value) for step, found in counters.get().items() for name, value in found.items()]
+    return spark.createDataFrame(rows, "step string, counter string, value bigint")
+
+
 @query
 def pipeline_merged(spark, sf_dir):
     """Three CSV inputs with different columns, aligned by name and taken by position."""
