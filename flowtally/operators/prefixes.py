@@ -39,11 +39,14 @@ def prefix_size(length: Column) -> Column:
 
 
 def with_best_prefix(
-    keys: DataFrame, prefixes: DataFrame, rank: Column, value: Column, output: str = "value"
+    keys: DataFrame, prefixes: DataFrame, rank: Column, value: Column, output: str = "value", spread: int = 1
 ) -> DataFrame:
     """Add the value of the lowest-ranked prefix holding each ``key``, NULL where there
     is none. All rows and columns are kept; the work is bounded as described above when
-    the keys are distinct. ``prefixes`` comes from ``parse_prefixes``."""
+    the keys are distinct. ``prefixes`` comes from ``parse_prefixes``.
+
+    Where keys repeat, ``spread`` deals the rows of a block to so many tasks, and each of
+    them gets the gathering of the block."""
     part = 1 << (32 - WIDE)
     parts = F.sequence(F.col("low"), F.col("low") + F.col("size") - part, F.lit(part).cast("bigint"))
     table = (
@@ -65,10 +68,16 @@ def with_best_prefix(
     )
     # The /16 leads both joins, so that one shuffle of the keys serves both.
     wide = _gather(table.where(F.col("length") < NARROW), {"_wide": WIDE}).withColumnRenamed("held", "_held_wide")
-    narrow = _gather(table.where(F.col("length") >= NARROW), {"_wide": WIDE, "_narrow": NARROW})
-    found = found.join(wide, "_wide", "left").join(narrow.withColumnRenamed("held", "_held_narrow"), ["_wide", "_narrow"], "left")
+    narrow = _gather(table.where(F.col("length") >= NARROW), {"_wide": WIDE, "_narrow": NARROW}).withColumnRenamed("held", "_held_narrow")
+    block = ["_wide"]
+    if spread > 1:
+        block = ["_wide", "_spread"]
+        found = found.withColumn("_spread", F.pmod(F.xxhash64(*keys.columns), F.lit(spread)).cast("int"))
+        copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_spread")
+        wide, narrow = wide.select("*", copies), narrow.select("*", copies)
+    found = found.join(wide, block, "left").join(narrow, [*block, "_narrow"], "left")
     best = F.least(_first_holding("_held_wide"), _first_holding("_held_narrow"))
-    return found.withColumn(output, best["value"]).drop("_ip", "_wide", "_narrow", "_held_wide", "_held_narrow")
+    return found.withColumn(output, best["value"]).drop("_ip", *block, "_narrow", "_held_wide", "_held_narrow")
 
 
 def _gather(table: DataFrame, blocks: dict[str, int]) -> DataFrame:

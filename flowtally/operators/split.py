@@ -29,7 +29,7 @@ def with_label(frame: DataFrame, networks: Sequence[Network], source: str = "Src
 def with_label_from(frame: DataFrame, networks: DataFrame, source: str = "SrcIP") -> DataFrame:
     """The same for a table ``(position, network, label)`` of any size: each distinct
     source is matched once, then joined back. ``frame`` is read twice, so stage it first
-    when it is expensive; it cannot be a stream."""
+    when it is expensive; for a stream there is :func:`with_label_on_stream`."""
     key = clean(F.col(source))
     counts = key_counts(frame, key)
     labels = with_best_prefix(counts, parse_prefixes(networks), F.col("position"), F.col("label"), "subnet")
@@ -37,6 +37,26 @@ def with_label_from(frame: DataFrame, networks: DataFrame, source: str = "SrcIP"
     return labelled.fillna(OTHER_LABEL, ["subnet"])
 
 
+#: Tasks that share the rows of one block of addresses in a micro-batch.
+STREAM_SPREAD = 16
+
+
+def with_label_on_stream(stream: DataFrame, networks: DataFrame, source: str = "SrcIP", spread: int = STREAM_SPREAD) -> DataFrame:
+    """The same for a stream: each row is joined to the gathered networks of its block.
+
+    The networks are a table of their own, read anew in every micro-batch, so a list that is
+    written again holds from the next one on. No state is kept; rows come out in the
+    micro-batch they came in with, so every output mode and sink that takes rows will do. A
+    frequent source is dealt to ``spread`` tasks; the networks are copied that often."""
+    if source not in stream.columns:
+        raise ValueError(f"Splitting by subnet needs a '{source}' column")
+    if "key" in stream.columns:
+        raise ValueError("A stream to be labelled cannot have a column 'key'")
+    keyed = stream.withColumn("key", clean(F.col(source)))
+    labelled = with_best_prefix(keyed, parse_prefixes(networks), F.col("position"), F.col("label"), "subnet", spread)
+    return labelled.drop("key").fillna(OTHER_LABEL, ["subnet"])
+
+
 def split_counts(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("subnet").agg(F.count(F.lit(1)).alias("rows"))
 

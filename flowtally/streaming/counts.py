@@ -40,12 +40,16 @@ def read_counts(spark: SparkSession, path: str, min_count: int = 1) -> DataFrame
     return merge_counts(spark.read.parquet(path).drop("batch"), min_count)
 
 
-def trimmed(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Drop the service columns of all available input into Parquet files."""
+def landed(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """All available rows of a stream into Parquet files, each exactly once."""
     return (
-        trim(stream)
-        .writeStream.format("parquet")
+        stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
     )
+
+
+def trimmed(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Drop the service columns of all available input into Parquet files."""
+    return landed(trim(stream), path, checkpoint)

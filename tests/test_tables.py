@@ -9,7 +9,7 @@ from flowtally.functions.networks import parse_networks
 from flowtally.operators.merge import merge_frames
 from flowtally.operators.split import with_label, with_slice
 from flowtally.operators.trim import trim
-from flowtally.sources.tables import merge_files, read_csv, write_csv, write_split
+from flowtally.sources.tables import Head, heads, merge_files, read_csv, write_csv, write_split
 from datetime import datetime
 
 COLLECTED = "timestamp,SrcIP,DstIP,DstPort,ac_action,ac_rule_name,url_domain,url_path\n"
@@ -131,3 +131,55 @@ def test_a_large_subnet_is_written_by_several_tasks(spark, tmp_path):
 def test_split_needs_the_source_column(frame):
     with pytest.raises(ValueError, match="SrcIP"):
         with_label(frame("a", []), [])
+
+
+# -- looking at many inputs --------------------------------------------------------
+
+
+def test_heads_of_inputs(spark, tmp_path):
+    import gzip
+
+    texts = {
+        "plain": "a,b\n1,2\n", "empty": "", "header": "a,b\n", "blank": "\n\n a,b\r\n\r\n\n", "quoted": '"a\nx","b""c"\n', "unnamed": "a,,a\n1,2,3",
+        "no_end": "a,b", "long": "a," + "b" * 200_000 + "\n" + "\n" * 70_000 + "1,2\n", "open": '"a,b\n1,2\n', "letters": "ä,б\né,中\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    with gzip.open(tmp_path / "packed.gz", "wt") as packed:
+        packed.write("a,b\n1,2\n")
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    for name, text in (("part-0", ""), ("part-1", "x,y\n"), ("part-2", "z\n9\n"), ("_SUCCESS", "q\n"), (".part.crc", "q\n")):
+        (folder / name).write_text(text)
+    names = [*texts, "packed.gz", "folder", "folder/part-[12]"]
+    found = dict(zip(names, heads(spark, [f"{tmp_path}/{name}" for name in names])))
+    assert found["plain"] == Head(("a", "b"), True) == found["packed.gz"]
+    assert found["empty"] == Head((), False)
+    assert found["header"] == Head(("a", "b"), False) == found["no_end"]
+    assert found["blank"].has_rows is False and len(found["blank"].names) == 2
+    assert found["quoted"] == Head(("a\nx", 'b"c'), False)
+    assert found["unnamed"].has_rows and list(found["unnamed"].names) == spark.read.option("header", True).csv(f"{tmp_path}/unnamed").columns
+    assert found["long"].has_rows and len(found["long"].names[1]) == 200_000
+    assert found["letters"] == Head(("ä", "б"), True)
+    assert found["folder"] == Head(("x", "y"), True) == found["folder/part-[12]"]
+    with pytest.raises(FileNotFoundError):
+        heads(spark, [f"{tmp_path}/nowhere"])
+
+
+def test_many_files_take_no_job_to_merge(spark, tmp_path):
+    for i in range(500):
+        columns = ["a", "b"] if i % 2 else ["b", "c"]
+        (tmp_path / f"{i:03d}").write_text(",".join(columns) + "\n" + ("" if i < 3 else f"{i},x\n"))
+    paths = [f"{tmp_path}/{i:03d}" for i in range(500)]
+    group = "merge-many"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        merged = {how: merge_files(spark, paths, how, multiline=False) for how in ("name", "position")}
+        # Spark lists many paths with a job of its own: one for each scan, whatever the number of files.
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 3
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert merged["name"].columns == ["a", "b"] and merged["position"].columns == ["b", "c"]
+    rows = sorted(map(tuple, merged["name"].collect()))
+    assert rows == sorted((str(i), "x") if i % 2 else ("", str(i)) for i in range(3, 500))
+    assert merged["position"].count() == 497

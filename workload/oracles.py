@@ -91,7 +91,7 @@ COLLECT = f"""SELECT coalesce(CAST(timestamp AS VARCHAR), '') AS timestamp, {fil
 
 # -- scans, filters, projections ---------------------------------------------------
 
-ORACLES["collect"] = ORACLES["collect_sorted"] = logs(COLLECT)
+ORACLES["collect"] = ORACLES["collect_sorted"] = ORACLES["window_source"] = logs(COLLECT)
 ORACLES["time_range"] = logs(f"SELECT event_id FROM connections WHERE {IN_RANGE}")
 ORACLES["stream_filter"] = logs(
     """SELECT event_id, 'one' AS field FROM connections WHERE streams = 's1'
@@ -160,7 +160,7 @@ ORACLES["split_counts"] = over(
 # -- aggregation -------------------------------------------------------------------
 
 ORACLES["aggregate"] = logs(counted("connections", GROUP))
-for same in ("aggregate_sorted", "aggregate_merge", "stream_aggregate"):
+for same in ("aggregate_sorted", "aggregate_merge", "aggregate_stored", "stream_aggregate"):
     ORACLES[same] = ORACLES["aggregate"]
 ORACLES["aggregate_partial"] = ORACLES["aggregate_two_phase"] = logs(
     counted("connections", ["SrcIP", "DstIP", "ac_action"])
@@ -576,3 +576,7 @@ ORACLES["pipeline_counters"] = over(
     f"groups AS (SELECT {', '.join(GROUP)}, count(*) AS n FROM seen GROUP BY ALL)",
     "asked AS (SELECT DstIP AS key, count(*) AS rows FROM groups WHERE n >= 2 GROUP BY 1)",
 )
+
+# -- labels on a stream ------------------------------------------------------------------------
+
+ORACLES["stream_label"] = ORACLES["subnet_label_table"]

@@ -36,16 +36,18 @@ from flowtally.operators.resolve import (
 )
 from flowtally.operators.resolvers import Resolver, get_resolver
 from flowtally.operators.rowfunction import from_function
-from flowtally.operators.split import split_counts, with_label, with_label_from, with_slice
+from flowtally.operators.split import split_counts, with_label, with_label_from, with_label_on_stream, with_slice
 from flowtally.operators.trim import trim
 from flowtally.plans.pipeline import plan
 from flowtally.plans.settings import Settings
 from flowtally.session import configure, shared_folder, stage
 from flowtally.sources.cachestore import CacheStore
+from flowtally.sources.countstore import CountStore
 from flowtally.sources.logstore import LogStore
 from flowtally.sources.registry import register_source
 from flowtally.sources.tables import write_csv
-from flowtally.streaming.counts import partial_counts, read_counts, trimmed
+from flowtally.sources.windows import DOCUMENT, data_source, landed_days, read_windows
+from flowtally.streaming.counts import landed, partial_counts, read_counts, trimmed
 from workload.views import NOW, VIEWS, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +173,16 @@ def log_store(spark, sf_dir):
     return LogStore(home, "parquet", date_column="day")(spark, RULES)
 
 
+@query
+def window_source(spark, sf_dir):
+    """Collect through a Python data source that fetches window after window of landed logs."""
+    home = f"{shared_folder(spark)}/flowtally-windows-{uuid4().hex}"
+    columns = [part.split()[0] for part in DOCUMENT.split(", ")]
+    logs = view(spark, sf_dir, "connections").select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), *columns[1:])
+    logs.withColumn("day", F.to_date("timestamp")).repartition("day").write.partitionBy("day").parquet(home)
+    return collect(read_windows(spark, data_source("flowtally_landed", landed_days(home, columns)), RULES), RULES)
+
+
 @query
 def prefix_prefilter(spark, sf_dir):
     coarse = starts_in_networks(F.col("SrcIP"), NETWORKS[:1])
@@ -254,6 +266,19 @@ def aggregate_merge(spark, sf_dir):
     return merge_counts(old.unionByName(new))
 
 
+@query
+def aggregate_stored(spark, sf_dir):
+    """All connections landed by the day, two days of them again in part and then as a whole, added up."""
+    logs = view(spark, sf_dir, "connections")
+    store = CountStore(spark, f"{shared_folder(spark)}/flowtally-counts-{uuid4().hex}", "d")
+    # The events lie in the thirty days before NOW; the second landing lacks rows, the third mends it.
+    first, middle, last = (clock.shift_now(NOW, days, "d") for days in (31, 2, -1))
+    store.land(logs, first, last)
+    store.land(logs.where("event_id % 2 = 0"), middle, last)
+    store.land(logs, middle, last)
+    return store.read()
+
+
 @query
 def aggregate_sorted(spark, sf_dir):
     return ordered(aggregate(view(spark, sf_dir, "connections")))
@@ -567,6 +592,16 @@ def stream_trim(spark, sf_dir):
     return spark.read.parquet(f"{home}/rows")
 
 
+@query
+def stream_label(spark, sf_dir):
+    """Every connection of a stream with the label of its source's network, from a table of networks."""
+    home = stream_home(spark)
+    networks = view(spark, sf_dir, "source_networks")
+    labelled = with_label_on_stream(event_stream(spark, home, sf_dir, "connections").select("event_id", "SrcIP"), networks)
+    landed(labelled, f"{home}/rows", f"{home}/state").awaitTermination()
+    return spark.read.parquet(f"{home}/rows")
+
+
 def stream_home(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/flowtally-stream-{uuid4().hex}"
 
