@@ -9,13 +9,16 @@ Piece probabilities are learned from all training documents: each word's cuts ar
 by a first guess that follows the vocabulary's order, and the expected number of times each
 piece is used is summed per language (one round of expectation and maximisation). A letter
 that no piece covers is the piece ``unknown``.
+
+A word may be as long as a text that is written without blanks; its sums are scaled up
+whenever they become small, and the scale is kept as a logarithm.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,14 +32,16 @@ from flowtally.llm.common import held_out
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Longer runs of letters are read in parts, which also keeps products above zero.
-LONGEST_WORD = 32
 LONGEST_PIECE = 12
-#: Words a task keeps scored, and words handled together.
-CACHE, TOGETHER = 200_000, 20_000
+#: Words and letters of them a task keeps scored, and letters of words handled together. All
+#: are shared among the languages, so that memory does not grow with them.
+CACHE, CACHE_LETTERS, TOGETHER = 800_000, 1 << 25, 200_000
 #: Imagined uses, spread over pieces by the first guess.
 SMOOTHING = 1000.0
+#: What a task holds besides is a probability for each piece and language.
 MAX_LANGUAGES = 500
+#: Sums below this are scaled up by its inverse.
+SMALL = 1e-100
 
 
 def pieces(path: str = VOCABULARY) -> list[str]:
@@ -55,10 +60,7 @@ def first_guess(n: int) -> np.ndarray:
 
 
 def words_of(text: str | None) -> list[str]:
-    found = LETTERS.findall(text.lower()) if text else []
-    if any(len(w) > LONGEST_WORD for w in found):
-        found = [w[i : i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
-    return found
+    return LETTERS.findall(text.lower()) if text else []
 
 
 def _next_hash(h: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -119,75 +121,135 @@ class Vocabulary:
 
 
 class Lattice:
-    """All cuts of many words of one length into pieces."""
+    """All cuts of some words into pieces: an arc for each piece and place where it fits."""
 
     def __init__(self, words: Sequence[str], vocabulary: Vocabulary) -> None:
-        self.n, self.length = len(words), len(words[0]) + 1
-        self.arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        codes = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le"), np.uint32)
-        codes = codes.reshape(self.n, self.length).T.astype(np.uint64)
-        for start in range(self.length):
-            alive, h = np.arange(self.n), np.zeros(self.n, np.uint64)
-            for end in range(start + 1, min(self.length, start + LONGEST_PIECE) + 1):
-                h = _next_hash(h, codes[end - 1][alive])
-                found = vocabulary.find(h)
-                if end == start + 1:
-                    found[found < 0] = vocabulary.size  # unknown
-                held = found >= 0
-                if held.any():
-                    self.arcs.append((start, end, alive[held], found[held]))
-                more = vocabulary.begins(h)
-                alive, h = alive[more], h[more]
-                if not len(alive):
-                    break
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        #: Rows are the words, the longest first.
+        self.order = np.argsort(-lengths, kind="stable")
+        self.lengths = lengths[self.order]
+        self.n, self.length = len(words), int(self.lengths[0])
+        codes = np.frombuffer("".join(MARK + words[i] for i in self.order).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        rows = np.repeat(np.arange(self.n, dtype=np.int32), self.lengths)
+        places = np.arange(len(codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        left = self.lengths[rows] - places
+        alive, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+        arcs = []
+        for size in range(1, LONGEST_PIECE + 1):
+            inside = left[alive] >= size
+            alive, h = alive[inside], h[inside]
+            h = _next_hash(h, codes[alive + size - 1])
+            found = vocabulary.find(h)
+            if size == 1:
+                found[found < 0] = vocabulary.size  # unknown
+            held = found >= 0
+            arcs.append((alive[held], np.full(held.sum(), size), found[held]))
+            more = vocabulary.begins(h)
+            alive, h = alive[more], h[more]
+            if not len(alive):
+                break
+        start, size, piece = (np.concatenate(x) for x in zip(*arcs))
+        self.row, self.start, self.end, self.piece = rows[start], places[start], places[start] + size, piece
+        # By end, then by row: what comes in at a place lies together, and each row has some.
+        self._sort(self.end)
+        #: How many words are at least so long.
+        self.live = np.searchsorted(-self.lengths, -np.arange(self.length + 2), "right")
+
+    def _sort(self, place: np.ndarray) -> None:
+        order = np.argsort(place * self.n + self.row, kind="stable")
+        self.row, self.start, self.end, self.piece = (x[order] for x in (self.row, self.start, self.end, self.piece))
+
+    def _in(self) -> Iterator[tuple[int, slice, np.ndarray]]:
+        """Each place with the arcs that end there and where those of each row begin."""
+        bounds = np.searchsorted(self.end, np.arange(self.length + 2))
+        new = np.append(True, (self.row[1:] != self.row[:-1]) | (self.end[1:] != self.end[:-1]))
+        for place in range(1, self.length + 1):
+            arcs = slice(bounds[place], bounds[place + 1])
+            yield place, arcs, np.flatnonzero(new[arcs])
+
+    def log_total(self, p: np.ndarray) -> np.ndarray:
+        """``[word, language]``: the logarithm of the sum over all cuts. Only the places that a
+        piece can reach back to are held."""
+        ring = LONGEST_PIECE + 1
+        alpha = np.zeros((ring, self.n, p.shape[1]))
+        alpha[0] = 1
+        logs = np.zeros((self.n, p.shape[1]))
+        totals = np.empty_like(logs)
+        for place, arcs, first in self._in():
+            came = alpha[self.start[arcs] % ring, self.row[arcs]]
+            came *= p[self.piece[arcs]]
+            now = np.add.reduceat(came, first)
+            live, here = len(now), place % ring
+            alpha[here, :live] = now
+            if now.min() < SMALL:
+                low = np.zeros(logs.shape, bool)
+                low[:live] = now < SMALL
+                alpha[:, low] /= SMALL
+                logs[low] += np.log(SMALL)
+            done = slice(self.live[place + 1], live)
+            totals[self.order[done]] = np.log(alpha[here, done]) + logs[done]
+        return totals
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """``[place, word, language]``: the sum over cuts up to each place."""
-        alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
-        alpha[0] = 1
-        for start, end, rows, found in self.arcs:  # by start, so what they add to is complete
-            alpha[end, rows] += alpha[start, rows] * p[found]
-        return alpha
+        alpha, logs = self._forward(p)
+        back = np.argsort(self.order)
+        return (alpha * np.exp(logs))[:, back]
 
-    def log_total(self, p: np.ndarray) -> np.ndarray:
-        """``[word, language]``: the logarithm of the sum over all cuts. Each place is scaled by
-        its greatest sum so far, so that long runs of rare pieces stay above zero."""
+    def _forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums up to each place and the logarithms of their scales."""
         alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
         alpha[0] = 1
-        logs = np.zeros_like(alpha)  # a place holds alpha * exp(logs)
-        arcs: dict[int, list] = defaultdict(list)
-        for start, end, rows, found in self.arcs:
-            arcs[end].append((start, rows, found))
-        for end in range(1, self.length + 1):
-            logs[end] = logs[end - 1]  # the arc of one letter is always there
-            for start, rows, found in arcs[end]:
-                alpha[end, rows] += alpha[start, rows] * p[found] * np.exp(logs[start, rows] - logs[end, rows])
-            logs[end] += np.log(alpha[end])
-            alpha[end] = 1
-        return logs[self.length]
+        logs = np.zeros_like(alpha)
+        for place, arcs, first in self._in():
+            before = self.start[arcs], self.row[arcs]
+            live = len(first)
+            scale = logs[place - 1, :live]
+            now = np.add.reduceat(alpha[before] * p[self.piece[arcs]] * np.exp(logs[before] - scale[self.row[arcs]]), first)
+            low = now < SMALL
+            alpha[place, :live], logs[place, :live] = np.where(low, now / SMALL, now), scale + np.where(low, np.log(SMALL), 0)
+        return alpha, logs
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """``[piece, language]``: expected uses in words seen ``counts[word, language]`` times."""
-        alpha = self.forward(p)
-        beta = np.zeros((self.length + 1, *counts.shape))
-        beta[self.length] = counts / alpha[self.length]
+        """``[piece, language]``: expected uses in words seen ``counts[word, language]`` times.
+
+        With one column in ``p`` it holds for all languages, and the cuts are gone through once."""
+        alpha, logs = self._forward(p)
+        counts = counts[self.order]
+        rows = np.arange(self.n)
+        beta, beta_logs = np.zeros_like(alpha), np.zeros_like(alpha)
+        beta[self.lengths, rows] = 1 / alpha[self.lengths, rows]
+        beta_logs[self.lengths, rows] = -logs[self.lengths, rows]
         uses = np.zeros((len(p), counts.shape[1]))
-        for start, end, rows, found in reversed(self.arcs):
-            flow = p[found] * beta[end, rows]
-            beta[start, rows] += flow
-            flow = flow * alpha[start, rows]
-            for k in range(flow.shape[1]):
-                uses[:, k] += np.bincount(found, flow[:, k], len(p))
+        self._sort(self.start)
+        bounds = np.searchsorted(self.start, np.arange(self.length + 1))
+        new = np.append(True, (self.row[1:] != self.row[:-1]) | (self.start[1:] != self.start[:-1]))
+        for place in range(self.length - 1, -1, -1):
+            arcs = slice(bounds[place], bounds[place + 1])
+            first, row, piece = np.flatnonzero(new[arcs]), self.row[arcs], self.piece[arcs]
+            after = self.end[arcs], row
+            live = len(first)
+            scale = beta_logs[place + 1, :live]
+            flow = p[piece] * beta[after] * np.exp(beta_logs[after] - scale[row])
+            now = np.add.reduceat(flow, first)
+            flow = flow * alpha[place, row] * np.exp(scale[row] + logs[place, row])
+            low = now < SMALL
+            beta[place, :live], beta_logs[place, :live] = np.where(low, now / SMALL, now), scale + np.where(low, np.log(SMALL), 0)
+            for k in range(counts.shape[1]):
+                uses[:, k] += np.bincount(piece, flow[:, min(k, flow.shape[1] - 1)] * counts[row, k], len(p))
+        self._sort(self.end)
         return uses
 
 
-def by_length(words: Sequence[str]) -> Iterator[list[str]]:
-    groups: dict[int, list[str]] = defaultdict(list)
-    for w in words:
-        groups[len(w)].append(w)
-    for group in groups.values():
-        for low in range(0, len(group), TOGETHER):
-            yield group[low : low + TOGETHER]
+def in_groups(words: Iterable[str], languages: int = 1) -> Iterator[list[str]]:
+    """Words of like length, so many that their letters, filled up to the longest, times the
+    languages stay bounded; one word may be longer."""
+    ordered = sorted(words, key=len, reverse=True)
+    low = 0
+    while low < len(ordered):
+        high = low + max(1, TOGETHER // ((len(ordered[low]) + 2) * max(1, languages)))
+        yield ordered[low:high]
+        low = high
 
 
 def _use_batches(ids: Vocabulary, languages: list[str]):
@@ -196,10 +258,10 @@ def _use_batches(ids: Vocabulary, languages: list[str]):
         guess = first_guess(ids.size)[:, None]
         uses = np.zeros((ids.size + 1, len(languages)))
         seen: list[Counter] = [Counter() for _ in languages]
+        letters = 0
 
         def add() -> None:
-            every = set().union(*seen)
-            for group in by_length(list(every)):
+            for group in in_groups(set().union(*seen)):
                 counts = np.array([[c[w] for c in seen] for w in group], float)
                 uses.__iadd__(Lattice(group, ids).expected(guess, counts))
             for c in seen:
@@ -207,9 +269,12 @@ def _use_batches(ids: Vocabulary, languages: list[str]):
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                seen[place[lang]].update(words_of(text.as_py()))
-                if sum(map(len, seen)) > CACHE:
+                words = words_of(text.as_py())
+                seen[place[lang]].update(words)
+                letters += sum(map(len, words))
+                if sum(map(len, seen)) > CACHE // 4 or letters > CACHE_LETTERS:
                     add()
+                    letters = 0
         add()
         piece, language = np.nonzero(uses)
         for low in range(0, len(piece), 1 << 16):
@@ -256,25 +321,31 @@ def _predict_batches(model: Model):
         ids = model.vocabulary
         prior = np.log(model.prior)
         known: dict[str, int] = {}
-        table = np.zeros((CACHE * 2, len(prior)))
-
-        def learn(fresh: list[str]) -> None:
-            nonlocal table
-            for group in by_length(fresh):
-                lattice = Lattice(group, ids)
+        most = max(1000, CACHE // max(1, len(prior)))
+        table = np.zeros((most, len(prior)))
+        letters = 0
+
+        def learn(fresh: set[str]) -> None:
+            nonlocal table, letters
+            if len(known) + len(fresh) > len(table):
+                table = np.concatenate([table, np.zeros((len(known) + len(fresh) - len(table), len(prior)))])
+            for group in in_groups(fresh, len(prior)):
                 first = len(known)
-                if first + len(group) > len(table):
-                    table = np.concatenate([table, np.zeros_like(table)])
-                table[first : first + len(group)] = lattice.log_total(model.p)
+                table[first : first + len(group)] = Lattice(group, ids).log_total(model.p)
                 known.update(zip(group, range(first, first + len(group))))
+                letters += sum(map(len, group))
 
         for batch in batches:
             best, score = [], []
             for low in range(0, batch.num_rows, 200):
                 texts = [words_of(t) for t in batch.column("text").slice(low, 200).to_pylist()]
-                if len(known) > CACHE:
+                fresh = {w for words in texts for w in words if w not in known}
+                if len(known) + len(fresh) > most or letters > CACHE_LETTERS:
                     known.clear()
-                learn(list({w for words in texts for w in words if w not in known}))
+                    table, letters = table[:most], 0
+                    fresh = {w for words in texts for w in words}
+                if fresh and model.languages:
+                    learn(fresh)
                 for words in texts:
                     if not words or not model.languages:
                         best.append("und")

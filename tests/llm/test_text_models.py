@@ -261,3 +261,77 @@ def test_toxicity_query(spark):
     assert all(r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
     # Some forty toxic examples to learn from at this size.
     assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.88
+
+
+# -- language: long runs and many languages -----------------------------------------------
+
+
+def test_sums_do_not_depend_on_what_words_stand_together():
+    vocabulary = language.Vocabulary(language.pieces()[:4000] + ["▁"] * (language.MARK not in language.pieces()[:4000]))
+    rng = np.random.default_rng(3)
+    p = rng.random((vocabulary.size + 1, 3)) ** 8
+    p /= p.sum(0)
+    words = ["a", "the", "sea", "understanding", "q" * 400, "漢字" * 30, "é", "thethethe"]
+    together = language.Lattice(words, vocabulary).log_total(p)
+    for word, row in zip(words, together):
+        assert np.allclose(language.Lattice([word], vocabulary).log_total(p)[0], row, rtol=1e-12)
+    # The scaled sums equal the plain ones wherever those are numbers at all, and logarithms where not.
+    lattice = language.Lattice(words, vocabulary)
+    plain = lattice.forward(p)
+    for i, word in enumerate(words):
+        if plain[len(word) + 1, i].min() > 1e-290:
+            assert np.allclose(np.log(plain[len(word) + 1, i]), together[i], rtol=1e-12)
+
+    def total(text):
+        sums = [np.zeros(3)]
+        known = {piece: n for n, piece in enumerate((language.pieces()[:4000] + ["▁"] * (language.MARK not in language.pieces()[:4000])))}
+        for end in range(1, len(text) + 1):
+            ways = [sums[a] + np.log(p[known[text[a:end]]]) for a in range(max(0, end - language.LONGEST_PIECE), end) if text[a:end] in known]
+            if text[end - 1] not in known:
+                ways.append(sums[end - 1] + np.log(p[vocabulary.size]))
+            sums.append(np.logaddexp.reduce(ways, axis=0))
+        return sums[-1]
+
+    for word, row in zip(words, together):
+        assert np.allclose(total("▁" + word), row, rtol=1e-9)
+
+
+def test_expected_uses_of_very_long_words():
+    vocabulary = language.Vocabulary(["▁", "a", "b", "ab", "▁a"])
+    guess = language.first_guess(vocabulary.size)[:, None]
+    counts = np.array([[2.0, 0.0], [1.0, 3.0]])
+    uses = language.Lattice(["ab" * 500, "x" * 1000], vocabulary).expected(guess, counts)
+    assert np.isfinite(uses).all()
+    # Letters covered: every use of a piece covers its letters, and all letters are covered.
+    covered = (np.array([1, 1, 1, 2, 2, 1])[:, None] * uses).sum(0)
+    assert np.allclose(covered, [3 * 1001, 3 * 1001])
+    assert np.allclose(uses[5], [1000, 3000])
+
+
+def test_many_languages_in_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    vocabulary = language.Vocabulary(language.pieces())
+    rng = np.random.default_rng(5)
+    p = rng.random((vocabulary.size + 1, 100))
+    model = language.Model(vocabulary, [f"l{i}" for i in range(100)], p / p.sum(0), np.full(100, 0.01))
+    letters = list("abcdefghijklmnopqrstuvwxyzäöüß")
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(3, 9))) for _ in range(120)) for _ in range(200)] + ["漢字" * 2000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(201)), pa.array([False] * 201), pa.array(texts)], ["doc_id", "held_out", "text"])
+    tracemalloc.start()
+    (out,) = language._predict_batches(model)(iter([batch]))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert out.num_rows == 201 and peak < 250e6
+
+
+def test_unspaced_text_is_told_apart(spark):
+    """Runs of letters far longer than 32 are words of their own, not parts of words."""
+    rows = [(i, "これは日本語の文章ですそしてとても長い文です" * 3, "ja", None) for i in range(0, 40)]
+    rows += [(i, "这是一个很长的中文句子没有空格的文字内容" * 3, "zh", None) for i in range(40, 80)]
+    model = language.fit(documents(spark, rows))
+    asked = [(1, "とても長い日本語の文章です" * 50, None, None), (2, "很长的中文文字内容没有空格" * 50, None, None)]
+    got = {r.doc_id: r.lang_pred for r in language.predict(documents(spark, asked), model).collect()}
+    assert got == {1: "ja", 2: "zh"}
