@@ -6,8 +6,9 @@ of the benchmark backwards at once, locates the hits and merges them into spans
 A document longer than a shard is indexed in parts that overlap by a window less a word.
 
 The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters of items (one item
-may be longer), each searched in all documents, so that what a task holds stays bounded
-however long the benchmark is.
+may be longer), each searched in all documents, so that what a task and the driver hold
+stays bounded however long the benchmark is. All blocks are searched in the texts as they
+came; what they find is put together by row before anything is counted or cut.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtally.llm.fmindex import FMIndex
+from flowtally.session import stage
 
 WINDOW = 10
 SHARD = 1 << 19
@@ -159,34 +162,51 @@ def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> It
     size = F.length("text").cast("bigint")
     total = items.agg(F.sum(size)).first()[0] or 0
     blocks = -(-total // (block_chars // 2)) or 1
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
+    if blocks == 1:
+        yield [(row.item, row.text) for row in items.collect()]
+        return
+    # Sorted by block, so that reading one opens few of the stored rows.
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    dealt = stage(dealt.repartitionByRange("block").sortWithinPartitions("block"), "benchmark")
     for number in range(blocks):
         yield [(row.item, row.text) for row in dealt.where(F.col("block") == number).collect()]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``(doc_id, n_words, spans, items)`` for each row of ``docs``.
 
     ``spans`` are the merged runs ``[start, end)`` of words inside an occurrence of a window,
     ``items`` the sorted ids of items with a window that occurs. NULL and empty texts have no
     words and no hits, in documents as in items; repeated rows are answered each; empty
-    tables give no rows, or rows without hits. Other columns are not read.
+    tables give no rows, or rows without hits. Other columns are not read. Into how many
+    blocks the benchmark falls makes no difference to the result.
     """
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    parts = [
-        narrow.mapInArrow(_scan_batches(phrases(block, window)), f"doc_id bigint, {FOUND}")
-        for block in benchmark_blocks(benchmark)
-    ]
-    if len(parts) == 1:
-        return parts[0]
-    # The same documents come in every part; rows that share an id are told apart by rank.
-    alike = Window.partitionBy("doc_id", "part").orderBy("n_words")
-    every = reduce(DataFrame.unionByName, [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)])
+    blocks = benchmark_blocks(benchmark, block_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return narrow.mapInArrow(_scan_batches(phrases(first, window)), f"doc_id bigint, {FOUND}")
+    rows = stage(narrow.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
+    return _found_by_row(rows, chain([first, second], blocks), window).drop("row")
+
+
+def _found_by_row(rows: DataFrame, blocks: Iterable[list[tuple[str, str | None]]], window: int) -> DataFrame:
+    """``(row, doc_id, n_words, spans, items)`` of stored ``(row, doc_id, text)``: every block is
+    searched in the unchanged texts, one after another, and what is found is joined by row."""
+    narrow = rows.select("row", "doc_id", F.col("text").cast("binary").alias("text"))
+    parts = []
+    for number, block in enumerate(blocks):
+        found = narrow.mapInArrow(_scan_batches(phrases(block, window)), f"row bigint, doc_id bigint, {FOUND}")
+        # The first block tells the words of every row; of the others only hits are kept.
+        parts.append(stage(found if number == 0 else found.where(F.size("spans") > 0), "decontaminate-hits"))
     return (
-        every.withColumn("copy", F.row_number().over(alike))
-        .groupBy("doc_id", "copy")
-        .agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        .select("doc_id", "n_words", F.expr(MERGE).alias("spans"), "items")
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("row")
+        .agg(
+            F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("s"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        )
+        .select("row", "doc_id", "n_words", F.expr(MERGE).alias("spans"), "items")
     )
 
 
@@ -219,16 +239,52 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*kept, data[last:]]).decode()
 
 
-def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents with benchmark passages cut out of ``text`` and ``n_chars`` set anew.
 
     A document of which no word is left goes; every other one stays, clean ones unchanged.
+    What is cut is judged on the text as it came, whatever the blocks of the benchmark. Of
+    columns whose names clash with those used inside, none is touched.
     """
-    result = docs
-    schema = docs.schema
-    for block in benchmark_blocks(benchmark):
-        result = result.mapInArrow(_cut_batches(phrases(block, window)), schema)
-    return result
+    blocks = benchmark_blocks(benchmark, block_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.mapInArrow(_cut_batches(phrases(first, window)), docs.schema)
+    every = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), every), "decontaminate-rows")
+    texts = rows.select("row", F.lit(None).cast("bigint").alias("doc_id"), "document.text")
+    hits = _found_by_row(texts, chain([first, second], blocks), window).where(F.size("spans") > 0).select("row", "spans")
+    joined = rows.join(hits, "row", "left").select("document.*", F.col("spans").alias(_SPANS_OF_ROW))
+    return joined.mapInArrow(_cut_found_batches, docs.schema)
+
+
+#: Column that carries the spans of a row to where they are cut.
+_SPANS_OF_ROW = "_decontaminate_spans"
+
+
+def _cut_batch(batch: pa.RecordBatch, spans: list[list[dict] | None]) -> pa.RecordBatch:
+    if not any(spans):
+        return batch
+    texts = batch.column("text").to_pylist()
+    for i, listed in enumerate(spans):
+        if listed:
+            texts[i] = cut_words(texts[i], [(s["start"], s["end"]) for s in listed])
+    kept = [not listed or bool(words(texts[i].encode())) for i, listed in enumerate(spans)]
+    columns = []
+    for field, column in zip(batch.schema, batch.columns):
+        if field.name == "text":
+            column = pa.array(texts, field.type)
+        elif field.name == "n_chars":
+            old = column.to_pylist()
+            column = pa.array([len(texts[i]) if spans[i] else old[i] for i in range(len(old))], field.type)
+        columns.append(column)
+    return pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array(kept))
+
+
+def _cut_found_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = batch.column(_SPANS_OF_ROW).to_pylist()
+        yield _cut_batch(batch.drop_columns([_SPANS_OF_ROW]), spans)
 
 
 def _cut_batches(wanted: Phrases):
@@ -237,24 +293,6 @@ def _cut_batches(wanted: Phrases):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = pa.RecordBatch.from_arrays([batch.column("text").cast(pa.binary())], ["text"])
-            found = next(scan(iter([data])))
-            spans = found.column("spans").to_pylist()
-            if not any(spans):
-                yield batch
-                continue
-            texts = batch.column("text").to_pylist()
-            for i, listed in enumerate(spans):
-                if listed:
-                    texts[i] = cut_words(texts[i], [(s["start"], s["end"]) for s in listed])
-            kept = [not listed or bool(words(texts[i].encode())) for i, listed in enumerate(spans)]
-            columns = []
-            for field, column in zip(batch.schema, batch.columns):
-                if field.name == "text":
-                    column = pa.array(texts, field.type)
-                elif field.name == "n_chars":
-                    old = column.to_pylist()
-                    column = pa.array([len(texts[i]) if spans[i] else old[i] for i in range(len(old))], field.type)
-                columns.append(column)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array(kept))
+            yield _cut_batch(batch, next(scan(iter([data]))).column("spans").to_pylist())
 
     return cut

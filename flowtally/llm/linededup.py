@@ -14,8 +14,6 @@ from flowtally.session import stage
 
 #: A line on so many distinct sites is boilerplate and goes everywhere.
 MIN_SITES = 8
-#: Lines of fewer words are left alone: they recur by chance.
-MIN_WORDS = 3
 LG_K = 12
 #: Relative distance from the threshold inside which sites are counted exactly. A sketch
 #: with 2^12 registers has a standard error of 1.04 / 64, so this is six of them.
@@ -36,7 +34,7 @@ def _lines(text: Column) -> Column:
 
 
 def _eligible(line: Column) -> Column:
-    return F.size(F.split(line, " ")) >= MIN_WORDS
+    return line != ""
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -62,21 +60,24 @@ def without_boilerplate(docs: DataFrame, site: str = "source", min_sites: int =
 
     A line is compared after runs of blanks, tabs and carriage returns became one blank; it
     is removed from every document that has it. Rows without a site add no site but are
-    cleaned. NULL text stays NULL with no lines. Rows that share an id, or have none, are
-    rows of their own. An empty table gives no rows; other columns are not read.
+    cleaned. A line may be of any length and script; lines of white space stay. NULL text
+    stays NULL with no lines. Rows that share an id, or have none, are rows of their own. An
+    empty table gives no rows; other columns are not read.
     """
+    # A document is known by its id; without one by its text, so that such rows do not meet.
+    key = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(site).cast("string").alias("site"), "text")
     marks = F.array_distinct(
         F.transform(F.filter(F.transform(_lines(F.col("text")), normal), _eligible), _marks)
     )
-    lines = stage(narrow.select("doc_id", "site", F.explode(marks).alias("m")).select("doc_id", "site", "m.*"), "lines")
+    lines = stage(narrow.select(key.alias("key"), "site", F.explode(marks).alias("m")).select("key", "site", "m.*"), "lines")
     bad = (
         lines.join(boilerplate(lines, min_sites), ["h1", "h2"], "left_semi")
-        .groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("key"))
+        .groupBy("key")
         # No more marks than the document has lines.
         .agg(F.collect_set(F.struct("h1", "h2")).alias("bad"))
     )
-    joined = narrow.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).join(bad, "key", "left")
+    joined = narrow.withColumn("key", key).join(bad, "key", "left")
     kept = F.filter(
         _lines(F.col("text")), lambda x: ~(_eligible(normal(x)) & F.array_contains(F.col("bad"), _marks(normal(x))))
     )

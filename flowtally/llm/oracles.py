@@ -49,7 +49,7 @@ def _normal(line: str) -> str:
 ORACLES["op3_linededup"] = f"""
 WITH lines AS (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents),
 boilerplate AS (SELECT {_normal('line')} AS line FROM lines GROUP BY 1
-  HAVING len(string_split({_normal('line')}, ' ')) >= {linededup.MIN_WORDS} AND count(DISTINCT source) >= {linededup.MIN_SITES}),
+  HAVING {_normal('line')} <> '' AND count(DISTINCT source) >= {linededup.MIN_SITES}),
 bad AS (SELECT coalesce(list(line), []) AS bad FROM boilerplate),
 kept AS (SELECT doc_id, string_split(text, chr(10)) AS every,
     list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(bad, {_normal('x')})) AS rest FROM documents, bad)

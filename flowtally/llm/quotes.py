@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from flowtally.llm.components import components
 from flowtally.session import stage
 
-#: Lines and passages of fewer words are no evidence.
-MIN_WORDS = 3
 _ATTRIBUTION = r"(?i)^on\b.*\bwrote:\s*$"
 
 PARSED = r"""
@@ -36,8 +34,8 @@ def _n_words(text: Column) -> Column:
 
 
 def _hashes(texts: Column) -> Column:
-    """``(h1, h2, words)`` of normalised texts with enough words, each once."""
-    fit = F.filter(F.transform(texts, normal), lambda t: _n_words(t) >= MIN_WORDS)
+    """``(h1, h2, words)`` of normalised texts that are not blank, each once."""
+    fit = F.filter(F.transform(texts, normal), lambda t: t != "")
     return F.array_distinct(
         F.transform(fit, lambda t: F.struct(F.xxhash64(t).alias("h1"), F.xxhash64(t, F.lit(7)).alias("h2"), _n_words(t).alias("words")))
     )
@@ -86,7 +84,8 @@ def linked(conversations: DataFrame) -> DataFrame:
     ``thread`` (the first turn of the messages tied to it), in the order conversation,
     thread, turn.
 
-    Only earlier turns can be replied to. A message that quotes nothing known is a thread of
+    Passages of any length and script count, because only messages of the same conversation
+    are asked. Only earlier turns can be replied to. A message that quotes nothing known is a thread of
     its own, which in a plain chat leaves the order of turns. Rows that share a conversation
     and a turn are one message as far as links go, and all stay. A missing turn comes last
     and takes part in no link; a missing conversation is one of its own; NULL text stays
@@ -94,7 +93,7 @@ def linked(conversations: DataFrame) -> DataFrame:
     """
     messages = conversations.select(
         "conv_id", "turn", "role", "text",
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("missing")).alias("conv"),
+        F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("missing")).alias("conv"),
         F.col("turn").cast("bigint").alias("at"),
     )
     read = stage(parsed(messages), "messages")

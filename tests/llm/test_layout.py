@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flowtally.llm import decontaminate, mixing, quotes, sharding, simhash, toxicity
+from flowtally.llm import decontaminate, mixing, quotes, sharding, toxicity
 from flowtally.llm.common import start_positions
 from flowtally.llm.queries import ORACLES, QUERIES
 
@@ -209,7 +210,7 @@ def test_quotes_are_linked_and_removed(spark):
     assert got[1, 1] == ("Yes, at nine in the morning.", 0, 0, 1, 1)
     assert got[1, 2] == ("Nine is too early for me.", 1, 0, 2, 2)
     assert got[1, 3] == ("Then ten.", 2, 0, 2, 2)
-    assert got[1, 4] == ("Mine.", None, 4, 1, 1) and got[1, 5] == ("Too short a quote.", None, 5, 1, 1)
+    assert got[1, 4] == ("Mine.", None, 4, 1, 1) and got[1, 5] == ("Too short a quote.", 3, 0, 1, 1)
     assert got[2, 0] == ("Another conversation.", None, 0, 1, 1)
     assert got[2, 1] == (None, None, 1, 0, 0) and got[2, None][2] is None
     assert got[3, 4][1] is None and got[3, 9][1] is None  # only earlier turns are answered
@@ -233,15 +234,23 @@ def test_pipeline_against_brute_force(spark):
     labels, bench = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("labels", "benchmark"))
     score = {r.doc_id: r.score for r in toxicity.scores(docs, toxicity.fit(docs, labels)).collect()}
     clean = {r.doc_id: r for r in docs.collect() if score[r.doc_id] < 0.3}
-    prints = {i: simhash.fingerprint(r.text.encode()) for i, r in clean.items()}
-    group = {i: i for i in prints}
+    sets = {}
+    for i, r in clean.items():
+        words = re.findall("[^ \t\n\v\f\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text))
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+    def alike(a, b):
+        return len(a & b) >= 0.8 * len(a | b) if a and b else not a and not b
+
+    group = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and alike(sets[a], sets[b])]
     changed = True
     while changed:
         changed = False
-        for a in prints:
-            low = min(group[b] for b in prints if (prints[a] ^ prints[b]).bit_count() <= 4)
-            changed |= low != group[a]
-            group[a] = low
+        for a, b in links:
+            low = min(group[a], group[b])
+            changed |= group[a] != group[b]
+            group[a] = group[b] = low
     left = {i: r for i, r in clean.items() if group[i] == i}
     items = decontaminate.phrases([(str(r.item_id), r.text) for r in bench.collect()])
     windows = {tuple(row.tolist()) for rows in items.by_length.values() for row in rows}
@@ -255,7 +264,7 @@ def test_pipeline_against_brute_force(spark):
         [(i, t, left[i].source) for i, t in texts.items() if decontaminate.words(t.encode())],
         defaultdict(int, {f"={s}": n**mixing.TEMPERATURE for s, n in count_by(left[i].source for i, t in texts.items() if decontaminate.words(t.encode())).items()}),
         mixing.BLOCK,
-        mixing.SLOTS,
+        mixing.FINE,  # the stage follows the weights themselves
     )
     leaves = sharding.tree()
     expected = sorted((i, len(texts[i].encode()) + 16, zlib.crc32(texts[i].encode()), expected_shard(i, leaves)) for i, *_ in places)
@@ -271,6 +280,16 @@ def count_by(values):
     return out
 
 
+def test_the_last_stage_takes_odd_tables(spark):
+    rows = [(1, None, None, None, None, 9), (None, "", None, None, 3, 9), (2, "w " * 20000, "en", "s", 40000, 9), (2, "w " * 20000, "en", "s", 40000, 9)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard int"
+    _, step = corpus_pipeline.STAGES[-1]
+    got = step(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted((r.doc_id or 0, r.size, r.text_crc32) for r in got) == [(0, 16, 0), (1, 16, 0), *[(2, 40016, zlib.crc32(("w " * 20000).encode()))] * 2]
+    assert all(0 <= r.shard < 40 and r.law == "key" for r in got)
+    assert step(spark, spark.createDataFrame([], schema), SF).count() == 0
+
+
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES) - 1))
 def test_stages_take_odd_tables(spark, stage):
     rows = [(1, None, None, None, None, "z"), (None, "", None, None, 3, "z"), (2, "w " * 20000, "en", "s", 40000, "z"), (2, "w " * 20000, "en", "s", 40000, "z")]
@@ -302,3 +321,68 @@ def test_core_operators_run_no_python_in_tasks(spark):
     for name in ("op1_mixing", "op3_linededup", "op9_sharding", "op10_quotes"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+# -- generated threads ---------------------------------------------------------------------
+
+
+def plain_threads(messages):
+    """reply_to by the rule as it is written, from the structure the messages were made with."""
+    squeeze = lambda t: " ".join(t.lower().split())
+    replies = {}
+    for conv in {c for c, *_ in messages}:
+        earliest = {}
+        for c, turn, own, _ in sorted((m for m in messages if m[0] == conv), key=lambda m: m[1]):
+            for text in ["\n".join(own), *own]:
+                if squeeze(text):
+                    earliest.setdefault(squeeze(text), turn)
+        for c, turn, _, passages in (m for m in messages if m[0] == conv):
+            found = defaultdict(dict)
+            for level, lines in passages:
+                for text in {squeeze(" ".join(lines)), *map(squeeze, lines)} - {""}:
+                    if earliest.get(text, turn) < turn:
+                        found[level, earliest[text]].setdefault(level, []).append(len(text.split(" ")))
+            best = max(((-level, sum(map(sum, words.values())), source) for (level, source), words in found.items()), default=None)
+            replies[conv, turn] = best and best[2]
+    return replies
+
+
+def test_quotes_of_generated_threads(spark):
+    rng = random.Random(21)
+    words = ["rope", "quay", "sea", "at", "nine", "漢字のような文", "Да", "ok", "the tide", "x" * 30]
+    messages, rows = [], []
+    for conv in range(60):
+        lines_of, used = {}, set()
+        for turn in range(rng.randrange(1, 12)):
+            own = [f"{' '.join(rng.choice(words) for _ in range(rng.randrange(1, 5)))} {conv}-{turn}-{k}" if rng.random() < 0.8 else f"ok{conv}.{turn}.{k}" for k in range(rng.randrange(1, 4))]
+            passages, text = [], []
+            for level in rng.sample([1, 2, 3], rng.randrange(3)) if turn else []:
+                source = rng.randrange(turn)
+                quoted = lines_of[source] if rng.random() < 0.8 else ["never written by anyone"]
+                passages.append((level, quoted))
+                text += [f"On day {turn}, someone wrote:"] * (rng.random() < 0.3)
+                text += ["> " * level + (line.upper() if rng.random() < 0.2 and line.isascii() else f"  {line}  ") for line in quoted]
+            lines_of[turn] = own
+            messages.append((conv, turn, own, passages))
+            rows.append((conv, turn, "user", "\n".join([*text, *own])))
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    expected = plain_threads(messages)
+    got = {(r.conv_id, r.turn): r for r in quotes.linked(frame).collect()}
+    assert {k: r.reply_to for k, r in got.items()} == expected
+    assert sum(v is not None for v in expected.values()) > 100
+    for (conv, turn), r in got.items():
+        first = turn
+        tied = {turn}
+        while True:
+            more = {a for (c, a), b in expected.items() if c == conv and b is not None and (a in tied or b in tied)}
+            more |= {expected[conv, a] for a in tied if expected[conv, a] is not None}
+            if more <= tied:
+                break
+            tied |= more
+        assert r.thread == min(tied | {first})
+
+
+def test_a_conversation_named_missing_is_no_missing_one(spark):
+    rows = [("missing", 0, "user", "hello there"), (None, 1, "user", "> hello there\nhi"), ("missing", 2, "user", "> hello there\nho")]
+    got = {(r.conv_id, r.turn): r.reply_to for r in quotes.linked(spark.createDataFrame(rows, "conv_id string, turn bigint, role string, text string")).collect()}
+    assert got == {("missing", 0): None, (None, 1): None, ("missing", 2): 0}

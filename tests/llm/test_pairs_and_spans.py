@@ -302,7 +302,7 @@ def test_contamination_in_parts(spark, monkeypatch, limits):
         monkeypatch.setattr(decontaminate, name, value)
     if "BLOCK_CHARS" in limits:
         blocks = decontaminate.benchmark_blocks
-        monkeypatch.setattr(decontaminate, "benchmark_blocks", lambda bench: blocks(bench, 40))
+        monkeypatch.setattr(decontaminate, "benchmark_blocks", lambda bench, _size: blocks(bench, 40))
     assert found_in(spark, [*TEXTS, TEXTS[0]]) == {**FOUND, 7: FOUND[0]}
 
 
@@ -320,3 +320,33 @@ def test_cleaned_text_has_no_passage_left(spark):
     clean = decontaminate.cleaned(docs, bench)
     assert before > 0 and clean.count() <= docs.count()
     assert docs.join(decontaminate.contamination(docs, bench).where(F.size("spans") == 0), "doc_id").count() <= clean.count()
+
+
+def test_blocks_of_the_benchmark_change_nothing(spark):
+    """Crossing windows, repeated and missing ids, words that would meet across a cut."""
+    rng = random.Random(17)
+    vocabulary = [f"w{i}" for i in range(30)]
+    chain = [rng.choice(vocabulary) for _ in range(400)]
+    items = [(rng.choice([None, i, i % 5]), " ".join(chain[a : a + rng.randrange(3, 25)])) for i, a in enumerate(range(0, 380, 7))]
+    items += [(90, "w1 w2"), (91, None), (92, ""), (93, "w3 w4")]
+    texts = []
+    for i in range(60):
+        a = rng.randrange(380)
+        texts.append(f"{' '.join(chain[a : a + rng.randrange(40)])}, W{i % 30} w1 x{i} w2 {' '.join(chain[i * 3 : i * 3 + 12])} w3, w4")
+    rows = [(rng.choice([None, 1, 2, i]), t, "en", len(t or ""), 3) for i, t in enumerate([*texts, *texts[:9], None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars bigint, row int").repartition(3)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+
+    def found(block_chars):
+        listed = decontaminate.contamination(docs, bench, block_chars=block_chars).collect()
+        return sorted(((r.doc_id, r.n_words, [tuple(s) for s in r.spans], r.items) for r in listed), key=repr)
+
+    def clean(block_chars):
+        frame = decontaminate.cleaned(docs, bench, block_chars=block_chars)
+        assert frame.schema == docs.schema
+        return sorted(map(tuple, frame.collect()), key=repr)
+
+    assert len(list(decontaminate.benchmark_blocks(bench, 200))) > 10
+    assert found(200) == found(1 << 20) and any(r[2] for r in found(200))
+    assert clean(200) == clean(1 << 20) and len(clean(200)) > 0
+    assert decontaminate.cleaned(docs.limit(0), bench, block_chars=200).count() == 0

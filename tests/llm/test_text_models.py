@@ -95,7 +95,7 @@ def expected_clean(rows, sites):
     where = defaultdict(set)
     for _, text, _, source in rows:
         for line in (text or "").split("\n") if text is not None else ():
-            if len(norm(line).split(" ")) >= 3 and source is not None:
+            if norm(line) and source is not None:
                 where[norm(line)].add(source)
     out = []
     for i, text, _, _ in rows:
@@ -335,3 +335,28 @@ def test_unspaced_text_is_told_apart(spark):
     asked = [(1, "とても長い日本語の文章です" * 50, None, None), (2, "很长的中文文字内容没有空格" * 50, None, None)]
     got = {r.doc_id: r.lang_pred for r in language.predict(documents(spark, asked), model).collect()}
     assert got == {1: "ja", 2: "zh"}
+
+
+# -- quality: noise ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("letters, sizes", [("abcdefghijklmnopqrstuvwxyz", (4000, 8000, 60_000)), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", (1000, 2000, 4000, 60_000)), ("0123456789abcdef", (16_000, 60_000))])
+def test_noise_is_rejected_where_sound_texts_compress_better(letters, sizes):
+    rng = random.Random(len(letters))
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    for size in sizes:
+        words = []
+        while sum(map(len, words)) + len(words) < size:
+            words.append("".join(rng.choice(letters) for _ in range(rng.randrange(5, 13))))
+        assert quality.compression(" ".join(words).encode(), packer)[2] == "incompressible"
+
+
+def test_a_stretch_of_noise_in_a_sound_text():
+    docs = [t for (t,) in __import__("duckdb").sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE length(text) BETWEEN 2000 AND 9000").fetchall()]
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    sound = [t for t in docs if quality.measures(t.encode(), packer)[9] == "ok"][:12]
+    rng = random.Random(2)
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(1400))
+    whole = "\n".join(sound)
+    assert quality.compression(whole.encode(), packer)[2] == "ok"
+    assert quality.compression((whole + noise).encode(), packer)[2] != "ok"
