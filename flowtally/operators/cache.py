@@ -12,6 +12,8 @@ from flowtally.functions.dates import cache_expiry
 from flowtally.functions.text import filled
 from flowtally.schema import RESOLVE_COLUMNS, RESOLVE_VERSION
 
+#: Column of a cache that is laid out by the plain lookup key.
+LOOKUP = "lookup"
 CACHED_TYPE = "struct<" + ",".join(f"{name}:string" for name in RESOLVE_COLUMNS) + ">"
 
 
@@ -22,12 +24,14 @@ def namespace(resolver: str) -> str:
 
 def live_entries(cache: DataFrame, resolver: str, now: datetime) -> DataFrame:
     """Unexpired entries of one resolver, by plain lookup key and unique in it. Both
-    conditions reach the scan."""
+    conditions reach the scan. Of a cache laid out by lookup key nothing is shuffled."""
     prefix = namespace(resolver)
+    # A name with a colon in it is not told from the key by the layout.
+    by_lookup = LOOKUP in cache.columns and ":" not in resolver
     return (
         cache.where(F.col("key").startswith(prefix) & (F.col("expires_at") > instant(now)))
         .select(
-            F.expr(f"substring(key, {len(prefix) + 1})").alias("key"),
+            (F.col(LOOKUP) if by_lookup else F.expr(f"substring(key, {len(prefix) + 1})")).alias("key"),
             F.struct(*RESOLVE_COLUMNS).alias("cached"),
             "expires_at",
         )

@@ -106,16 +106,18 @@ def resolve(
     now: datetime | None = None,
     skip_already_enriched: bool = True,
     counters: RunCounters | None = None,
+    tasks: int | None = None,
 ) -> Resolution:
     """Enrich ``rows``; their number does not change. ``rows`` is read twice, so stage
     it first when it is the result of a shuffle. With a cache, ``now`` is needed.
-    ``counters`` gets keys, the rows they stand for, hits, misses and failures."""
+    ``counters`` gets keys, the rows they stand for, hits, misses and failures. ``tasks`` look
+    the keys up; for a cache in buckets take as many, so that it is joined where it lies."""
     if cache is not None and now is None:
         raise ValueError("A cache needs the time of the run: now")
     keys = stage(resolve_keys(rows, key_column, skip_already_enriched), "keys")
     # Extraction costs far more per key than its bytes suggest, so the number of tasks must
     # not follow from the size of the stage table; the joins on key reuse the partitioning.
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = look_up(keys.repartition(tasks, "key"), resolver.among(keys), cache, now)
     if counters is not None:
         asked = counters.watch("resolve", asked, **lookup_counters())

@@ -163,7 +163,8 @@ def _resolve(run: Run, frame: DataFrame, options: Options) -> DataFrame:
     store = run.settings.cache if options["cache"] else None
     known = None if store is None else store.read()
     resolver = _resolver(run.settings, options)
-    found = resolve(frame, resolver, options["key_column"], known, run.settings.now, counters=run.counters)
+    tasks = getattr(store, "buckets", None)
+    found = resolve(frame, resolver, options["key_column"], known, run.settings.now, counters=run.counters, tasks=tasks)
     if store is not None:
         run.fresh.append(found.fresh)
     return found.rows

@@ -1,0 +1,121 @@
+"""The cache laid out by lookup key."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowtally.operators import cache as caching
+from flowtally.operators.resolve import look_up, resolve
+from flowtally.operators.resolvers import RESOLVERS, Resolver, from_results, silent
+from flowtally.operators.rowfunction import register_function
+from flowtally.plans.pipeline import plan
+from flowtally.plans.settings import Settings
+from flowtally.sources.bucketcache import BucketCacheStore
+
+NOW = datetime(2024, 1, 31)
+NOBODY = Resolver("who", from_results(lambda keys: keys.limit(0)))
+
+
+def entries(spark, *rows):
+    made = [(key, country, "1", "d", "c", expires) for key, country, expires in rows]
+    return spark.createDataFrame(made, "key string, country string, asn string, asn_descr string, contacts string, expires_at timestamp")
+
+
+def history(spark, n, name, days):
+    rows = spark.range(n).selectExpr("concat('who:v1:10.0.', id div 250, '.', id % 250) AS key")
+    return rows.selectExpr("key", f"'{name}' AS country", "'1' AS asn", "'d' AS asn_descr", "'c' AS contacts").withColumn("expires_at", F.lit(NOW + timedelta(days=days)))
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges_above_the_cache(text):
+    """Exchanges between the join and the scan of the bucketed table, by indentation."""
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-*("))
+    found = []
+    for line in reversed(lines[:scan]):
+        here = len(line) - len(line.lstrip(" :+-*("))
+        if here < depth:
+            depth = here
+            if "Join" in line:
+                break
+            found.append(line)
+    return [line for line in found if "Exchange" in line]
+
+
+def test_versions_and_compaction_serve_the_same(spark, frame, tmp_path):
+    store = BucketCacheStore(spark, f"{tmp_path}/cache", 8)
+    assert store.read().count() == 0
+    store.append(history(spark, 3000, "old", 2))
+    store.append(history(spark, 1000, "new", 5))
+    store.append(entries(spark, ("who:v1:a:b::c", "colon", NOW + timedelta(days=1)), ("else:v1:10.0.0.1", "other", NOW + timedelta(days=9)), ("who:v1:x", "gone", NOW)))
+    assert len(list((tmp_path / "cache" / "v=1").glob("*.parquet"))) == 8
+    keys = frame("key", [("10.0.0.1",), ("10.0.11.0",), ("a:b::c",), ("x",), ("nowhere",)])
+
+    def hits():
+        return {row.key: row.country for row in caching.cache_hits(keys, store.read(), "who", NOW).collect()}
+
+    expected = {"10.0.0.1": "new", "10.0.11.0": "old", "a:b::c": "colon"}
+    assert hits() == expected
+    assert sorted(row.key for row in caching.cache_misses(keys, store.read(), "who", NOW).collect()) == ["nowhere", "x"]
+    store.compact(NOW)
+    assert hits() == expected and store.read().count() == 3002
+    assert sorted(p.name for p in (tmp_path / "cache").iterdir() if not p.name.startswith(("_SUCCESS", ".", "_temp"))) == ["_buckets=8", "v=4"]
+    assert {row.cached.country for row in caching.live_entries(store.read(), "else", NOW).collect()} == {"other"}
+    # Another object, and another session's worth of tables, find the same layout.
+    again = BucketCacheStore(spark, f"{tmp_path}/cache", 99)
+    assert again.buckets == 8 and again.entry("who", "a:b::c", NOW).first().cached.country == "colon"
+
+
+def test_a_lookup_shuffles_keys_and_not_the_history(spark, frame, tmp_path):
+    store = BucketCacheStore(spark, f"{tmp_path}/cache", 8)
+    store.append(history(spark, 3000, "old", 2))
+    store.append(history(spark, 1000, "new", 5))
+    keys = spark.range(2000).selectExpr("concat('10.0.', id div 250, '.', id % 250) AS key", "1L AS key_rows")
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        for asked in (keys, keys.repartition(store.buckets, "key")):
+            text = plan_of(look_up(asked, Resolver("who", silent), store.read(), NOW))
+            assert text.count("Bucketed: true") == 1 and exchanges_above_the_cache(text) == []
+        one = plan_of(store.entry("who", "10.0.0.7", NOW))
+        assert "SelectedBucketsCount: 1 out of 8" in one and "Exchange" not in one
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found = look_up(keys, NOBODY, store.read(), NOW)
+    assert found.groupBy("country", "cached").count().orderBy("country").collect() == [("new", True, 1000), ("old", True, 1000)]
+
+
+def test_a_lost_writer_leaves_the_rest_in_place(spark, tmp_path):
+    store = BucketCacheStore(spark, f"{tmp_path}/cache", 4)
+    store.append(history(spark, 100, "old", 2))
+    store.append(history(spark, 100, "half", 3))
+    (tmp_path / "cache" / "v=2" / "_SUCCESS").unlink()  # as if the second had not ended
+    assert {row.country for row in store.read().collect()} == {"old"}
+    store.append(history(spark, 50, "whole", 3))
+    assert {row.country: row.n for row in store.read().groupBy("country").agg(F.count("*").alias("n")).collect()} == {"old": 100, "whole": 50}
+    blocked = BucketCacheStore(spark, "/dev/null/nope")
+    assert blocked.read().count() == 0
+    blocked.append(history(spark, 1, "x", 1))
+    with pytest.raises(ValueError):
+        BucketCacheStore(spark, f"{tmp_path}/other", 0)
+
+
+def test_as_the_cache_of_a_pipeline(spark, frame, tmp_path):
+    register_function("who")(lambda key: {"country": f"C{key}"})
+    try:
+        store = BucketCacheStore(spark, f"{tmp_path}/cache", 4)
+        settings = Settings(resolver="who", cache=store, now=NOW)
+        rows = frame("DstIP", [("a",), ("a",), ("b",), ("",)])
+        first = plan(spark, ["resolve"], rows, settings=settings)
+        store.append(first.fresh[0])
+        served = resolve(rows, NOBODY, cache=store.read(), now=NOW, tasks=store.buckets)
+        assert sorted((row.DstIP, row.country) for row in served.rows.collect()) == [("", ""), ("a", "Ca"), ("a", "Ca"), ("b", "Cb")]
+    finally:
+        del RESOLVERS["who"]

@@ -580,3 +580,13 @@ ORACLES["pipeline_counters"] = over(
 # -- labels on a stream ------------------------------------------------------------------------
 
 ORACLES["stream_label"] = ORACLES["subnet_label_table"]
+
+# -- a cache laid out by key ---------------------------------------------------------------------
+
+ORACLES["cache_buckets"] = over(
+    ["hosts", "resolve_cache"],
+    """SELECT layout, key, country, asn, asn_descr, contacts FROM hosts JOIN newest USING (key),
+      (VALUES ('versions'), ('compacted')) AS l(layout)""",
+    f"""newest AS (SELECT substr(key, 12) AS key, CASE WHEN asn > '2' THEN 'Later' ELSE country END AS country, asn, asn_descr, contacts
+      FROM resolve_cache WHERE starts_with(key, 'default:v1:') AND (asn > '2' OR expires_at > {NOW}))""",
+)

@@ -41,6 +41,7 @@ from flowtally.operators.trim import trim
 from flowtally.plans.pipeline import plan
 from flowtally.plans.settings import Settings
 from flowtally.session import configure, shared_folder, stage
+from flowtally.sources.bucketcache import BucketCacheStore
 from flowtally.sources.cachestore import CacheStore
 from flowtally.sources.countstore import CountStore
 from flowtally.sources.logstore import LogStore
@@ -391,6 +392,21 @@ def hits(spark, sf_dir):
 QUERIES["cache_hits"] = QUERIES.pop("hits")
 
 
+@query
+def cache_buckets(spark, sf_dir):
+    """Hits of all hosts in a cache laid out by key: two versions of it, and the same compacted."""
+    store = BucketCacheStore(spark, f"{shared_folder(spark)}/flowtally-buckets-{uuid4().hex}", 16)
+    known = view(spark, sf_dir, "resolve_cache")
+    store.append(known)
+    # A later run knew better for some keys, and longer.
+    store.append(known.where("asn > '2'").withColumns({"country": F.lit("Later"), "expires_at": F.col("expires_at") + F.expr("INTERVAL 9 DAYS")}))
+    keys = view(spark, sf_dir, "hosts").select("key")
+    before = stage(cache.cache_hits(keys, store.read(), "default", NOW), "bucket-hits")
+    store.compact(NOW)
+    after = cache.cache_hits(keys, store.read(), "default", NOW)
+    return before.select(F.lit("versions").alias("layout"), "*").unionAll(after.select(F.lit("compacted").alias("layout"), "*"))
+
+
 @query
 def misses(spark, sf_dir):
     keys = view(spark, sf_dir, "hosts").select("key")
