@@ -113,13 +113,23 @@ def training_labels(labels: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, known: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """``(text, toxic)`` of at most ``per_class`` documents of each class in ``known``.
 
-    Repeated documents count as often as they occur.
+    Rows that repeat an id and its text are one document. An id with several texts gives as
+    many documents, which count towards the bound like others.
     """
     # Two lists of at most per_class rows.
     firsts = [known.where(F.col("toxic") == c).orderBy(spread_key(F.col("id"))).limit(per_class) for c in (0, 1)]
     chosen = F.broadcast(firsts[0].union(firsts[1]))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
-    return texts.join(chosen, "id").select("text", "toxic")
+    # Stored, because the bound is found from the marks of the texts before any text moves.
+    rows = stage(texts.join(chosen, "id").withColumn("mark", F.xxhash64("text")), "toxicity-rows")
+    marks = rows.select("toxic", "id", "mark").distinct()
+    kept = [marks.where(F.col("toxic") == c).orderBy(spread_key(F.col("id")), "mark").limit(per_class) for c in (0, 1)]
+    return (
+        rows.join(F.broadcast(kept[0].union(kept[1])), ["toxic", "id", "mark"])
+        .groupBy("toxic", "id", "mark")
+        .agg(F.first("text").alias("text"))
+        .select("text", "toxic")
+    )
 
 
 def _logistic(

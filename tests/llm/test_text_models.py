@@ -360,3 +360,16 @@ def test_a_stretch_of_noise_in_a_sound_text():
     whole = "\n".join(sound)
     assert quality.compression(whole.encode(), packer)[2] == "ok"
     assert quality.compression((whole + noise).encode(), packer)[2] != "ok"
+
+
+# -- toxicity: the bound of the sample ---------------------------------------------------------
+
+
+def test_a_labelled_id_on_very_many_rows_does_not_break_the_bound(spark):
+    rows = [(7, f"text number {i}", "en", "s") for i in range(300)] + [(7, "the same", "en", "s")] * 300 + [(i, f"other {i}", "en", "s") for i in range(20, 40)]
+    known = spark.createDataFrame([(7, 1), *[(i, 0) for i in range(20, 40)]], "id bigint, toxic int")
+    got = toxicity.sample(documents(spark, rows), known, 25).collect()
+    assert sum(r.toxic == 1 for r in got) == 25 and sum(r.toxic == 0 for r in got) == 20
+    every = toxicity.sample(documents(spark, rows), known, 4000).collect()
+    assert sorted(bytes(r.text).decode() for r in every) == sorted({t for _, t, _, _ in rows})
+    assert toxicity.sample(documents(spark, []), known, 25).count() == 0
