@@ -6,19 +6,21 @@ for the string. Neighbouring strings with the same seed form a *run*. Whether a
 repeats is settled between the runs that share its seed, and in three steps:
 
 1. Tasks read chunks of documents and send a 32-bit mark for each seed to the seed's bucket,
-   which answers with a bit: is the seed in more than one document?
+   which answers with a bit: is the seed in more than one document? With each mark goes how
+   many different runs of the seed the chunk has.
 2. Runs of such seeds are sent to the bucket with their bytes, once for each chunk. A bucket
-   takes its runs in batches, by document id. Each batch gets a suffix array; it is
-   merge-scanned against the levels of an index of all earlier batches for equal strings,
-   and becomes a level itself. Levels of equal size merge, so there are never more than the
-   logarithm of the number of batches. The bucket answers with a bit for each string.
+   takes its runs in batches, by document id. Each batch becomes an index of its strings,
+   is searched in the levels of all earlier batches, and becomes a level itself. Levels of
+   equal size merge, so there are never more than the logarithm of the number of batches.
+   The bucket answers with a bit for each string.
 3. The chunks turn the bits into byte spans.
 
-The suffix arrays hold only strings of repeated seeds and are ordered by a 64-bit hash of
-the 50 bytes rather than by the alphabet: nothing but equality of 50 bytes is asked.
+An index holds the strings of repeated seeds in the order of a 64-bit hash of their 50
+bytes, not in that of a suffix array: nothing but equality of 50 bytes is asked.
 
-A seed that occurs in very many chunks would fill its bucket. Its runs are sent as single
-strings, each to a bucket chosen by the whole string.
+A phrase amid ever different surroundings makes a run of its own in every document, and all
+of them would fill the bucket of its seed. A seed with more than ``CROWDED`` different runs,
+counted over all chunks, sends single strings, each to a bucket chosen by the whole string.
 """
 
 from __future__ import annotations
@@ -44,9 +46,12 @@ CHUNK = 8 << 20
 BUCKET = 16 << 20
 #: Strings looked at together.
 SLICE = 1 << 19
-#: Strings of a batch of the index, and chunks beyond which a seed's strings part ways.
+#: Strings of a batch of the index.
 BATCH = 1 << 18
-CROWDED = 4096
+#: Different runs, a chunk's copies counted once, beyond which a seed's strings part ways: a 64th of a bucket.
+CROWDED = BUCKET // WIDTH // 64
+#: Runs of a seed in one chunk that are counted without a look at their bytes.
+FEW = 8
 NO_ID = np.iinfo(np.int64).max
 
 _B = 0x9E3779B97F4A7C15 | 1
@@ -125,6 +130,15 @@ class Runs:
         inside = np.arange(WIDTH) < size[:, None]
         return np.where(inside, self.data[np.minimum(at, len(self.data) - 1)], 0).astype(np.uint8)
 
+    def codes(self, rows: np.ndarray) -> np.ndarray:
+        """A hash of the bytes of each run."""
+        code = np.zeros(len(rows), np.uint64)
+        for low in range(0, len(rows), 1 << 15):
+            part = rows[low : low + (1 << 15)]
+            bytes_ = self.contents(part).astype(np.uint64) + np.uint64(1)
+            code[low : low + len(part)] = (bytes_ * _COLUMN[:WIDTH]).sum(1) + self.count[part].astype(np.uint64) * _COLUMN[WIDTH]
+        return _mixed(code)
+
 
 def _bucket_mark(seed: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return ((seed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), seed.astype(np.uint32)
@@ -194,18 +208,31 @@ def _marks(seed: np.ndarray, doc: np.ndarray, buckets: int) -> tuple[np.ndarray,
     return pair >> 32, (pair & 0xFFFFFFFF).astype(np.uint32), low < high, run
 
 
+def _different(runs: Runs, pair_of: np.ndarray, pairs: int) -> np.ndarray:
+    """How many different runs each pair has."""
+    count = np.bincount(pair_of, minlength=pairs)
+    rows = np.flatnonzero(count[pair_of] > FEW)
+    pair, code = pair_of[rows], runs.codes(rows)
+    order = np.lexsort((code, pair))
+    pair, code = pair[order], code[order]
+    new = np.concatenate([[True], (pair[1:] != pair[:-1]) | (code[1:] != code[:-1])])[: len(pair)]
+    several = np.bincount(pair[new], minlength=pairs)
+    return np.where(count > FEW, several, count).astype(np.uint32)
+
+
 def _mark_batches(buckets: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("data")):
                 ids, lengths, data = _read(blob.as_py())
                 runs = Runs(data, lengths)
-                bucket, mark, several, _ = _marks(runs.seed, ids[runs.doc], buckets)
-                rows = [(b, chunk, mark[at].tobytes(), np.packbits(several[at]).tobytes()) for b, at in _by_bucket(bucket)]
+                bucket, mark, several, pair_of = _marks(runs.seed, ids[runs.doc], buckets)
+                runs_of = _different(runs, pair_of, len(bucket))
+                rows = [(b, chunk, mark[at].tobytes(), np.packbits(several[at]).tobytes(), runs_of[at].tobytes()) for b, at in _by_bucket(bucket)]
                 if rows:
+                    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())],
-                        ["bucket", "chunk", "marks", "several"],
+                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "chunk", "marks", "several", "runs"]
                     )
 
     return emit
@@ -218,10 +245,12 @@ def _answer_marks(crowded: int):
         marks, run, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
         shared = count > 1
         shared[run[np.concatenate(flags) == 1]] = True
+        sizes = np.concatenate([np.frombuffer(r, np.uint32) for r in table.column("runs").to_pylist()])
+        many = np.bincount(run, weights=sizes, minlength=len(marks)) > crowded
         edges = np.cumsum([0] + [len(m) for m in lists])
         out = []
         for a, b in zip(edges[:-1], edges[1:]):
-            out.append((np.packbits(shared[run[a:b]]).tobytes(), np.packbits(count[run[a:b]] > crowded).tobytes()))
+            out.append((np.packbits(shared[run[a:b]]).tobytes(), np.packbits(many[run[a:b]]).tobytes()))
         return pa.table(
             {"chunk": table.column("chunk"), "bucket": table.column("bucket"), "shared": pa.array([o[0] for o in out], pa.binary()), "many": pa.array([o[1] for o in out], pa.binary())}
         )
@@ -252,12 +281,7 @@ class _Sent:
         runs.first, runs.count = first, count
         self.first, self.count = first, count
         self.doc = ids[np.searchsorted(np.cumsum(lengths), first, "right")]
-        code = np.zeros(len(first), np.uint64)
-        for low in range(0, len(first), 1 << 15):
-            part = np.arange(low, min(low + (1 << 15), len(first)))
-            bytes_ = runs.contents(part)
-            code[part] = ((bytes_.astype(np.uint64) + np.uint64(1)) * _COLUMN[:WIDTH]).sum(1) + count[part].astype(np.uint64) * _COLUMN[WIDTH]
-        code = _mixed(code)
+        code = runs.codes(np.arange(len(first)))
         self.bucket = np.where(own < 0, (code % np.uint64(buckets)).astype(np.int64), own)
         # One row for runs with equal bytes, with the smallest document that has them.
         _, self.of = np.unique(code, return_inverse=True)
@@ -336,7 +360,7 @@ def _answer_runs(batch_size: int):
             inside = np.arange(STARTS) < count[rows, None]
             row, column = np.nonzero(inside)
             keys, own = hashes[row, column], doc[rows][row]
-            # The batch's suffix array, and the smallest document of each of its strings.
+            # The batch's index: its strings in order, and the smallest document of each.
             strings, smallest = smallest_by_key(keys, own)
             known = np.minimum(smallest, index.smallest(strings))
             again = known[np.searchsorted(strings, keys)] < own
@@ -399,14 +423,14 @@ def repeated_passages(
 
     Strings are judged on the input. NULL text is empty; texts below 50 bytes lose nothing;
     rows that share an id do not take from each other; a row without id loses what any row
-    with an id has, and nobody loses to it. An empty table gives no rows; other columns are
+    with an id has, and nobody loses to it; an id of 2^63 - 1 counts as none. An empty table gives no rows; other columns are
     not read. ``chunk`` and ``bucket`` bound the memory of a task: some 30 times the larger.
     """
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     chunks = stage(narrow.mapInArrow(_chunk_batches(chunk), "chunk bigint, n_bytes bigint, data binary"), "chunks")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = int(total // bucket + 1)
-    marks = chunks.mapInArrow(_mark_batches(buckets), "bucket bigint, chunk bigint, marks binary, several binary")
+    marks = chunks.mapInArrow(_mark_batches(buckets), "bucket bigint, chunk bigint, marks binary, several binary, runs binary")
     answers = stage(
         marks.groupBy("bucket")
         .applyInArrow(_answer_marks(crowded), "chunk bigint, bucket bigint, shared binary, many binary")

@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -194,6 +196,42 @@ def test_repeated_passages_against_brute_force(spark, monkeypatch, options):
     assert sorted(map(tuple, got.collect()), key=repr) == expected_removal(rows)
 
 
+def sent_to_buckets(chunks, buckets, crowded):
+    """Bytes of runs that each bucket gets from chunks of ``(ids, texts)``."""
+    read, marks = [], []
+    for number, (ids, texts) in enumerate(chunks):
+        read.append((np.array(ids), np.array([len(t) for t in texts]), np.frombuffer(b"".join(texts), np.uint8)))
+        batch = pa.RecordBatch.from_pydict({"chunk": [number], "data": [suffixdedup._packed(*read[-1])]})
+        marks += suffixdedup._mark_batches(buckets)(iter([batch]))
+    table, answers = pa.Table.from_batches(marks), [[] for _ in chunks]
+    for bucket in set(table.column("bucket").to_pylist()):
+        answer = suffixdedup._answer_marks(crowded)(table.filter(pc.equal(table.column("bucket"), bucket)))
+        for row in answer.to_pylist():
+            answers[row["chunk"]].append(row)
+    sizes = np.zeros(buckets, np.int64)
+    for data, replies in zip(read, answers):
+        sent = suffixdedup._Sent(*data, replies, buckets)
+        np.add.at(sizes, sent.bucket[sent.sample], sent.count[sent.sample] + suffixdedup.LENGTH - 1)
+    return sizes
+
+
+def test_a_phrase_in_every_document_is_spread():
+    rng = random.Random(8)
+    phrase = b"the very same words of forty or more bytes stand here"[:44]
+    letters = bytes(range(97, 123))
+
+    def text():
+        return bytes(rng.choices(letters, k=40)) + phrase + bytes(rng.choices(letters, k=40))
+
+    copy = text()  # copies are one run for each chunk, however many they are
+    chunks = [([c * 1000 + i for i in range(200)], [text() if i % 2 else copy for i in range(200)]) for c in range(8)]
+    whole, split = (sent_to_buckets(chunks, 64, crowded) for crowded in (1 << 30, 50))
+    assert whole.max() > 0.3 * whole.sum()
+    assert split.max() < 0.05 * split.sum()
+    runs = suffixdedup.Runs(np.frombuffer(copy * 20, np.uint8), np.full(20, len(copy)))
+    assert suffixdedup._different(runs, np.zeros(len(runs.first), np.int64), 1).tolist() == [len(runs.first) // 20]
+
+
 def test_slices_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(suffixdedup, "SLICE", 64)
     rng = random.Random(2)
