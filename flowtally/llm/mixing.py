@@ -3,9 +3,16 @@
 A source with ``parts`` of every ``slots`` slots owes its block number ``j`` (from 0) in the
 window from its release ``floor(j * slots / parts)`` to its deadline
 ``ceil((j + 1) * slots / parts)``. In each slot the released block with the earliest deadline
-goes, so that at any time each source is less than one block off its target share. Parts
-add up to ``slots``, all windows repeat after as many slots, and so does the schedule: it is
-worked out for one round and holds for every round.
+goes (of equal ones the first source), so that at any time each source is less than one block
+off its target share.
+
+The schedule is worked out in segments, each a row of its own, that need nothing of each other.
+At a slot ``T`` every block with a deadline up to ``T`` has gone, so what is open is which
+sources have had the block whose window holds ``T``. Those blocks go only in slots that no
+earlier deadline asks for, and all of them were released in the ``slots / parts`` of the smallest
+source before ``T``. A segment therefore starts that much earlier with the *number* of blocks
+still owed from before (released ones less slots gone by), lets those go first, and has at ``T`` the state that a run
+from slot 0 has.
 
 The mixture ends with the slot in which every document has occurred: a source that runs out
 before starts again (its next epoch). Nothing is dropped.
@@ -13,49 +20,54 @@ before starts again (its next epoch). Nothing is dropped.
 
 from __future__ import annotations
 
-from array import array
+import json
 from collections.abc import Mapping
-from heapq import heappop, heappush
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtally.llm.common import spread_key, start_positions
+from flowtally.session import stage
 
-#: Documents of a block, and the slots of a round that weights are rounded to.
+#: Documents of a block.
 BLOCK = 16
-SLOTS = 1000
+#: Parts of the whole that weights are held in. A billion slots are then 0.01 blocks off the weights.
+PARTS = 1 << 36
+#: Slots of a segment at most, and those gathered at once within it.
+SEGMENT_SLOTS, STRETCH = 1 << 17, 256
 #: Weights default to document counts to this power, which lifts small sources.
 TEMPERATURE = 0.8
-#: A schedule is one row; with more sources than this, group them first.
-MAX_SOURCES = 2_000
-
-#: Parts of the whole that exact weights are held in: a double has no more digits.
-FINE = 1 << 52
-#: Blocks up to which the exact schedule is sent to all executors, some 60 MB.
-SENT = 1 << 20
-
-ROUND = """
-transform(
-  aggregate(
-    sequence(0, cast(slots AS int) - 1),
-    named_struct(
-      'given', transform(sources, s -> 0),
-      'order', cast(array() AS array<struct<i: int, j: int, slot: int>>)),
-    (state, t) -> transform(
-      array(array_min(filter(
-        transform(sources, (s, i) -> named_struct(
-          'deadline', ((state.given[i] + 1) * slots + s.parts - 1) div s.parts,
-          'i', i,
-          'release', state.given[i] * slots div s.parts)),
-        x -> x.release <= t))),
-      next -> named_struct(
-        'given', transform(state.given, (g, i) -> if(i = next.i, g + 1, g)),
-        'order', array_append(state.order, named_struct('i', next.i, 'j', state.given[next.i], 'slot', t))))[0]
-  ).order,
-  x -> x)
+
+# One segment of the schedule: earliest deadline first over ``length`` slots from ``base``, of which
+# those from ``warm`` on are kept. Work owed from before ``base`` goes first.
+SEGMENT = f"""
+flatten(aggregate(
+  sequence(0L, (length - 1) div {STRETCH}),
+  named_struct(
+    'given', transform(sources, s -> 0L),
+    'owed', owed,
+    'done', cast(array() AS array<array<struct<i: int, j: bigint, slot: bigint>>>)),
+  (whole, c) -> transform(
+    array(aggregate(
+      sequence(c * {STRETCH}, least(length, (c + 1) * {STRETCH}) - 1),
+      named_struct(
+        'given', whole.given,
+        'owed', whole.owed,
+        'order', cast(array() AS array<struct<i: int, j: bigint, slot: bigint>>)),
+      (state, t) -> transform(
+        array(if(state.owed > 0, -1, array_min(filter(
+          transform(sources, (s, i) -> named_struct(
+            'deadline', ((state.given[i] + 1) * slots + s.phase + s.parts - 1) div s.parts,
+            'i', i,
+            'release', (state.given[i] * slots + s.phase) div s.parts)),
+          x -> x.release <= t)).i)),
+        next -> named_struct(
+          'given', if(next < 0, state.given, transform(state.given, (g, i) -> if(i = next, g + 1, g))),
+          'owed', greatest(state.owed - 1, 0L),
+          'order', if(next < 0 OR t < warm, state.order,
+            array_append(state.order, named_struct('i', next, 'j', sources[next].first + state.given[next], 'slot', base + t)))))[0])),
+    part -> named_struct('given', part.given, 'owed', part.owed, 'done', array_append(whole.done, part.order)))[0]
+).done)
 """
 
 
@@ -64,44 +76,54 @@ def source_key(column: str = "source"):
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("missing"))
 
 
-def schedule(counts: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
-    """One row per source of ``(src, total)``: its ``blocks``, ``parts`` of ``slots``, the
-    ``turns`` it gets in all, and ``at``, the slots of its turns within a round."""
+def schedule(counts: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, slots: int = PARTS, segment: int = SEGMENT_SLOTS) -> DataFrame:
+    """``(src, turn, slot, blocks, length)``: the slots of all turns of each source of ``(src, total)``.
+
+    Weights are held in parts of about ``slots``. ``segment`` bounds the slots of one row's work.
+    """
     if weights is None:
         weighed = counts.withColumn("weight", F.pow(F.col("total").cast("double"), F.lit(TEMPERATURE)))
     else:
-        given = {"missing" if name is None else f"={name}": float(w) for name, w in weights.items() if w > 0}
-        listed = F.create_map(*[F.lit(x) for pair in given.items() for x in pair]) if given else F.lit(None).cast("map<string,double>")
-        weighed = counts.withColumn("weight", listed[F.col("src")]).where("weight IS NOT NULL")
+        given = [{"src": "missing" if name is None else f"={name}", "weight": float(w)} for name, w in weights.items() if w > 0]
+        listed = F.from_json(F.lit(json.dumps(given)), "array<struct<src: string, weight: double>>")
+        weighed = counts.join(counts.sparkSession.range(1).select(F.inline(listed)), "src")
     one = weighed.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("weight").alias("sum"),
-        F.slice(F.array_sort(F.collect_list(F.struct("src", "total", "weight"))), 1, MAX_SOURCES + 1).alias("all"),
+        F.array_sort(F.collect_list(F.struct("src", "total", "weight"))).alias("all"),
     ).where("n > 0")
-    checked = one.withColumn(
-        "all", F.when(F.col("n") <= MAX_SOURCES, F.col("all")).otherwise(F.raise_error(F.lit(f"More than {MAX_SOURCES} sources")))
-    )
-    parts = checked.selectExpr(
+    parts = one.selectExpr(
         f"""transform(all, s -> named_struct('src', s.src, 'blocks', (s.total + {block - 1}) div {block},
             'parts', greatest(cast(round(s.weight / sum * {slots}) AS bigint), 1L))) AS sources"""
     ).selectExpr("sources", "aggregate(sources, 0L, (a, s) -> a + s.parts) AS slots")
-    # Grouping keeps the schedule from being worked out again at each use.
-    once = parts.selectExpr("sources", "slots", f"{ROUND} AS order").groupBy("slots").agg(
-        F.first("sources").alias("sources"), F.first("order").alias("order")
-    )
-    ordered = once.selectExpr(
-        "transform(sources, (s, i) -> named_struct('src', s.src, 'blocks', s.blocks, 'parts', s.parts, "
-        "'at', transform(filter(order, x -> x.i = i), x -> x.slot))) AS sources",
-        "slots",
-    )
-    ended = ordered.withColumn(
-        "length",
-        F.expr("array_max(transform(sources, s -> (s.blocks - 1) div s.parts * slots + s.at[cast((s.blocks - 1) % s.parts AS int)])) + 1"),
+    sized = parts.selectExpr(
+        "*",
+        "(slots + array_min(sources.parts) - 1) div array_min(sources.parts) + 1 AS window",
+        "array_max(transform(sources, s -> (cast(s.blocks AS decimal(19)) * slots + s.parts - 1) div s.parts)) AS latest",
+    ).selectExpr("*", f"greatest(least(window, {segment}L), {min(segment, STRETCH)}L) AS step")
+    # One row for each segment; its number is fixed, so that segments are dealt out and not put together.
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    segments = (
+        sized.selectExpr("*", "explode(sequence(0L, (latest - 1) div step)) AS k")
+        .repartition(tasks, "k")
+        .selectExpr("sources", "slots", "k * step AS begin", "least(latest, (k + 1) * step) AS end", "greatest(0L, k * step - window) AS base")
+        .selectExpr(
+            """transform(transform(sources, s -> named_struct('s', s,
+                'first', (cast(base AS decimal(19)) * s.parts + slots - 1) div slots)), x -> named_struct(
+                'src', x.s.src, 'blocks', x.s.blocks, 'parts', x.s.parts, 'first', x.first,
+                'phase', cast(cast(x.first AS decimal(19)) * slots - cast(base AS decimal(19)) * x.s.parts AS bigint))) AS sources""",
+            "slots", "base", "begin - base AS warm", "end - base AS length",
+        )
+        .selectExpr("*", "aggregate(sources, 0L, (a, s) -> a + s.first) - base AS owed")
     )
-    return ended.selectExpr("explode(sources) AS s", "slots", "length").selectExpr(
-        "s.src", "s.blocks", "s.parts", "slots", "s.at", "length",
-        "length div slots * s.parts + size(filter(s.at, x -> x < length % slots)) AS turns",
+    turns = (
+        segments.selectExpr("sources", f"explode({SEGMENT}) AS x")
+        .selectExpr("sources[x.i].src AS src", "x.j AS turn", "x.slot AS slot", "sources[x.i].blocks AS blocks")
     )
+    # Written once: its end is read from it, and the join with the documents knows its size.
+    turns = stage(turns, "mixing-turns")
+    length = turns.where("turn = blocks - 1").agg(F.max("slot") + 1).first()[0] or 0
+    return turns.where(F.col("slot") < length).withColumn("length", F.lit(length).cast("bigint"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -113,7 +135,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     ).withColumn("bucket", F.substring("spread", 1, 3))
 
 
-def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, slots: int = PARTS, segment: int = SEGMENT_SLOTS
+) -> DataFrame:
     """``(row, src, block, epoch, slot, position, length)`` for every place of a document in the mixture.
 
     ``row`` holds all columns of ``docs``, whatever their names. Documents of a source are
@@ -122,101 +146,22 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     the place of the block in the schedule and ``position`` that of the document; both grow
     in the order of the mixture, which has ``length`` slots. A missing source is a source of its own. With ``weights``,
     a source without a positive weight has no place. An empty table gives no rows. A weight
-    is rounded to whole parts of about ``slots``, one at least.
+    is held in whole parts of about ``slots``, one at least; there is no limit on sources.
     """
     keyed = _keyed(docs)
     counts = keyed.groupBy("src").agg(F.count(F.lit(1)).alias("total"))
-    placed = start_positions(keyed, ["src"], "bucket", ["spread", "tie"], "number")
-    # One row for each source, MAX_SOURCES at most, with all slots of a round between them.
-    plan = F.broadcast(schedule(counts, weights, block, slots))
+    turns = schedule(counts, weights, block, slots, segment).selectExpr("src", "slot", "length", "turn % blocks AS block", "turn div blocks AS epoch")
+    placed = start_positions(keyed, ["src"], "bucket", ["spread", "tie"], "number").withColumn("block", F.expr(f"number div {block}"))
     return (
-        placed.join(plan, "src")
-        .selectExpr(
-            "row", "src", "number", "parts", "slots", "at", "length", "blocks", f"number div {block} AS block",
-            f"explode(sequence(0L, (turns - 1 - number div {block}) div blocks)) AS epoch",
-        )
-        .withColumn("turn", F.expr("epoch * blocks + block"))
-        .withColumn("slot", F.expr("turn div parts * slots + at[cast(turn % parts AS int)]"))
+        placed.join(turns, ["src", "block"])
         .withColumn("position", F.expr(f"slot * {block} + number % {block}"))
         .select("row", "src", "block", "epoch", "slot", "position", "length")
     )
 
 
-def exact_schedule(totals: Mapping[str, int], weights: Mapping[str, float], block: int = BLOCK) -> tuple[list[str], np.ndarray]:
-    """The sources, and the number of the source that each slot of the whole schedule goes to.
-
-    Windows follow the weights themselves, not parts of a round, so that each source stays
-    less than one block off its share to the end. What is held grows with the blocks of the
-    mixture, 4 bytes for each.
-    """
-    names = sorted(s for s in totals if weights.get(s, 0) > 0)
-    total = sum(weights[s] for s in names)
-    parts = [max(1, round(weights[s] / total * FINE)) for s in names]
-    slots, blocks = sum(parts), [-(-totals[s] // block) for s in names]
-    given, open_sources = [0] * len(names), len(names)
-    waiting: list[tuple[int, int]] = [(0, i) for i in range(len(names))]  # by release
-    ready: list[tuple[int, int]] = []  # by deadline
-    out = array("i")
-    t = 0
-    while open_sources:
-        while waiting and waiting[0][0] <= t:
-            i = heappop(waiting)[1]
-            heappush(ready, (-((given[i] + 1) * slots // -parts[i]), i))
-        i = heappop(ready)[1]
-        given[i] += 1
-        open_sources -= given[i] == blocks[i]
-        heappush(waiting, (given[i] * slots // parts[i], i))
-        out.append(i)
-        t += 1
-    return names, np.frombuffer(out, np.int32) if out else np.zeros(0, np.int32)
-
-
-def exact_mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> tuple[DataFrame, int]:
-    """``(row, src, block, epoch, slot, position)`` as ``mix`` gives them, by the exact weights,
-    and the number of slots. The counts of the sources come to the driver, and the schedule
-    is worked out there."""
-    spark = docs.sparkSession
-    keyed = _keyed(docs)
-    counted = keyed.groupBy("src").agg(F.count(F.lit(1)).alias("total")).limit(MAX_SOURCES + 1).collect()
-    totals = {r.src: r.total for r in counted}
-    if weights is not None:
-        given = {"missing" if name is None else f"={name}": float(w) for name, w in weights.items() if w > 0}
-        totals = {s: n for s, n in totals.items() if s in given}
-    else:
-        given = {s: n**TEMPERATURE for s, n in totals.items()}
-    if len(counted) > MAX_SOURCES:
-        raise ValueError(f"More than {MAX_SOURCES} sources")
-    names, order = exact_schedule(totals, given, block)
-    blocks = np.array([-(-totals[s] // block) for s in names], np.int64)
-    # Turns of a source are numbered in order of its slots.
-    slots = np.argsort(order, kind="stable")
-    sizes = np.bincount(order, minlength=len(names)).astype(np.int64)
-    firsts = np.cumsum(sizes) - sizes
-    turns = pa.table({"at": np.arange(len(order), dtype=np.int64), "slot": slots.astype(np.int64)})
-    plan = spark.createDataFrame(
-        list(zip(names, blocks.tolist(), sizes.tolist(), firsts.tolist())), "src string, blocks bigint, turns bigint, first bigint"
-    )
-    listed = spark.createDataFrame(turns)
-    places = (
-        start_positions(keyed, ["src"], "bucket", ["spread", "tie"], "number")
-        .join(F.broadcast(plan), "src")
-        .selectExpr(
-            "row", "src", "number", "first", "blocks", f"number div {block} AS block",
-            f"explode(sequence(0L, (turns - 1 - number div {block}) div blocks)) AS epoch",
-        )
-        .withColumn("at", F.expr("first + epoch * blocks + block"))
-        .join(F.broadcast(listed) if len(order) <= SENT else listed, "at")
-        .withColumn("position", F.expr(f"slot * {block} + number % {block}"))
-        .select("row", "src", "block", "epoch", "slot", "position")
-    )
-    return places, len(order)
-
-
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
-    """The mixture itself: the columns of ``docs``, in parts that follow each other in its order,
-    by the exact weights."""
-    places, length = exact_mix(docs, weights)
+    """The mixture itself: the columns of ``docs``, in parts that follow each other in its order."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Slots are full, so equal runs of slots are parts of equal size.
-    part = F.expr(f"cast(slot * {parts} div {max(length, 1)} AS int)")
-    return places.repartitionById(parts, part).sortWithinPartitions("position").select("row.*")
+    part = F.expr(f"cast(slot * {parts} div length AS int)")
+    return mix(docs, weights).repartitionById(parts, part).sortWithinPartitions("position").select("row.*")

@@ -10,7 +10,7 @@ from flowtally.llm import decontaminate, lexical, linededup, mixing, sharding, s
 
 ORACLES: dict[str, str] = {}
 
-# -- mixing: one round of the schedule by recursion, then as many rounds as it takes --------
+# -- mixing: the whole schedule by recursion, a slot at a time --------------------------------
 
 ORACLES["op1_mixing"] = f"""
 WITH RECURSIVE keyed AS (SELECT doc_id, text, source, coalesce('=' || source, 'missing') AS src FROM documents),
@@ -18,24 +18,23 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY src
     ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), md5(coalesce(text, ''))) - 1 AS number FROM keyed),
 counts AS (SELECT src, count(*) AS total FROM keyed GROUP BY src),
 parts AS (SELECT src, CAST(row_number() OVER (ORDER BY src) AS BIGINT) AS i, (total + {mixing.BLOCK - 1}) // {mixing.BLOCK} AS blocks,
-    greatest(CAST(round(pow(total, {mixing.TEMPERATURE}) / sum(pow(total, {mixing.TEMPERATURE})) OVER () * {mixing.SLOTS}) AS BIGINT), 1) AS parts
+    greatest(CAST(round(pow(total, {mixing.TEMPERATURE}) / sum(pow(total, {mixing.TEMPERATURE})) OVER () * {mixing.PARTS}) AS BIGINT), 1) AS parts
   FROM counts),
-round AS (SELECT CAST(sum(parts) AS BIGINT) AS slots, list(parts ORDER BY i) AS p FROM parts),
+whole AS (SELECT CAST(sum(parts) AS HUGEINT) AS slots, list(CAST(parts AS HUGEINT) ORDER BY i) AS p FROM parts),
+latest AS (SELECT max((blocks * slots + parts - 1) // parts) AS latest FROM parts, whole),
 edf AS (
   SELECT CAST(-1 AS BIGINT) AS slot, list_transform(p, lambda x: CAST(0 AS BIGINT)) AS given, CAST(NULL AS BIGINT) AS i, CAST(NULL AS BIGINT) AS turn,
-    slots, p FROM round
+    slots, p FROM whole
   UNION ALL
   SELECT slot, list_transform(range(1, len(p) + 1), lambda k: given[k] + CAST(k = i AS BIGINT)), i, given[i], slots, p
   FROM (SELECT slot + 1 AS slot, given, slots, p, list_min(list_transform(
       list_filter(range(1, len(p) + 1), lambda k: given[k] * slots // p[k] <= slot + 1),
-      lambda k: ((given[k] + 1) * slots + p[k] - 1) // p[k] * 100000 + k)) % 100000 AS i
-    FROM edf WHERE slot + 1 < slots)
+      lambda k: {{'d': ((given[k] + 1) * slots + p[k] - 1) // p[k], 'k': k}})).k AS i
+    FROM edf, latest WHERE slot + 1 < latest)
 ),
-turns AS (SELECT i, turn, slot, slots FROM edf WHERE i IS NOT NULL),
-length AS (SELECT max((blocks - 1) // parts * slots + slot) + 1 AS length, any_value(slots) AS slots
-  FROM parts JOIN turns ON turns.i = parts.i AND turns.turn = (blocks - 1) % parts),
-places AS (SELECT src, s AS slot, (s // length.slots * parts + turn) // blocks AS epoch, (s // length.slots * parts + turn) % blocks AS block
-  FROM length, generate_series(0, length - 1) AS g(s) JOIN turns ON turns.slot = s % turns.slots JOIN parts USING (i))
+turns AS (SELECT src, blocks, turn, slot FROM edf JOIN parts USING (i)),
+length AS (SELECT max(slot) + 1 AS length FROM turns WHERE turn = blocks - 1),
+places AS (SELECT src, slot, turn // blocks AS epoch, turn % blocks AS block FROM turns, length WHERE slot < length)
 SELECT doc_id, source, epoch, block, slot, slot * {mixing.BLOCK} + number % {mixing.BLOCK} AS position
 FROM places JOIN numbered ON numbered.src = places.src AND number // {mixing.BLOCK} = block"""
 

@@ -1,6 +1,7 @@
 """Mixing, sharding, quotation linking and the pipeline."""
 
 import hashlib
+import heapq
 import math
 import random
 import re
@@ -68,8 +69,18 @@ def expected_mixture(rows, weights, block, slots):
     return out
 
 
-@pytest.mark.parametrize("block, slots, given", [(1, 10, None), (3, 7, None), (4, 1000, {"a": 1, "b": 5, None: 2, "zz": 9}), (2, 12, {"c": 3})])
-def test_mixing_against_a_simulation(spark, block, slots, given):
+@pytest.mark.parametrize(
+    "block, slots, given, segment",
+    [
+        (1, 10, None, 1 << 17),
+        (3, 7, None, 2),
+        (4, 1000, {"a": 1, "b": 5, None: 2, "zz": 9}, 3),
+        (2, 12, {"c": 3}, 1),
+        (1, mixing.PARTS, {"a": 1, "b": 0.11, None: 0.04, "c": 0.37}, 8),
+        (1, mixing.PARTS, None, 1 << 17),
+    ],
+)
+def test_mixing_against_a_simulation(spark, block, slots, given, segment):
     rng = random.Random(block)
     rows = [(i, f"t{i}", rng.choice(["a", "a", "a", "a", "b", "c", None])) for i in range(70)] + [(3, "t3", "a"), (3, "t3", "a"), (None, None, "b")]
     counts = defaultdict(int)
@@ -78,7 +89,7 @@ def test_mixing_against_a_simulation(spark, block, slots, given):
     weights = {s: n**mixing.TEMPERATURE for s, n in counts.items()}
     if given is not None:
         weights = {"missing" if s is None else f"={s}": w for s, w in given.items()}
-    got = mixing.mix(documents(spark, rows), given, block, slots)
+    got = mixing.mix(documents(spark, rows), given, block, slots, segment)
     found = [(r.row.doc_id, r.src, r.epoch, r.block, r.slot, r.position) for r in got.collect()]
     assert sorted(found, key=repr) == sorted(expected_mixture(rows, weights, block, slots), key=repr)
     if given is None:
@@ -93,31 +104,55 @@ def test_mixture_comes_in_order_with_its_columns(spark):
     assert [r.doc_id for r in got.collect()] == [i for i, _ in order]
 
 
-def test_mixing_nothing_and_too_many_sources(spark, monkeypatch):
+def test_mixing_nothing_and_many_sources(spark):
     assert mixing.mixed(documents(spark, [])).count() == 0
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
-    with pytest.raises(Exception, match="More than 2 sources"):
-        mixing.mixed(documents(spark, [(i, "t", f"s{i}") for i in range(3)])).collect()
+    assert mixing.mixed(documents(spark, [(1, "t", "s")]), {"other": 1.0}).count() == 0
+    rows = [(i, "t", f"s{i % 2100}") for i in range(2300)]  # once 2,000 sources were the limit
+    got = mixing.mix(documents(spark, rows), None, 1).select("row.doc_id", "src", "slot", "length").collect()
+    assert {r.doc_id for r in got} == set(range(2300)) and sorted(r.slot for r in got) == list(range(got[0].length))
+
+
+def whole_schedule(totals, block, slots):
+    """Earliest deadline first from slot 0 to the end, by exact integers."""
+    names = sorted(totals)
+    weights = [totals[s] ** mixing.TEMPERATURE for s in names]
+    parts = [max(1, math.floor(w / sum(weights) * slots + 0.5)) for w in weights]
+    q, given, out = sum(parts), [0] * len(names), []
+    blocks = [-(-totals[s] // block) for s in names]
+    waiting, ready = [(0, i) for i in range(len(names))], []
+    while any(g < b for g, b in zip(given, blocks)):
+        while waiting and waiting[0][0] <= len(out):
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-((given[i] + 1) * q // -parts[i]), i))
+        i = heapq.heappop(ready)[1]
+        out.append((names[i], given[i], len(out)))
+        given[i] += 1
+        heapq.heappush(waiting, (given[i] * q // parts[i], i))
+    return out
 
 
-def test_exact_schedule_keeps_each_source_within_a_block():
-    totals = {"=hot": 400_000, **{f"=mid{i}": 2_000 for i in range(5)}, **{f"=small{i}": 20 for i in range(60)}}
+@pytest.mark.parametrize("segment", [100, 1 << 17])
+@pytest.mark.parametrize("hot, mid, small", [(90_000, 5, 40), (30_000, 60, 2), (3_000, 1, 0)])
+def test_segments_join_into_one_schedule_within_a_block(spark, segment, hot, mid, small):
+    totals = {"=hot": hot, **{f"=mid{i}": 2_000 + 37 * i for i in range(mid)}, **{f"=small{i}": 20 + i for i in range(small)}}
+    counts = spark.createDataFrame(list(totals.items()), "src string, total bigint")
+    got = sorted(mixing.schedule(counts, segment=segment).select("slot", "src", "turn").collect())
+    assert [(r.src, r.turn, r.slot) for r in got] == whole_schedule(totals, mixing.BLOCK, mixing.PARTS)
     weights = {s: n**mixing.TEMPERATURE for s, n in totals.items()}
-    names, order = mixing.exact_schedule(totals, weights)
-    total, given = sum(weights.values()), [0] * len(names)
-    for t, i in enumerate(order.tolist(), 1):
-        given[i] += 1
-        if t % 97 == 0 or t == len(order):
-            assert all(abs(g - t * weights[s] / total) < 1 for g, s in zip(given, names))
-    assert all(g * mixing.BLOCK >= totals[s] for g, s in zip(given, names))
+    total, given = sum(weights.values()), defaultdict(int)
+    for t, r in enumerate(got, 1):
+        given[r.src] += 1
+        if t % 97 == 0 or t == len(got):
+            assert all(abs(given[s] - t * weights[s] / total) < 1 for s in totals)
+    assert all(given[s] * mixing.BLOCK >= totals[s] for s in totals)
 
 
 def test_mixture_follows_the_weights_themselves(spark):
     # Of 1000 slots, the small sources would get one each: 14 times their share.
     weights = {"hot": 1.0, **{f"s{i}": 0.00002 for i in range(40)}}
     docs = documents(spark, [(i, "t", "hot") for i in range(6000)] + [(10_000 + i, "t", f"s{i}") for i in range(40)])
-    places, length = mixing.exact_mix(docs, weights, 1)
-    slots = sorted((r.slot, r.src) for r in places.select("slot", "src").collect())
+    places = mixing.mix(docs, weights, 1).select("slot", "src", "length").collect()
+    slots, length = sorted((r.slot, r.src) for r in places), places[0].length
     assert [s for s, _ in slots] == list(range(length))
     total = sum(weights.values())
     for source, weight in weights.items():
@@ -264,7 +299,7 @@ def test_pipeline_against_brute_force(spark):
         [(i, t, left[i].source) for i, t in texts.items() if decontaminate.words(t.encode())],
         defaultdict(int, {f"={s}": n**mixing.TEMPERATURE for s, n in count_by(left[i].source for i, t in texts.items() if decontaminate.words(t.encode())).items()}),
         mixing.BLOCK,
-        mixing.FINE,  # the stage follows the weights themselves
+        mixing.PARTS,  # the stage follows the weights themselves
     )
     leaves = sharding.tree()
     expected = sorted((i, len(texts[i].encode()) + 16, zlib.crc32(texts[i].encode()), expected_shard(i, leaves)) for i, *_ in places)
