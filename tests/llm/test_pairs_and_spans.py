@@ -153,6 +153,21 @@ def test_planted_near_copies_go_and_others_stay(spark, tile):
     assert kept == {i for i in sets if group.get(i, i) == i}
 
 
+def test_fingerprints_find_near_copies_that_share_no_band(spark):
+    rng = random.Random(10990)
+    words = [f"{rng.getrandbits(32):x}" for _ in range(40)]
+    copy = list(words)
+    for at in (10, 25):
+        copy[at] = f"{rng.getrandbits(32):x}"
+    one, two = (nearcopies.shingles(" ".join(text).encode()) for text in (words, copy))
+    assert not (nearcopies.band_keys(one) == nearcopies.band_keys(two)).any()
+    assert (nearcopies.set_fingerprint(one) ^ nearcopies.set_fingerprint(two)).bit_count() == 3
+    rows = [(1, " ".join(words)), (2, " ".join(copy)), (3, "quite another text of some words")]
+    assert 0.5 < similarity_of(shingles_of(rows[0][1]), shingles_of(rows[1][1])) < 0.6
+    kept = {s: sorted(r.doc_id for r in simhash.keep_first(documents(spark, rows), s).collect()) for s in (0.5, 0.6)}
+    assert kept == {0.5: [1, 3], 0.6: [1, 2, 3]}
+
+
 # -- repeated passages -------------------------------------------------------------------
 
 
