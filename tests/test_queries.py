@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import comparable
+from workload import views
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -47,3 +48,13 @@ def test_sorted_queries_are_in_order(spark):
 def test_punycode_column(spark):
     rows = contract.queries()["domain_ascii"](spark, SF).collect()
     assert all(row["query"] == row.domain.strip().lower().encode("idna").decode() for row in rows if not row.domain.strip().endswith("."))
+
+
+def test_queries_make_only_the_responses_they_read(spark):
+    views._loaded.clear()
+    QUERIES["whois_cascade"](spark, SF)
+    made = {place[-1] for place in views._loaded}
+    assert {"whois_raw", "domain_raw", "hosts"} <= made
+    assert not made & {"geo_blocks", "rdap_raw", "rdap_aggregator_raw", "rdap_bootstrap_raw", "service_location_raw"}
+    # Responses are made where their owners lie: nothing is shuffled for them.
+    assert {"rdap_raw", "rdap_aggregator_raw", "rdap_bootstrap_raw", "whois_raw"} <= set(views.ROW_BY_ROW)

@@ -74,7 +74,8 @@ def answer_columns(frame: DataFrame, *keys: str) -> DataFrame:
     return frame.select(*keys, *fields)
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def tables(spark: SparkSession, sf_dir: str, resolver: str) -> dict[str, DataFrame]:
+    """The response tables a resolver reads; those of other resolvers are not made."""
     names = {
         "geo_blocks": "geo_blocks",
         "rdap": "rdap_raw",
@@ -85,9 +86,18 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "service_location": "service_location_raw",
         "service_registration": "service_registration_raw",
     }
-    return {name: view(spark, sf_dir, source) for name, source in names.items()}
+    return {name: view(spark, sf_dir, names[name]) for name in READS[resolver]}
 
 
+RDAP = ["rdap", "rdap_aggregator", "rdap_bootstrap"]
+READS = {
+    "geo": ["geo_blocks"],
+    "rdap": RDAP,
+    "whois": ["whois", "domain_whois"],
+    "service": ["service_location", "service_registration"],
+    "default": ["geo_blocks", *RDAP, "whois"],
+}
+
 # The response views hold one row per key.
 UNIQUE = ["rdap", "rdap_aggregator", "rdap_bootstrap", "whois", "service_location", "service_registration"]
 
@@ -418,7 +428,7 @@ QUERIES["cache_misses"] = QUERIES.pop("misses")
 
 @query
 def cache_write(spark, sf_dir):
-    asked = get_resolver("rdap", tables(spark, sf_dir)).answers(view(spark, sf_dir, "hosts").select("key"))
+    asked = get_resolver("rdap", tables(spark, sf_dir, "rdap")).answers(view(spark, sf_dir, "hosts").select("key"))
     fresh = cache.new_entries(asked, "rdap", NOW)
     return fresh.withColumn("expires_at", F.col("expires_at").cast("timestamp_ntz"))
 
@@ -454,7 +464,7 @@ QUERIES["resolve_counters"] = QUERIES.pop("counters")
 def resolve_rows(spark, sf_dir):
     rows = view(spark, sf_dir, "half_enriched")
     known = view(spark, sf_dir, "resolve_cache")
-    return resolve(rows, get_resolver("default", tables(spark, sf_dir), UNIQUE), cache=known, now=NOW).rows
+    return resolve(rows, get_resolver("default", tables(spark, sf_dir, "default"), UNIQUE), cache=known, now=NOW).rows
 
 
 QUERIES["resolve"] = QUERIES.pop("resolve_rows")
@@ -463,7 +473,7 @@ QUERIES["resolve"] = QUERIES.pop("resolve_rows")
 @query
 def resolve_twice(spark, sf_dir):
     rows = view(spark, sf_dir, "half_enriched")
-    resolver = get_resolver("default", tables(spark, sf_dir))
+    resolver = get_resolver("default", tables(spark, sf_dir, "default"))
     once = resolve(rows, resolver).rows
     return resolve(stage(once, "once"), resolver).rows
 
@@ -496,7 +506,7 @@ def resolve_function(spark, sf_dir):
 @query
 def geo_lookup(spark, sf_dir):
     keys = view(spark, sf_dir, "connections").select(clean(F.col("DstIP")).alias("key")).where("key <> ''").distinct()
-    return get_resolver("geo", tables(spark, sf_dir)).answers(keys).select("key", "country")
+    return get_resolver("geo", tables(spark, sf_dir, "geo")).answers(keys).select("key", "country")
 
 
 @query
@@ -536,7 +546,7 @@ def rdap_entities(spark, sf_dir):
 
 @query
 def rdap_cascade(spark, sf_dir):
-    return get_resolver("rdap", tables(spark, sf_dir)).answers(view(spark, sf_dir, "hosts").select("key"))
+    return get_resolver("rdap", tables(spark, sf_dir, "rdap")).answers(view(spark, sf_dir, "hosts").select("key"))
 
 
 @query
@@ -564,18 +574,18 @@ def tci_extract(spark, sf_dir):
 @query
 def whois_cascade(spark, sf_dir):
     keys = view(spark, sf_dir, "domains").select(F.col("domain").alias("key"))
-    whois = get_resolver("whois", tables(spark, sf_dir), domain_whois=True)
+    whois = get_resolver("whois", tables(spark, sf_dir, "whois"), domain_whois=True)
     return whois.answers(keys.unionAll(view(spark, sf_dir, "hosts").select("key")))
 
 
 @query
 def service_extract(spark, sf_dir):
-    return get_resolver("service", tables(spark, sf_dir)).answers(view(spark, sf_dir, "hosts").select("key")).drop("expires")
+    return get_resolver("service", tables(spark, sf_dir, "service")).answers(view(spark, sf_dir, "hosts").select("key")).drop("expires")
 
 
 @query
 def resolve_default(spark, sf_dir):
-    resolver = get_resolver("default", tables(spark, sf_dir), UNIQUE)
+    resolver = get_resolver("default", tables(spark, sf_dir, "default"), UNIQUE)
     return look_up(view(spark, sf_dir, "hosts").select("key"), resolver, None, NOW).drop("cached", "error")
 
 
@@ -639,7 +649,7 @@ def pipeline_flagship(spark, sf_dir):
 
 @query
 def pipeline_resolved(spark, sf_dir):
-    responses = tables(spark, sf_dir)
+    responses = tables(spark, sf_dir, "default")
     settings = pipeline_settings(spark, sf_dir, tables=responses, resolver_options={"unique": UNIQUE})
     steps = [{"collect": {"start": 20, "time_unit": "d"}}, "trim", {"aggregate": {"min_count": 2}}, "resolve"]
     return ordered(plan(spark, steps, settings=settings).frame)
@@ -650,7 +660,7 @@ def pipeline_counters(spark, sf_dir):
     """What the steps of a run counted on the way: one row for each counter."""
     store = CacheStore(spark, f"{shared_folder(spark)}/flowtally-cache-{uuid4().hex}")
     store.append(view(spark, sf_dir, "resolve_cache"))
-    settings = pipeline_settings(spark, sf_dir, cache=store, tables=tables(spark, sf_dir), resolver_options={"unique": UNIQUE})
+    settings = pipeline_settings(spark, sf_dir, cache=store, tables=tables(spark, sf_dir, "default"), resolver_options={"unique": UNIQUE})
     steps = [{"collect": {"start": 20, "end": 2, "time_unit": "d"}}, "trim", {"aggregate": {"min_count": 2}}, "resolve"]
     counters = RunCounters()
     plan(spark, steps, settings=settings, counters=counters)

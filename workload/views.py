@@ -202,9 +202,11 @@ def needed(*names: str) -> list[str]:
 
 
 # Views that stand for stored tables: they are written once per session and folder, as
-# several files.
+# several files. Those made row by row of other stored views lie in as many files as these.
 STORED = [name for name in VIEWS if name.endswith("_raw")] + ["geo_blocks", "resolve_cache", "hosts", "owners"]
 
+ROW_BY_ROW = [name for name in STORED if sources(name) == ["owners"]]
+
 _loaded: dict[tuple, DataFrame] = {}
 
 
@@ -220,8 +222,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             for source in sources(name):
                 view(spark, sf_dir, source).createOrReplaceTempView(source)
             frame = spark.sql(VIEWS[name])
-            parts = spark.sparkContext.defaultParallelism
-            _loaded[place] = stage(frame.repartition(parts), name) if name in STORED else frame
+            if name in STORED and name not in ROW_BY_ROW:
+                frame = frame.repartition(spark.sparkContext.defaultParallelism)
+            _loaded[place] = stage(frame, name) if name in STORED else frame
     return _loaded[place]
 
 
