@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowtally.functions.responses import (
+    DOUBTFUL,
     DOMAIN_CONTACTS,
     EMPTY_JSON,
     answer,
@@ -64,16 +65,34 @@ def aggregator_answers(frame: DataFrame, response: str = "response") -> DataFram
 
 
 def whois_answers(frame: DataFrame, response: str = "response") -> DataFrame:
-    def name(net: Column) -> Column:
-        fields = json_fields(net, "description", "name")
-        described, named = (says_something(fields[field], net, f"$.{field}") for field in ("description", "name"))
-        return F.coalesce(blank_to_null(described), named)
-
+    """Registration data of the networks an address lies in, the first one's country."""
+    shape = "struct<description:string,name:string>"
+    # The texts of the networks, and their fields: one parse where every network is an object,
+    # network by network where one is not.
     parsed = (
         frame.withColumn("_data", json_fields(F.col(response), "asn", "asn_description", "nets"))
         .withColumn("_nets", json_array(F.col("_data.nets")))
-        .withColumn("_texts", F.transform(F.filter("_nets", lambda net: F.ltrim(net).startswith("{")), name))
+        .withColumn("_fields", F.from_json(F.when(F.col("_nets").isNotNull(), F.col("_data.nets")), f"array<{shape}>"))
+        .withColumn(
+            "_fields",
+            F.when(F.size("_fields") == F.size("_nets"), F.col("_fields")).otherwise(
+                F.transform("_nets", lambda net: F.from_json(json_object(net), shape))
+            ),
+        )
     )
+
+    def name(net: Column) -> Column:
+        text, field = net["_nets"], net["_fields"]
+        # Only doubtful values are looked up in the text of their network.
+        described, named = (filled(field[one]) for one in ("description", "name"))
+        plain = F.when(described != "", described).otherwise(named)
+        looked_up = F.coalesce(
+            blank_to_null(says_something(described, text, "$.description")), says_something(named, text, "$.name")
+        )
+        return F.when(described.rlike(DOUBTFUL) | named.rlike(DOUBTFUL), looked_up).otherwise(plain)
+
+    objects = F.filter(F.arrays_zip("_nets", "_fields"), lambda net: F.ltrim(net["_nets"]).startswith("{"))
+    parsed = parsed.withColumn("_texts", F.transform(objects, name)).drop("_fields")
     data = F.col("_data")
     first, response_text = F.get("_nets", F.lit(0)), F.col(response)
     first_lines = F.transform("_texts", lambda text: strip(F.get(lines(strip(text)), F.lit(0))))

@@ -184,3 +184,13 @@ def test_time_of_many_entities_follows_their_number(column):
 
     seconds(10)
     assert seconds(8000) < 2.5 * seconds(4000) + 1
+
+
+def test_whois_networks_are_parsed_once(frame):
+    nets = [None, {"description": "0", "name": 0}, {"description": 0, "name": "0"}, {"description": False, "name": {}}, {"description": {"a": 1}}]
+    expected = full(asn="1", contacts='0; {"a":1}')
+    # The text among the objects is what takes the networks apart one by one.
+    got = ask(frame, answers.whois_answers, *[json.dumps({"asn": "1", "nets": [*nets, *more]}) for more in ([], ["text"])])
+    assert got == [expected, expected]
+    plan = answers.whois_answers(frame("i, response", [])).selectExpr("answer")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("from_json") == 4
